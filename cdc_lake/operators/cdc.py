@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.rules import is_active, is_commute, is_deleted
+from ..functions.rules import is_active, is_commute
 from ..functions.timestamps import epoch_text, stamp as stamped
 from ..schemas import CHANGE_DDL
 
@@ -59,17 +61,14 @@ def to_bronze(messages: DataFrame, ddl: str = CHANGE_DDL, drop_tombstones: bool
 
 
 def latest_version(changes: DataFrame, key: str = "id", order: Sequence[str] = ARRIVAL) -> DataFrame:
-    """One row per key: the greatest by ``order``.
+    """One row per key: the last by ``order``.
 
-    The maximum of a struct is a partial aggregate: each map task keeps one row per key, so
-    a key with a third of all versions costs the shuffle one row per task. Columns after
-    ``order`` in the struct settle any tie, which makes a recomputed task agree with the
-    lost one.
+    Spark limits each key to one row before the shuffle as well as after it, so a key with a
+    third of all versions costs the shuffle one row per map task. Unlike an aggregate of
+    whole rows, this leaves unused columns to be pruned at the scan.
     """
-    rest = [c for c in changes.columns if c != key and c not in order]
-    newest = F.max(F.struct(*order, *rest)).alias("_newest")
-    columns = [F.col(key) if c == key else F.col("_newest").getField(c).alias(c) for c in changes.columns]
-    return changes.groupBy(key).agg(newest).select(*columns)
+    newest_first = Window.partitionBy(key).orderBy(*(F.desc(c) for c in order))
+    return changes.withColumn("_nth", F.row_number().over(newest_first)).where("_nth = 1").drop("_nth")
 
 
 def to_silver(changes: DataFrame) -> DataFrame:
@@ -90,15 +89,12 @@ def initial_rows(changes: DataFrame, flag: str = "__deleted", at: datetime | Non
 def require_one_version(changes: DataFrame, key: str = "id") -> DataFrame:
     """The same rows; the job fails if a key comes twice.
 
-    The aggregate is on the merge key, so the merge join reuses its shuffle.
+    The window is on the merge key, so the merge join reuses its shuffle and its sort.
     """
-    rest = [c for c in changes.columns if c != key]
-    grouped = changes.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_versions"), F.max(F.struct(*rest)).alias("_row")
-    )
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
     message = F.concat(F.lit(f"more than one change for {key} = "), F.col(key).cast("string"))
-    checked = F.when(F.col("_versions") > 1, F.raise_error(message)).otherwise(F.col("_row"))
-    return grouped.select(key, checked.alias("_row")).select(key, "_row.*").select(*changes.columns)
+    single = F.when(F.col("_nth") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return changes.withColumn("_nth", nth).where(single).drop("_nth")
 
 
 def apply_changes(
@@ -120,31 +116,25 @@ def apply_changes(
     """
     values = [c for c in target.columns if c not in (key, stamp)]
     source = require_one_version(changes, key) if check_source else changes
-    old = target.select(F.col(key).alias("_old_key"), F.struct(*values).alias("_old"),
-                        F.col(stamp).alias("_old_stamp"), F.lit(True).alias("_in_old"))
-    new = source.select(F.col(key).alias("_new_key"), F.struct(*values).alias("_new"),
-                        is_active(flag).alias("_active"), F.lit(True).alias("_in_new"))
-    joined = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
-
-    differs = F.lit(False)
-    for c in values:
-        before, after = F.col("_old").getField(c), F.col("_new").getField(c)
-        differs = differs | (~before.eqNullSafe(after) if null_safe else before != after)
-
-    in_old, in_new, active = F.isnotnull("_in_old"), F.isnotnull("_in_new"), F.col("_active")
-    take_new = in_new & active & (~in_old | F.coalesce(differs, F.lit(False)))
+    old = target.select(F.lit(True).alias("_in_old"), *(F.col(c).alias(f"_old_{c}") for c in target.columns))
+    new = source.select(F.lit(True).alias("_in_new"), is_active(flag).alias("_active"),
+                        *(F.col(c).alias(f"_new_{c}") for c in (key, *values)))
+    joined = old.join(new, F.col(f"_old_{key}") == F.col(f"_new_{key}"), "full_outer")
+
+    def differs(column: str) -> Column:
+        before, after = F.col(f"_old_{column}"), F.col(f"_new_{column}")
+        return ~before.eqNullSafe(after) if null_safe else before != after
+
+    in_old, in_new = F.isnotnull("_in_old"), F.isnotnull("_in_new")
+    changed = F.coalesce(reduce(or_, map(differs, values)), F.lit(False))
+    take_new = F.col("_take_new")
     return (
-        joined.where(~in_new | active)
-        .withColumn("_take_new", take_new)
+        joined.where(~in_new | F.col("_active"))
+        .withColumn("_take_new", in_new & (~in_old | changed))
         .select(
-            F.coalesce("_old_key", "_new_key").alias(key),
-            *(F.when(F.col("_take_new"), F.col("_new").getField(c)).otherwise(F.col("_old").getField(c)).alias(c)
-              for c in values),
-            F.when(F.col("_take_new"), stamped(at)).otherwise(F.col("_old_stamp")).alias(stamp),
+            F.coalesce(f"_old_{key}", f"_new_{key}").alias(key),
+            *(F.when(take_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in values),
+            F.when(take_new, stamped(at)).otherwise(F.col(f"_old_{stamp}")).alias(stamp),
         )
         .select(*target.columns)
     )
-
-
-def deleted_rows(changes: DataFrame, flag: str = "__deleted") -> DataFrame:
-    return changes.where(is_deleted(flag))

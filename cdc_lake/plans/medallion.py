@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.rules import ORPHAN_REASON
@@ -77,30 +76,19 @@ def merge_activities(lake: Lake, changes: DataFrame, run: str, batch_id: int | N
 def apply_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
     """One increment of Bronze. Safe to repeat: quarantine is replaced per batch, Silver applied once.
 
-    The tagged batch feeds two writes, so it is kept for their duration, on disk where
-    memory is short. An executor that is lost takes only its share with it, and Spark
-    computes that again from Bronze.
+    The batch is scanned twice, once for the rejects and once for the changes, where the
+    rules filter and prune at the scan. Holding it tagged in between would write all of it
+    to executor disks, which a backlog of any size must not depend on.
     """
     at = datetime.now(timezone.utc)
-    tagged = tag_all(batch, lake.employees.read(), lake.options).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rejects = rejected_rows(tagged, at)
-        if not rejects.isEmpty():
-            lake.quarantine.write(rejects, lake.run, batch_id)
-        if not lake.activities.applied(lake.run, batch_id):
-            valid = clean_rows(tagged)
-            newest = valid if lake.options.dedup_first else latest_version(valid)
-            merge_activities(lake, to_silver(newest), lake.run, batch_id, at)
-    finally:
-        tagged.unpersist()
+    employees = lake.employees.read()
+    lake.quarantine.write(rejected_rows(tag_all(batch, employees, lake.options), at), lake.run, batch_id)
+    if not lake.activities.applied(lake.run, batch_id):
+        merge_activities(lake, silver_changes(batch, employees, lake.options), lake.run, batch_id, at)
 
 
 def rebuild_silver(lake: Lake, at: datetime | None = None) -> dict[str, int]:
-    """Silver and quarantine from all of Bronze in one go.
-
-    Two scans: one for the changes, with filters and columns pruned at the scan, one for the
-    rejects. Keeping all of Bronze tagged in between would cost more than reading it twice.
-    """
+    """Silver and quarantine anew from all of Bronze, whatever Silver holds now."""
     at = at or datetime.now(timezone.utc)
     bronze, employees = lake.bronze(), lake.employees.read()
     rejected = lake.quarantine.write(

@@ -121,10 +121,15 @@ class BatchLog:
     path: str
 
     def write(self, df: DataFrame, run: str, batch_id: int) -> int:
+        """Returns the rows written; a batch without rows leaves no folder."""
+        folder = f"{self.path}/run={run}/batch_id={batch_id}"
         counted = Observation()
         rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(f"{self.path}/run={run}/batch_id={batch_id}")
-        return counted.get["rows"]
+        rows.write.mode("overwrite").parquet(folder)
+        written = counted.get["rows"]
+        if written == 0:
+            files.remove(self.spark, folder)
+        return written
 
     def read(self) -> DataFrame | None:
         """Everything written so far; columns that appeared later are null in earlier batches."""

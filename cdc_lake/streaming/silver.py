@@ -10,17 +10,15 @@ from ..schemas import bronze_ddl
 from ..sources.tables import has_rows
 
 
-def start_silver(lake: Lake, source_options: dict[str, str] | None = None, **trigger) -> StreamingQuery:
+def start_silver(lake: Lake, **trigger) -> StreamingQuery:
     """Apply Bronze increments. The checkpoint knows what is new, and no news runs no batch.
 
-    ``source_options`` bounds a batch, for example ``maxBytesPerTrigger``. A merge writes
-    Silver as a whole, so bigger batches cost less per change.
+    An increment is all that Bronze has gained, always whole landing batches. A limit on
+    files or bytes would cut a landing batch in two, and a key with versions in both parts
+    could see the older one applied last. A long backlog is one big batch, which also
+    rewrites Silver once rather than many times.
     """
-    stream = (
-        lake.spark.readStream.schema(bronze_ddl(lake.options.key_type))
-        .options(**(source_options or {}))
-        .parquet(lake.bronze_path)
-    )
+    stream = lake.spark.readStream.schema(bronze_ddl(lake.options.key_type)).parquet(lake.bronze_path)
     return (
         stream.writeStream.trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(lambda batch, batch_id: apply_batch(lake, batch, batch_id))
@@ -30,9 +28,7 @@ def start_silver(lake: Lake, source_options: dict[str, str] | None = None, **tri
     )
 
 
-def refresh(
-    lake: Lake, export_to: str | None = None, replay: bool = False, source_options: dict[str, str] | None = None
-) -> dict[str, int] | None:
+def refresh(lake: Lake, export_to: str | None = None, replay: bool = False) -> dict[str, int] | None:
     """One pass: employees, then the new activities checked against them, then Gold.
 
     Nothing happens while Bronze is empty, and Gold is left alone when nothing was new.
@@ -42,7 +38,7 @@ def refresh(
         return None
     build_employees(lake)
     before = lake.activities.versions()[-1:]
-    start_silver(lake, source_options).awaitTermination()
+    start_silver(lake).awaitTermination()
     if replay:
         replay_orphans(lake)
     if lake.activities.versions()[-1:] == before and not replay:
