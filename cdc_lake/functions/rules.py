@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
@@ -24,23 +23,26 @@ REASON_SEPARATOR = ", "
 
 @dataclass(frozen=True)
 class Rule:
-    """``broken`` builds a Column that is true for a row that violates the rule.
+    """``broken`` is an SQL predicate that is true for a row that violates the rule.
 
     It must be false, not null, for every other row: then its plain negation is the filter
     for valid rows, and the parts of it that compare a column reach the file scan.
     """
 
     name: str
-    broken: Callable[[], Column]
+    broken: str
+
+
+def sql_text(value: str) -> str:
+    """A string as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _too_far(sport: str, limit: int) -> Rule:
     label = sport.partition("/")[0].lower().replace(" ", "_")
     return Rule(
         f"distance_outlier_{label}",
-        lambda: F.isnotnull("distance")
-        & (F.col("distance") > limit)
-        & F.coalesce(F.contains("sport_type", F.lit(sport)), F.lit(False)),
+        f"distance IS NOT NULL AND distance > {limit} AND coalesce(contains(sport_type, {sql_text(sport)}), false)",
     )
 
 
@@ -48,12 +50,12 @@ def activity_rules(limits: dict[str, int] | None = None) -> list[Rule]:
     """The ordered rule list; the order is the order of names in a rejection reason."""
     limits = DISTANCE_LIMITS_BY_SPORT if limits is None else limits
     return [
-        Rule("id_null", lambda: F.isnull("id")),
-        Rule("employee_id_null", lambda: F.isnull("employee_id")),
-        Rule("sport_type_null", lambda: F.isnull("sport_type") | (F.col("sport_type") == "")),
-        Rule("elapsed_time_invalid", lambda: F.isnull("elapsed_time") | (F.col("elapsed_time") <= 0)),
-        Rule("start_datetime_null", lambda: F.isnull("start_datetime")),
-        Rule("distance_negative", lambda: F.isnotnull("distance") & (F.col("distance") < 0)),
+        Rule("id_null", "id IS NULL"),
+        Rule("employee_id_null", "employee_id IS NULL"),
+        Rule("sport_type_null", "sport_type IS NULL OR sport_type = ''"),
+        Rule("elapsed_time_invalid", "elapsed_time IS NULL OR elapsed_time <= 0"),
+        Rule("start_datetime_null", "start_datetime IS NULL"),
+        Rule("distance_negative", "distance IS NOT NULL AND distance < 0"),
         *(_too_far(sport, limit) for sport, limit in limits.items()),
     ]
 
@@ -64,26 +66,26 @@ def delete_rules() -> list[Rule]:
 
 
 def is_commute(sport: str = "sport_type") -> Column:
-    return F.coalesce(F.startswith(F.col(sport), F.lit(COMMUTE_PREFIX)), F.lit(False))
+    return F.expr(f"coalesce(startswith({sport}, {sql_text(COMMUTE_PREFIX)}), false)")
 
 
-def is_deleted(flag: str | Column = "__deleted") -> Column:
+def is_deleted(flag: str = "__deleted") -> Column:
     """The delete flag is text; only the exact text ``true`` deletes."""
-    column = F.col(flag) if isinstance(flag, str) else flag
-    return column.eqNullSafe("true")
+    return F.expr(f"{flag} <=> 'true'")
 
 
-def is_active(flag: str | Column = "__deleted") -> Column:
-    return ~is_deleted(flag)
+def is_active(flag: str = "__deleted") -> Column:
+    return F.expr(f"NOT ({flag} <=> 'true')")
 
 
 def uses_sport_transport(mode: str = "transport_mode") -> Column:
-    return F.coalesce(F.col(mode).isin(*SPORT_TRANSPORT_MODES), F.lit(False))
+    modes = ", ".join(sql_text(m) for m in SPORT_TRANSPORT_MODES)
+    return F.expr(f"coalesce({mode} IN ({modes}), false)")
 
 
 def earns_prime(mode: str = "transport_mode", commutes: str = "total_commute_activities") -> Column:
-    return uses_sport_transport(mode) & F.coalesce(F.col(commutes) > 0, F.lit(False))
+    return uses_sport_transport(mode) & F.expr(f"coalesce({commutes} > 0, false)")
 
 
 def earns_wellness(externals: str = "total_external_activities") -> Column:
-    return F.coalesce(F.col(externals) >= MIN_ACTIVITIES_WELLNESS, F.lit(False))
+    return F.expr(f"coalesce({externals} >= {MIN_ACTIVITIES_WELLNESS}, false)")

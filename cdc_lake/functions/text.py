@@ -1,9 +1,7 @@
-"""Text of a notification."""
+"""Text of a notification, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # -- fixed values: wording, colours, date format --
 
 TITLE_DELETED = "Activité supprimée — Employé "
@@ -12,7 +10,7 @@ COLOR_DELETED = 15158332
 COLOR_LATEST = 3066993
 DATE_FORMAT = "dd/MM/yyyy 'à' HH:mm"
 DATE_UNKNOWN = "date inconnue"
-BATCH_NOTE = "\n*(%d activité(s) dans ce lot)*"
+BATCH_NOTE = "*(%d activité(s) dans ce lot)*"
 NO_VALUE = "None"
 
 # -- end of fixed values --
@@ -20,11 +18,11 @@ NO_VALUE = "None"
 _SPLIT = 134217729.0  # 2^27 + 1
 
 
-def shown(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(NO_VALUE))
+def shown(column: str) -> str:
+    return f"coalesce(CAST({column} AS STRING), '{NO_VALUE}')"
 
 
-def minutes_text(seconds: str) -> Column:
+def minutes_text(seconds: str) -> str:
     """Seconds as minutes with one decimal, rounded from the exact binary value of the quotient.
 
     ``format_string`` rounds the shortest decimal form half up. That differs from exact
@@ -32,19 +30,19 @@ def minutes_text(seconds: str) -> Column:
     the sign of the quotient's rounding error decides, taken from a product that is split
     into two exact halves; an exact tie goes to the even digit.
     """
-    total = F.coalesce(F.col(seconds), F.lit(0)).cast("bigint")
-    size = F.abs(total)
-    quotient = size / F.lit(60.0)
-    odd = F.floor(size / 3).cast("bigint")  # the tie is odd / 20
-    high = quotient * _SPLIT - (quotient * _SPLIT - quotient)
-    error = (high * 20.0 - odd.cast("double")) + (quotient - high) * 20.0
-    below = F.floor(odd / 2).cast("bigint")  # tenths under the tie
-    up = (error > 0) | ((error == 0) & (below % 2 == 1))
-    tenths = below + F.when(up, 1).otherwise(0)
-    tie = F.format_string("%d.%d", F.floor(tenths / 10).cast("bigint"), tenths % 10)
-    text = F.when(size % 6 == 3, tie).otherwise(F.format_string("%.1f", quotient))
-    return F.concat(F.when(total < 0, "-").otherwise(""), text)
-
-
-def date_text(timestamp: str) -> Column:
-    return F.coalesce(F.date_format(timestamp, DATE_FORMAT), F.lit(DATE_UNKNOWN))
+    total = f"CAST(coalesce({seconds}, 0) AS BIGINT)"
+    size = f"abs({total})"
+    quotient = f"({size} / 60.0D)"
+    odd = f"({size} div 3)"  # the tie is odd / 20
+    high = f"({quotient} * {_SPLIT}D - ({quotient} * {_SPLIT}D - {quotient}))"
+    error = f"(({high} * 20.0D - CAST({odd} AS DOUBLE)) + ({quotient} - {high}) * 20.0D)"
+    below = f"({odd} div 2)"  # tenths under the tie
+    up = f"({error} > 0 OR ({error} = 0 AND {below} % 2 = 1))"
+    tenths = f"({below} + IF({up}, 1L, 0L))"
+    tie = f"concat({tenths} div 10, '.', {tenths} % 10)"
+    text = f"IF({size} % 6 = 3, {tie}, format_string('%.1f', {quotient}))"
+    return f"concat(IF({total} < 0, '-', ''), {text})"
+
+
+def date_text(timestamp: str) -> str:
+    return f'coalesce(date_format({timestamp}, "{DATE_FORMAT}"), \'{DATE_UNKNOWN}\')'

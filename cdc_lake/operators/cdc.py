@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.rules import is_active, is_commute
-from ..functions.timestamps import epoch_text, stamp as stamped
+from ..functions.timestamps import epoch_text, stamp, stamp_sql
 from ..schemas import CHANGE_DDL
 
 # Arrival order. The two Kafka columns make it total: all changes of one
@@ -50,13 +48,14 @@ def to_bronze(messages: DataFrame, ddl: str = CHANGE_DDL, drop_tombstones: bool
     """Messages to Bronze rows. Narrow: no shuffle, so it keeps pace with the source."""
     source = skip_tombstones(messages) if drop_tombstones else messages
     parsed = parse_changes(source, ddl, keep=["partition", "offset"])
-    return (
-        with_start_datetime(parsed)
-        .withColumn("ingested_at", F.current_timestamp())
-        .withColumnsRenamed({"partition": "kafka_partition", "offset": "kafka_offset"})
-        .select(*(c for c in parsed.columns if c not in ("partition", "offset")),
-                "start_datetime", "ingested_at", "kafka_partition", "kafka_offset")
-        .withColumn("ingest_date", F.to_date("ingested_at"))
+    changes = [c for c in parsed.columns if c not in ("partition", "offset")]
+    return with_start_datetime(parsed).selectExpr(
+        *(f"`{c}`" for c in changes),
+        "start_datetime",
+        "current_timestamp() AS ingested_at",
+        "partition AS kafka_partition",
+        "offset AS kafka_offset",
+        "current_date() AS ingest_date",
     )
 
 
@@ -67,14 +66,14 @@ def latest_version(changes: DataFrame, key: str = "id", order: Sequence[str] = A
     third of all versions costs the shuffle one row per map task. Unlike an aggregate of
     whole rows, this leaves unused columns to be pruned at the scan.
     """
-    newest_first = Window.partitionBy(key).orderBy(*(F.desc(c) for c in order))
-    return changes.withColumn("_nth", F.row_number().over(newest_first)).where("_nth = 1").drop("_nth")
+    newest_first = ", ".join(f"{c} DESC" for c in order)
+    nth = F.expr(f"row_number() OVER (PARTITION BY {key} ORDER BY {newest_first})")
+    return changes.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def to_silver(changes: DataFrame) -> DataFrame:
     """Silver columns, with the delete flag still there for the merge."""
-    flagged = changes.withColumn("is_commute", is_commute())
-    return flagged.select(*SILVER_COLUMNS, "__deleted")
+    return changes.withColumn("is_commute", is_commute()).select(*SILVER_COLUMNS, "__deleted")
 
 
 def active_rows(changes: DataFrame, flag: str = "__deleted") -> DataFrame:
@@ -83,7 +82,7 @@ def active_rows(changes: DataFrame, flag: str = "__deleted") -> DataFrame:
 
 def initial_rows(changes: DataFrame, flag: str = "__deleted", at: datetime | None = None) -> DataFrame:
     """First load of a keyed table: the active rows, stamped."""
-    return active_rows(changes, flag).drop(flag).withColumn("updated_at", stamped(at))
+    return active_rows(changes, flag).drop(flag).withColumn("updated_at", stamp(at))
 
 
 def require_one_version(changes: DataFrame, key: str = "id") -> DataFrame:
@@ -91,10 +90,12 @@ def require_one_version(changes: DataFrame, key: str = "id") -> DataFrame:
 
     The window is on the merge key, so the merge join reuses its shuffle and its sort.
     """
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    message = F.concat(F.lit(f"more than one change for {key} = "), F.col(key).cast("string"))
-    single = F.when(F.col("_nth") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return changes.withColumn("_nth", nth).where(single).drop("_nth")
+    message = f"concat('more than one change for {key} = ', {key})"
+    return (
+        changes.withColumn("_nth", F.expr(f"row_number() OVER (PARTITION BY {key} ORDER BY {key})"))
+        .where(f"IF(_nth > 1, raise_error({message}), true)")
+        .drop("_nth")
+    )
 
 
 def apply_changes(
@@ -116,25 +117,20 @@ def apply_changes(
     """
     values = [c for c in target.columns if c not in (key, stamp)]
     source = require_one_version(changes, key) if check_source else changes
-    old = target.select(F.lit(True).alias("_in_old"), *(F.col(c).alias(f"_old_{c}") for c in target.columns))
-    new = source.select(F.lit(True).alias("_in_new"), is_active(flag).alias("_active"),
-                        *(F.col(c).alias(f"_new_{c}") for c in (key, *values)))
-    joined = old.join(new, F.col(f"_old_{key}") == F.col(f"_new_{key}"), "full_outer")
-
-    def differs(column: str) -> Column:
-        before, after = F.col(f"_old_{column}"), F.col(f"_new_{column}")
-        return ~before.eqNullSafe(after) if null_safe else before != after
-
-    in_old, in_new = F.isnotnull("_in_old"), F.isnotnull("_in_new")
-    changed = F.coalesce(reduce(or_, map(differs, values)), F.lit(False))
-    take_new = F.col("_take_new")
+    old = target.selectExpr("*", "true AS here").alias("old")
+    new = source.selectExpr(key, *values, f"NOT ({flag} <=> 'true') AS active", "true AS here").alias("new")
+
+    unlike = "NOT (old.{0} <=> new.{0})" if null_safe else "old.{0} <> new.{0}"
+    changed = " OR ".join(unlike.format(c) for c in values)
+    take_new = f"new.here IS NOT NULL AND (old.here IS NULL OR coalesce({changed}, false))"
+    result = {
+        key: f"coalesce(old.{key}, new.{key})",
+        **{c: f"IF(take_new, new.{c}, old.{c})" for c in values},
+        stamp: f"IF(take_new, {stamp_sql(at)}, old.{stamp})",
+    }
     return (
-        joined.where(~in_new | F.col("_active"))
-        .withColumn("_take_new", in_new & (~in_old | changed))
-        .select(
-            F.coalesce(f"_old_{key}", f"_new_{key}").alias(key),
-            *(F.when(take_new, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c) for c in values),
-            F.when(take_new, stamped(at)).otherwise(F.col(f"_old_{stamp}")).alias(stamp),
-        )
-        .select(*target.columns)
+        old.join(new, F.expr(f"old.{key} = new.{key}"), "full_outer")
+        .where("new.here IS NULL OR new.active")
+        .withColumn("take_new", F.expr(take_new))
+        .selectExpr(*(f"{result[c]} AS {c}" for c in target.columns))
     )

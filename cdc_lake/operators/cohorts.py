@@ -81,14 +81,8 @@ def split_by_eligibility(df: DataFrame, sport: str = "sport_practice") -> tuple[
 
 def cohort_shares(df: DataFrame, sport: str = "sport_practice") -> DataFrame:
     """Employees and percentage per cohort, cohorts without employees included; null shares if there are none."""
-    label = cohort(sport)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.array(*(F.struct(F.lit(name).alias("cohort"), F.count_if(label == name).alias("employees"))
-                  for name in COHORTS)).alias("counts"),
-    )
-    return counts.select("total", F.inline("counts")).select(
-        "cohort",
-        "employees",
-        F.try_divide(F.col("employees") * F.lit(100.0), F.col("total")).alias("share_pct"),
+    counts = ", ".join(f"struct('{name}' AS cohort, count_if(cohort = '{name}') AS employees)" for name in COHORTS)
+    totals = with_cohort(df, sport).agg(F.expr("count(*) AS total"), F.expr(f"array({counts}) AS counts"))
+    return totals.selectExpr("total", "inline(counts)").selectExpr(
+        "cohort", "employees", "try_divide(employees * 100.0D, total) AS share_pct"
     )

@@ -38,11 +38,11 @@ def activity_stats(activities: DataFrame) -> DataFrame:
     """Totals per employee. All five combine map-side, so a hot employee is one row per task."""
     count, commutes, externals, distance, elapsed = TOTALS
     return activities.groupBy("employee_id").agg(
-        F.count(F.lit(1)).alias(count),
-        F.count_if("is_commute").alias(commutes),
-        F.count_if(~F.col("is_commute")).alias(externals),
-        F.coalesce(F.sum("distance"), F.lit(0)).cast("bigint").alias(distance),
-        F.coalesce(F.sum("elapsed_time"), F.lit(0)).cast("bigint").alias(elapsed),
+        F.expr(f"count(*) AS {count}"),
+        F.expr(f"count_if(is_commute) AS {commutes}"),
+        F.expr(f"count_if(NOT is_commute) AS {externals}"),
+        F.expr(f"coalesce(sum(distance), 0L) AS {distance}"),
+        F.expr(f"coalesce(sum(elapsed_time), 0L) AS {elapsed}"),
     )
 
 
@@ -68,7 +68,7 @@ def gold_eligibility(employees: DataFrame, activities: DataFrame, at: datetime |
 def gold_report(gold: DataFrame) -> DataFrame:
     """Employees and eligible employees: one pass."""
     return gold.agg(
-        F.count(F.lit(1)).alias("employees"),
-        F.count_if(FLAGS[0]).alias("eligible_prime"),
-        F.count_if(FLAGS[1]).alias("eligible_wellness"),
+        F.expr("count(*) AS employees"),
+        F.expr(f"count_if({FLAGS[0]}) AS eligible_prime"),
+        F.expr(f"count_if({FLAGS[1]}) AS eligible_wellness"),
     )

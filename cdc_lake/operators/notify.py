@@ -41,32 +41,30 @@ def batch_latest(rows: DataFrame, order: Sequence[str] = MESSAGE_ORDER) -> DataF
     Each task sends one row and one count, however large the batch.
     """
     rest = [c for c in rows.columns if c not in order]
+    whole = ", ".join([*order, *rest])
     return (
-        rows.agg(F.max(F.struct(*order, *rest)).alias("_last"), F.count(F.lit(1)).alias("total_in_batch"))
-        .where(F.col("total_in_batch") > 0)
-        .select(*(F.col("_last").getField(c).alias(c) for c in rest), "total_in_batch")
+        rows.agg(F.expr(f"max(struct({whole})) AS _last"), F.expr("count(*) AS total_in_batch"))
+        .where("total_in_batch > 0")
+        .selectExpr(*(f"_last.{c} AS {c}" for c in rest), "total_in_batch")
     )
 
 
 def with_message(rows: DataFrame) -> DataFrame:
     """Add title, color, description and the JSON body. Needs ``total_in_batch``."""
-    deleted = F.col("is_deleted")
-    note = F.when(F.col("total_in_batch") > 1, F.format_string(text.BATCH_NOTE, "total_in_batch")).otherwise("")
-    description = F.concat(
-        F.lit("**Sport :** "), text.shown("sport_type"),
-        F.lit("\n**Date :** "), text.date_text("start_timestamp"),
-        F.lit("\n**Distance :** "), F.coalesce("distance", F.lit(0)).cast("string"),
-        F.lit(" m\n**Durée :** "), text.minutes_text("elapsed_time"),
-        F.lit(" min\n**Détails :** "), text.shown("details"),
-        note,
-    )
-    title = F.concat(
-        F.when(deleted, text.TITLE_DELETED).otherwise(text.TITLE_LATEST), text.shown("employee_id")
-    )
-    embed = F.struct("title", "description", "color")
-    return (
-        rows.withColumn("title", title)
-        .withColumn("description", F.when(~deleted, description))
-        .withColumn("color", F.when(deleted, text.COLOR_DELETED).otherwise(text.COLOR_LATEST))
-        .withColumn("body", F.to_json(F.struct(F.array(embed).alias("embeds"))))
-    )
+    lines = ", '\\n', ".join([
+        f"'**Sport :** ', {text.shown('sport_type')}",
+        f"'**Date :** ', {text.date_text('start_timestamp')}",
+        "'**Distance :** ', coalesce(distance, 0), ' m'",
+        f"'**Durée :** ', {text.minutes_text('elapsed_time')}, ' min'",
+        f"'**Détails :** ', {text.shown('details')}",
+    ])
+    note = f"IF(total_in_batch > 1, concat('\\n', format_string('{text.BATCH_NOTE}', total_in_batch)), '')"
+    title = f"concat(IF(is_deleted, '{text.TITLE_DELETED}', '{text.TITLE_LATEST}'), {text.shown('employee_id')})"
+    return rows.selectExpr(
+        "*",
+        f"{title} AS title",
+        # Null for a delete by way of a null part: inside a branch of IF the repeated parts
+        # of the duration would not be computed once and shared.
+        f"concat(IF(is_deleted, NULL, ''), {lines}, {note}) AS description",
+        f"IF(is_deleted, {text.COLOR_DELETED}, {text.COLOR_LATEST}) AS color",
+    ).selectExpr("*", "to_json(struct(array(struct(title, description, color)) AS embeds)) AS body")

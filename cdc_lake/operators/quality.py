@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.rules import ORPHAN_REASON, REASON_SEPARATOR, Rule, activity_rules, delete_rules, is_deleted
+from ..functions.rules import ORPHAN_REASON, REASON_SEPARATOR, Rule, activity_rules, delete_rules, sql_text
 from ..functions.timestamps import stamp
 from .joins import lookup_join
 
 REASON = "rejection_reason"
 
 
-def _reason(rules: Sequence[Rule]) -> Column:
-    return F.concat_ws(REASON_SEPARATOR, *(F.when(rule.broken(), rule.name) for rule in rules))
+def _reason(rules: Sequence[Rule]) -> str:
+    names = ", ".join(f"IF({rule.broken}, {sql_text(rule.name)}, NULL)" for rule in rules)
+    return f"concat_ws('{REASON_SEPARATOR}', {names})"
+
+
+def _valid(rules: Sequence[Rule]) -> str:
+    return " AND ".join(f"NOT ({rule.broken})" for rule in rules)
 
 
 def tag_violations(df: DataFrame, rules: Sequence[Rule] | None = None, exempt_deletes: bool = False) -> DataFrame:
@@ -28,28 +31,24 @@ def tag_violations(df: DataFrame, rules: Sequence[Rule] | None = None, exempt_de
     """
     reason = _reason(activity_rules() if rules is None else rules)
     if exempt_deletes:
-        reason = F.when(is_deleted(), _reason(delete_rules())).otherwise(reason)
-    return df.withColumn(REASON, reason)
+        reason = f"IF(__deleted <=> 'true', {_reason(delete_rules())}, {reason})"
+    return df.withColumn(REASON, F.expr(reason))
 
 
 def valid_rows(df: DataFrame, rules: Sequence[Rule] | None = None, exempt_deletes: bool = False) -> DataFrame:
     """Rows that break no rule, without tagging: a plain conjunction that reaches the scan."""
     valid = _valid(activity_rules() if rules is None else rules)
     if exempt_deletes:
-        valid = F.when(is_deleted(), _valid(delete_rules())).otherwise(valid)
+        valid = f"IF(__deleted <=> 'true', {_valid(delete_rules())}, {valid})"
     return df.where(valid)
 
 
-def _valid(rules: Sequence[Rule]) -> Column:
-    return reduce(and_, (~rule.broken() for rule in rules))
-
-
 def clean_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.col(REASON) == "").drop(REASON)
+    return tagged.where(f"{REASON} = ''").drop(REASON)
 
 
 def rejected_rows(tagged: DataFrame, at: datetime | None = None) -> DataFrame:
-    return tagged.where(F.col(REASON) != "").withColumn("rejected_at", stamp(at))
+    return tagged.where(f"{REASON} <> ''").withColumn("rejected_at", stamp(at))
 
 
 def split_tagged(tagged: DataFrame, at: datetime | None = None) -> tuple[DataFrame, DataFrame]:
@@ -91,15 +90,10 @@ def tag_orphans(
     """
     if reference is None:
         return tagged
-    known = distinct_keys(reference, key).where(F.isnotnull(key)).withColumn("_known", F.lit(True))
-    orphan = (F.col(REASON) == "") & F.isnull("_known")
-    if exempt_deletes:
-        orphan = orphan & ~is_deleted()
-    return (
-        lookup_join(tagged, known, key)
-        .withColumn(REASON, F.when(orphan, ORPHAN_REASON).otherwise(F.col(REASON)))
-        .drop("_known")
-    )
+    known = distinct_keys(reference, key).where(f"{key} IS NOT NULL").withColumn("_known", F.lit(True))
+    orphan = f"{REASON} = '' AND _known IS NULL" + (" AND NOT (__deleted <=> 'true')" if exempt_deletes else "")
+    reason = F.expr(f"IF({orphan}, '{ORPHAN_REASON}', {REASON})")
+    return lookup_join(tagged, known, key).withColumn(REASON, reason).drop("_known")
 
 
 def union_rejects(*parts: DataFrame) -> DataFrame:
@@ -118,27 +112,27 @@ def rejection_summary(rejected: DataFrame) -> DataFrame:
     """
     return (
         rejected.groupBy(REASON)
-        .agg(F.count(F.lit(1)).alias("records"))
-        .select(F.explode(F.split(REASON, REASON_SEPARATOR)).alias("rule"), "records")
+        .agg(F.expr("count(*) AS records"))
+        .selectExpr(f"explode(split({REASON}, '{REASON_SEPARATOR}')) AS rule", "records")
         .groupBy("rule")
-        .agg(F.sum("records").alias("records"))
-        .orderBy(F.desc("records"), F.asc("rule"))
+        .agg(F.expr("sum(records) AS records"))
+        .orderBy(F.desc("records"), "rule")
     )
 
 
 def bronze_profile(df: DataFrame) -> DataFrame:
     """Rows, rows without id, rows without employee: one pass."""
     return df.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(F.isnull("id")).alias("null_ids"),
-        F.count_if(F.isnull("employee_id")).alias("null_employees"),
+        F.expr("count(*) AS records"),
+        F.expr("count_if(id IS NULL) AS null_ids"),
+        F.expr("count_if(employee_id IS NULL) AS null_employees"),
     )
 
 
 def null_key_count(df: DataFrame, key: str = "employee_id") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.isnull(key)).alias("null_keys"))
+    return df.agg(F.expr("count(*) AS records"), F.expr(f"count_if({key} IS NULL) AS null_keys"))
 
 
 def null_key_sample(df: DataFrame, key: str = "employee_id", rows: int = 10) -> DataFrame:
     """A few offenders to look at. A preview, not a filter: no row is dropped from the data."""
-    return df.where(F.isnull(key)).limit(rows)
+    return df.where(f"{key} IS NULL").limit(rows)

@@ -7,7 +7,7 @@ ids stay ``bigint``, since at 100 TB there are more of them than an ``int`` hold
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.timestamps import epoch_text
 from ..schemas import CHANGE_COLUMNS, change_ddl
@@ -15,120 +15,113 @@ from ..schemas import CHANGE_COLUMNS, change_ddl
 FEED_DDL = change_ddl("bigint")
 WAVES = 3
 
+_FEED = {
+    "id": "CASE WHEN event_id % 97 <> 0 THEN event_id div 3 END",
+    "employee_id": "CASE WHEN event_id % 89 <> 0 THEN user_id END",
+    "start_timestamp": "CASE WHEN event_id % 83 <> 0 THEN unix_micros(CAST(ts AS timestamp)) END",
+    "sport_type": """CASE
+        WHEN event_type = 'click' THEN 'Commute to work - Marche/running'
+        WHEN event_type = 'view' THEN 'Commute to work - Vélo/Trottinette/Autres'
+        WHEN event_type = 'purchase' THEN 'Runing'
+        WHEN event_type = 'signup' THEN 'Tennis'
+        WHEN event_id % 5 = 0 THEN ''
+        WHEN event_id % 5 > 1 THEN 'Natation' END""",
+    "distance": "CASE WHEN event_type <> 'signup' THEN CAST(floor(value * 300) AS int) - 100 END",
+    "elapsed_time": "CAST((event_id % 60) * 63 AS int)",
+    "details": "props",
+    "__deleted": "CASE WHEN event_id % 7 = 6 THEN 'true' WHEN event_id % 7 <> 5 THEN 'false' END",
+    "kafka_partition": "CAST((CASE WHEN event_id % 97 <> 0 THEN event_id div 3 ELSE event_id END) % 8 AS int)",
+    "kafka_offset": "event_id * 2",
+    "wave": f"CAST(event_id % {WAVES} AS int)",
+}
+
+_TRANSPORT = """CASE c_mktsegment
+    WHEN 'MACHINERY' THEN 'Marche/running'
+    WHEN 'BUILDING' THEN 'Vélo/Trottinette/Autres'
+    WHEN 'AUTOMOBILE' THEN 'véhicule thermique/électrique'
+    WHEN 'FURNITURE' THEN NULL
+    ELSE 'Transports en commun' END"""
+_SPORT = "CASE c_nationkey % 3 WHEN 1 THEN 'Runing' WHEN 2 THEN 'Tennis' END"
+_CONTRACT = "IF(c_acctbal > 5000, 'CDI', 'CDD')"
+_SALARY = "CAST(floor(c_acctbal) AS int)"
+_FIRST_NAME = "concat('P', c_nationkey)"
+
+_EMPLOYEE = {
+    "employee_id": "c_custkey",
+    "nom": "c_name",
+    "prenom": _FIRST_NAME,
+    "bu": "c_mktsegment",
+    "type_de_contrat": _CONTRACT,
+    "transport_mode": _TRANSPORT,
+    "external_sport": _SPORT,
+    "salaire_brut": _SALARY,
+}
+
+_EMPLOYEE_FILE = {
+    "ID salarié": "CAST(c_custkey AS int)",
+    "Nom": "c_name",
+    "Prénom": _FIRST_NAME,
+    "Date de naissance": "'1990-07-06'",
+    "BU": "c_mktsegment",
+    "Date d'embauche": "'2020-12-14'",
+    "Salaire brut": _SALARY,
+    "Type de contrat": _CONTRACT,
+    "Nombre de jours de CP": "c_nationkey",
+    "Adresse du domicile": """concat(c_nationkey, ' rue "du Port", 34000')""",
+    "Moyen de déplacement": _TRANSPORT,
+}
+
+
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*(f"{expression} AS `{name}`" for name, expression in columns.items()))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _null_if(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes with their place in the topic, and ``wave``: the how-manieth version of its id a change is."""
-    event = F.col("event_id")
-    ident = _null_if(event % 97 == 0, F.floor(event / 3).cast("bigint"))
-    sport = (
-        F.when(F.col("event_type") == "click", "Commute to work - Marche/running")
-        .when(F.col("event_type") == "view", "Commute to work - Vélo/Trottinette/Autres")
-        .when(F.col("event_type") == "purchase", "Runing")
-        .when(F.col("event_type") == "signup", "Tennis")
-        .when(event % 5 == 0, "")
-        .when(event % 5 > 1, "Natation")
-    )
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").select(
-        ident.alias("id"),
-        _null_if(event % 89 == 0, F.col("user_id")).alias("employee_id"),
-        _null_if(event % 83 == 0, micros).alias("start_timestamp"),
-        sport.alias("sport_type"),
-        _null_if(F.col("event_type") == "signup", F.floor(F.col("value") * 300).cast("int") - 100).alias("distance"),
-        ((event % 60) * 63).cast("int").alias("elapsed_time"),
-        F.col("props").alias("details"),
-        F.when(event % 7 == 6, "true").when(event % 7 != 5, "false").alias("__deleted"),
-        F.pmod(F.coalesce(ident, event), F.lit(8)).cast("int").alias("kafka_partition"),
-        (event * 2).alias("kafka_offset"),
-        (event % WAVES).cast("int").alias("wave"),
-    )
+    return _project(table(spark, sf_dir, "events"), _FEED)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        feed(spark, sf_dir)
-        .withColumn("start_datetime", epoch_text("start_timestamp"))
-        .select(*CHANGE_COLUMNS, "start_datetime", "kafka_partition", "kafka_offset")
-    )
+def bronze(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    timed = feed(spark, sf_dir).withColumn("start_datetime", epoch_text("start_timestamp"))
+    return timed.select(*CHANGE_COLUMNS, "start_datetime", "kafka_partition", "kafka_offset", *extra)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as Kafka delivers it: JSON values, and an empty message after every delete."""
-    change = F.to_json(F.struct(*CHANGE_COLUMNS))
-    gone = F.lit(None).cast("string")
-    sent = F.when(F.col("__deleted") == "true", F.array(change, gone)).otherwise(F.array(change))
-    return (
-        feed(spark, sf_dir)
-        .select("id", "kafka_partition", "kafka_offset", "wave", F.posexplode(sent).alias("step", "value"))
-        .select(
-            F.col("id").cast("string").cast("binary").alias("key"),
-            F.col("value").cast("binary").alias("value"),
-            F.lit("activities").alias("topic"),
-            F.col("kafka_partition").alias("partition"),
-            (F.col("kafka_offset") + F.col("step")).alias("offset"),
-            F.timestamp_micros(F.col("kafka_offset") * 1_000_000).alias("timestamp"),
-            "wave",
-        )
+    change = f"to_json(struct({', '.join(CHANGE_COLUMNS)}))"
+    sent = feed(spark, sf_dir).selectExpr(
+        "id", "kafka_partition", "kafka_offset", "wave",
+        f"posexplode(IF(__deleted <=> 'true', array({change}, NULL), array({change}))) AS (step, value)",
     )
-
-
-def _on_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
-
-
-def _transport() -> Column:
-    return (
-        F.when(F.col("c_mktsegment") == "MACHINERY", "Marche/running")
-        .when(F.col("c_mktsegment") == "BUILDING", "Vélo/Trottinette/Autres")
-        .when(F.col("c_mktsegment") == "AUTOMOBILE", "véhicule thermique/électrique")
-        .when(F.col("c_mktsegment") != "FURNITURE", "Transports en commun")
+    return sent.selectExpr(
+        "CAST(CAST(id AS string) AS binary) AS key",
+        "CAST(value AS binary) AS value",
+        "'activities' AS topic",
+        "kafka_partition AS partition",
+        "kafka_offset + step AS offset",
+        "timestamp_micros(kafka_offset * 1000000) AS timestamp",
+        "wave",
     )
 
 
-def _sport() -> Column:
-    third = F.col("c_nationkey") % 3
-    return F.when(third == 1, "Runing").when(third == 2, "Tennis")
+def _on_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").where("c_acctbal >= 0")
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _on_file(spark, sf_dir).select(
-        F.col("c_custkey").alias("employee_id"),
-        F.col("c_name").alias("nom"),
-        F.concat(F.lit("P"), F.col("c_nationkey").cast("string")).alias("prenom"),
-        F.col("c_mktsegment").alias("bu"),
-        F.when(F.col("c_acctbal") > 5000, "CDI").otherwise("CDD").alias("type_de_contrat"),
-        _transport().alias("transport_mode"),
-        _sport().alias("external_sport"),
-        F.floor("c_acctbal").cast("int").alias("salaire_brut"),
-    )
+    return _project(_on_file(spark, sf_dir), _EMPLOYEE)
 
 
 def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staff under the names of the employees file."""
-    return _on_file(spark, sf_dir).select(
-        F.col("c_custkey").cast("int").alias("ID salarié"),
-        F.col("c_name").alias("Nom"),
-        F.concat(F.lit("P"), F.col("c_nationkey").cast("string")).alias("Prénom"),
-        F.lit("1990-07-06").alias("Date de naissance"),
-        F.col("c_mktsegment").alias("BU"),
-        F.lit("2020-12-14").alias("Date d'embauche"),
-        F.floor("c_acctbal").cast("int").alias("Salaire brut"),
-        F.when(F.col("c_acctbal") > 5000, "CDI").otherwise("CDD").alias("Type de contrat"),
-        F.col("c_nationkey").alias("Nombre de jours de CP"),
-        F.concat(F.col("c_nationkey").cast("string"), F.lit(' rue "du Port", 34000')).alias("Adresse du domicile"),
-        _transport().alias("Moyen de déplacement"),
-    )
+    return _project(_on_file(spark, sf_dir), _EMPLOYEE_FILE)
 
 
 def raw_sports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sports file: all but one segment's staff, some of them without a sport."""
-    listed = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "HOUSEHOLD")
-    return listed.select(F.col("c_custkey").cast("int").alias("ID salarié"), _sport().alias("Pratique d'un sport"))
+    listed = table(spark, sf_dir, "customer").where("c_mktsegment <> 'HOUSEHOLD'")
+    return _project(listed, {"ID salarié": "CAST(c_custkey AS int)", "Pratique d'un sport": _SPORT})

@@ -109,7 +109,7 @@ def replay_orphans(lake: Lake, at: datetime | None = None) -> int:
     history, employees = lake.quarantine.read(), lake.employees.read()
     if history is None or employees is None:
         return -1
-    orphans = history.where(F.col(REASON) == ORPHAN_REASON)
+    orphans = history.where(f"{REASON} = '{ORPHAN_REASON}'")
     admitted = with_known_key(orphans, employees).select("id")
     if admitted.isEmpty():
         return -1

@@ -11,7 +11,7 @@ from ..functions.rules import activity_rules, is_commute
 from ..functions.timestamps import epoch_text
 from ..operators import cdc, cohorts, eligibility, notify, quality, reference
 from ..schemas import CHANGE_COLUMNS
-from ..session import scratch_dir
+from ..session import scratch_dir, size_shuffles
 from ..sources.reference_csv import CSV_OPTIONS, load_reference
 from ..sources.tables import BatchLog, SnapshotTable
 from ..streaming.bronze import start_landing
@@ -34,6 +34,7 @@ def query(function: Query) -> Query:
     @wraps(function)
     def pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        size_shuffles(spark, *(f"{sf_dir}/{name}.parquet" for name in ("events", "customer")))
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = pinned
@@ -104,8 +105,8 @@ def gold_publish(spark, sf_dir):
 
 @query
 def dq_rule_flags(spark, sf_dir):
-    flags = [rule.broken().alias(rule.name) for rule in activity_rules()]
-    return tables.bronze(spark, sf_dir).select("kafka_offset", *flags)
+    flags = [f"{rule.broken} AS `{rule.name}`" for rule in activity_rules()]
+    return tables.bronze(spark, sf_dir).selectExpr("kafka_offset", *flags)
 
 
 @query
@@ -158,10 +159,10 @@ def rejects_union(spark, sf_dir):
 def quarantine_history(spark, sf_dir):
     """Rejects appended batch by batch, one batch written twice, read back as one table."""
     log = BatchLog(spark, scratch_dir(spark, "quarantine"))
-    feed = tables.bronze(spark, sf_dir).withColumn("wave", F.col("kafka_offset") / 2 % tables.WAVES)
+    feed = tables.bronze(spark, sf_dir, "wave")
     tagged = tag_all(feed, tables.employees(spark, sf_dir))
     for wave in [0, 1, 1, 2]:
-        log.write(quality.rejected_rows(tagged.where(F.col("wave") == wave)).drop("wave"), "main", wave)
+        log.write(quality.rejected_rows(tagged.where(f"wave = {wave}")).drop("wave"), "main", wave)
     return log.read().select("id", "employee_id", "kafka_offset", "rejection_reason", "batch_id")
 
 
@@ -234,8 +235,8 @@ def silver_dedup_first(spark, sf_dir):
 def _merged(spark, sf_dir, null_safe):
     """First versions are the table, all later ones the changes."""
     staff = tables.employees(spark, sf_dir)
-    feed = tables.bronze(spark, sf_dir).withColumn("wave", F.col("kafka_offset") / 2 % tables.WAVES)
-    first, later = feed.where(F.col("wave") == 0), feed.where(F.col("wave") > 0)
+    feed = tables.bronze(spark, sf_dir, "wave")
+    first, later = feed.where("wave = 0"), feed.where("wave > 0")
     target = cdc.initial_rows(silver_changes(first, staff, order=FEED_ORDER))
     changes = silver_changes(later, staff, order=FEED_ORDER)
     return cdc.apply_changes(target, changes, null_safe=null_safe).drop("updated_at")
@@ -333,7 +334,7 @@ def notify_payload(spark, sf_dir):
 
 
 def _deliver(spark, sf_dir, lake, wave):
-    sent = tables.messages(spark, sf_dir).where(F.col("wave") == wave).drop("wave")
+    sent = tables.messages(spark, sf_dir).where(f"wave = {wave}").drop("wave")
     sent.write.mode("append").parquet(lake.path("feed"))
     start_landing(lake, file_messages(spark, lake.path("feed")), availableNow=True).awaitTermination()
 

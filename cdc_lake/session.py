@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Nothing here fixes a partition count: AQE starts from a high one and merges
-# small partitions up to the advisory size, so one setting serves 1 GB and 100 TB.
+from .sources import files
+
 SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,10 +16,12 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.parquet.filterPushdown": "true",
 }
 
-_TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_PARTITION_BYTES = 256 * 1024 * 1024
+# Blocks to fetch are map tasks times width. Past this, partitions that spill cost less.
+_WIDEST = 50_000
 
 
 def build_session(app_name: str = "cdc_lake", **conf: str) -> SparkSession:
@@ -32,10 +34,22 @@ def build_session(app_name: str = "cdc_lake", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shuffle_conf(input_bytes: int, cores: int) -> dict[str, str]:
-    """Initial shuffle width for a known input size: about 128 MB a partition, never below the cores."""
-    width = max(cores, -(-input_bytes // _TARGET_PARTITION_BYTES))
-    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width)}
+def shuffle_width(input_bytes: int) -> int:
+    return min(_WIDEST, -(-input_bytes // _PARTITION_BYTES))
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Let shuffles start wide enough for the files under ``paths``.
+
+    AQE merges small partitions but splits only skewed joins, so the width it starts from
+    must fit the input: 200 partitions of 100 TB would be 500 GB each. Small inputs keep the
+    session's own setting.
+    """
+    width = shuffle_width(sum(files.size(spark, path) for path in paths))
+    if width > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(_WIDTH, str(width))
+    else:
+        spark.conf.unset(_WIDTH)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

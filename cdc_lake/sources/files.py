@@ -22,6 +22,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(location))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes in a file or folder; 0 if there is none."""
+    system, location = _locate(spark, path)
+    return system.getContentSummary(location).getLength() if system.exists(location) else 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, location = _locate(spark, path)
     system.delete(location, True)

@@ -21,6 +21,10 @@ class Version:
     run: str
     batch_id: int
 
+    def __post_init__(self):
+        if not _VERSION.fullmatch(self.folder):
+            raise ValueError(f"a run name has letters, digits, _ and - only: '{self.run}'")
+
     @property
     def folder(self) -> str:
         return f"version-{self.number:010d}.{self.run}.{self.batch_id}"
@@ -135,22 +139,23 @@ class BatchLog:
         """Everything written so far; columns that appeared later are null in earlier batches."""
         try:
             return self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        except AnalysisException:
+        except AnalysisException:  # no folder, or no batch in it
             return None
 
 
 def row_count(spark: SparkSession, path: str) -> int:
-    """Rows of a Parquet folder, from its footers; -1 if it cannot be read."""
+    """Rows of a Parquet folder, from its footers; -1 if it is missing or cannot be read."""
     try:
         return spark.read.parquet(path).count()
-    except AnalysisException:
+    except Exception:
         return -1
 
 
 def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether there is a row; false if the folder is missing or cannot be read."""
     try:
         return not spark.read.parquet(path).isEmpty()
-    except AnalysisException:
+    except Exception:
         return False
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.cdc import to_bronze
 from ..plans.lake import Lake
 from ..schemas import change_ddl
+from ..sources.reference_csv import load_reference
 
 # -- fixed values: pace, preview size, query names --
 
@@ -52,8 +53,11 @@ def start_preview(lake: Lake, messages: DataFrame, **trigger) -> StreamingQuery:
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def run_bronze(lake: Lake, messages: DataFrame, preview: bool = True) -> None:
-    """Land until stopped. Load the reference files first, with ``load_reference``."""
+def run_bronze(
+    lake: Lake, messages: DataFrame, employees_path: str, sports_path: str, preview: bool = True
+) -> None:
+    """Load the reference files if that was never done, then land until a query ends."""
+    load_reference(lake.spark, employees_path, sports_path, lake.reference)
     start_landing(lake, messages)
     if preview:
         start_preview(lake, messages)

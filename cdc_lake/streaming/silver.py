@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.lake import Lake
 from ..plans.medallion import apply_batch, build_employees, build_gold, replay_orphans
 from ..schemas import bronze_ddl
+from ..session import size_shuffles
 from ..sources.tables import has_rows
 
 
@@ -18,16 +23,31 @@ def start_silver(lake: Lake, **trigger) -> StreamingQuery:
     could see the older one applied last. A long backlog is one big batch, which also
     rewrites Silver once rather than many times.
     """
+    return _start(lake, partial(apply_batch, lake), **(trigger or {"availableNow": True}))
+
+
+def _start(lake: Lake, step: Callable[[DataFrame, int], None], **trigger) -> StreamingQuery:
     stream = lake.spark.readStream.schema(bronze_ddl(lake.options.key_type)).parquet(lake.bronze_path)
     return (
-        stream.writeStream.trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(lambda batch, batch_id: apply_batch(lake, batch, batch_id))
+        stream.writeStream.trigger(**trigger)
+        .foreachBatch(step)
         .option("checkpointLocation", lake.checkpoint("silver"))
         .queryName("Silver - Activities")
         .start()
     )
 
 
+def start_watch(lake: Lake, export_to: str | None = None, interval: str = "60 seconds") -> StreamingQuery:
+    """Silver and Gold after every interval that brought something new."""
+
+    def step(batch, batch_id):
+        build_employees(lake)
+        apply_batch(lake, batch, batch_id)
+        build_gold(lake, export_to)
+
+    return _start(lake, step, processingTime=interval)
+
+
 def refresh(lake: Lake, export_to: str | None = None, replay: bool = False) -> dict[str, int] | None:
     """One pass: employees, then the new activities checked against them, then Gold.
 
@@ -36,6 +56,7 @@ def refresh(lake: Lake, export_to: str | None = None, replay: bool = False) -> d
     """
     if not has_rows(lake.spark, lake.bronze_path):
         return None
+    size_shuffles(lake.spark, lake.bronze_path)
     build_employees(lake)
     before = lake.activities.versions()[-1:]
     start_silver(lake).awaitTermination()

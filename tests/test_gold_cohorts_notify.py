@@ -91,9 +91,9 @@ def test_validation(spark):
 def test_minutes_round_like_the_exact_quotient(spark):
     values = [*range(-100, 40_000), 2**31 - 1, 2**31 - 5, 999_999_999, 1_234_567_893]
     df = spark.createDataFrame([(v,) for v in values], "s int")
-    got = df.select("s", minutes_text("s").alias("m")).collect()
+    got = df.selectExpr("s", f"{minutes_text('s')} AS m").collect()
     assert [(r.s, r.m) for r in got if r.m != f"{r.s / 60:.1f}"] == []
-    assert spark.createDataFrame([(None,)], "s int").select(minutes_text("s")).first()[0] == "0.0"
+    assert spark.createDataFrame([(None,)], "s int").selectExpr(minutes_text("s")).first()[0] == "0.0"
 
 
 MESSAGE = "value string, timestamp timestamp, partition int, offset bigint"

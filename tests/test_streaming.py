@@ -7,14 +7,16 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from cdc_lake.__main__ import main
 from cdc_lake.plans.lake import Lake, Options
 from cdc_lake.plans.medallion import apply_batch, rebuild_silver, replay_orphans
 from cdc_lake.schemas import MESSAGE_DDL
 from cdc_lake.sources.messages import file_messages
+from cdc_lake.sources.reference_csv import load_reference
 from cdc_lake.sources.tables import row_count
 from cdc_lake.streaming.bronze import bronze_rows, start_landing, start_preview
 from cdc_lake.streaming.notifications import start_notifications
-from cdc_lake.streaming.silver import refresh, start_silver
+from cdc_lake.streaming.silver import refresh, start_silver, start_watch
 
 from .conftest import rows
 
@@ -232,3 +234,33 @@ def test_silver_stream_can_keep_running(lake):
     query.processAllAvailable()
     query.stop()
     assert silver(lake) == [(1, 1, "x")]
+
+
+def test_watch_builds_gold_too(lake):
+    Topic(lake).land(change(1), change(2, 2))
+    query = start_watch(lake, interval="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert lake.gold.read().count() == 2 and len(silver(lake)) == 2
+
+
+CSV = {"employees": "ID salarié,Nom,Prénom,Date de naissance,BU,Date d'embauche,Salaire brut,Type de contrat,"
+                    "Nombre de jours de CP,Adresse du domicile,Moyen de déplacement\n"
+                    "1,N,P,1990-01-01,B,2020-01-01,1,CDI,25,x,Marche/running\n",
+       "sports": "ID salarié,Pratique d'un sport\n1,Tennis\n"}
+
+
+def test_jobs_from_the_command_line(spark, lake_root, tmp_path, capsys):
+    lake, inputs = Lake(spark, lake_root), []
+    for name, text in CSV.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+        inputs += [f"--{name}", str(tmp_path / f"{name}.csv")]
+    assert main(["cohorts", "--root", lake_root, *inputs]) == 0
+    assert spark.read.parquet(lake.path("cohorts")).first()["cohort"] == "both"
+    assert main(["cohorts", "--root", lake_root, "--employees", "/none", *inputs[2:]]) == 1
+    load_reference(spark, inputs[1], inputs[3], lake.reference)
+    Topic(lake).land(change(1))
+    assert main(["medallion", "--root", lake_root]) == 0
+    assert main(["medallion", "--root", lake_root]) == 0
+    shown = capsys.readouterr().out
+    assert "'rows': 1" in shown and "nothing new" in shown

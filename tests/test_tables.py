@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import DataFrameWriter, functions as F
 
 from cdc_lake.plans.cohorting import RunSummary, run_cohorting, summary_frame
-from cdc_lake.session import scratch_dir, shuffle_conf
-from cdc_lake.sources import jdbc
+from cdc_lake.session import scratch_dir, shuffle_width, size_shuffles
+from cdc_lake.sources import files, jdbc
 from cdc_lake.sources.delta import merge_sql
 from cdc_lake.sources.messages import kafka_messages
 from cdc_lake.sources.reference_csv import load_employee_data, load_reference, read_employees, read_sports
@@ -213,6 +213,25 @@ def test_scratch_is_the_shared_folder(spark):
     assert one != two and one.startswith(f"{shared}/x-")
 
 
-def test_shuffle_width_follows_the_input():
-    assert shuffle_conf(100 * 2**40, 4000) == {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "819200"}
-    assert shuffle_conf(1, 8) == {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8"}
+def test_shuffle_width_follows_the_input(spark, lake_root):
+    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert (shuffle_width(2**40), shuffle_width(100 * 2**40)) == (4096, 50_000)
+    assert files.size(spark, lake_root) == 0
+    export_parquet(spark.range(1000), lake_root)
+    assert files.size(spark, lake_root) > 1000
+    spark.conf.set(width, "99")
+    size_shuffles(spark, lake_root)
+    assert spark.conf.get(width, None) is None
+
+
+def test_wide_inputs_raise_the_width(spark, monkeypatch):
+    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(files, "size", lambda *_: 60 * 2**30)
+    size_shuffles(spark, "anything")
+    assert spark.conf.get(width) == "240"
+    spark.conf.unset(width)
+
+
+def test_run_names_must_be_plain(spark, lake_root):
+    with pytest.raises(ValueError, match="run name"):
+        SnapshotTable(spark, lake_root).write(spark.range(1), "a.b", 0)
