@@ -41,12 +41,13 @@ def query(function: Query) -> Query:
     return pinned
 
 
-def _changes(spark: SparkSession, sf_dir: str, options: Options = Options()) -> DataFrame:
-    return silver_changes(tables.bronze(spark, sf_dir), tables.employees(spark, sf_dir), options, FEED_ORDER)
+def _changes(spark, sf_dir, options=Options(), staff=None) -> DataFrame:
+    staff = staff or tables.employees(spark, sf_dir)
+    return silver_changes(tables.bronze(spark, sf_dir), staff, options, FEED_ORDER)
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.initial_rows(_changes(spark, sf_dir))
+def _silver(spark, sf_dir, staff=None) -> DataFrame:
+    return cdc.initial_rows(_changes(spark, sf_dir, staff=staff))
 
 
 # -- Gold ------------------------------------------------------------------
@@ -54,8 +55,8 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_eligibility(spark, sf_dir):
-    gold = eligibility.gold_eligibility(tables.employees(spark, sf_dir), _silver(spark, sf_dir))
-    return gold.drop("computed_at")
+    staff = tables.employees(spark, sf_dir)
+    return eligibility.gold_eligibility(staff, _silver(spark, sf_dir, staff)).drop("computed_at")
 
 
 @query
@@ -64,8 +65,8 @@ def activity_stats(spark, sf_dir):
 
 
 def _with_stats(spark, sf_dir):
-    stats = eligibility.activity_stats(_silver(spark, sf_dir))
-    return eligibility.add_stats(tables.employees(spark, sf_dir), stats)
+    staff = tables.employees(spark, sf_dir)
+    return eligibility.add_stats(staff, eligibility.activity_stats(_silver(spark, sf_dir, staff)))
 
 
 @query
@@ -94,8 +95,9 @@ def gold_report(spark, sf_dir):
 def gold_publish(spark, sf_dir):
     """Gold through the tables: Silver written, Gold built from it, its export read back."""
     lake = Lake(spark, scratch_dir(spark, "gold"))
-    lake.employees.write(tables.employees(spark, sf_dir))
-    lake.activities.write(_silver(spark, sf_dir))
+    staff = tables.employees(spark, sf_dir)
+    lake.employees.write(staff)
+    lake.activities.write(_silver(spark, sf_dir, staff))
     build_gold(lake, export_to=lake.path("export"))
     return spark.read.parquet(lake.path("export/employee_eligibility.parquet")).drop("computed_at")
 
@@ -149,8 +151,9 @@ def all_rejected(spark, sf_dir):
 
 @query
 def rejects_union(spark, sf_dir):
-    quarantine = quality.rejected_rows(quality.tag_violations(tables.bronze(spark, sf_dir)))
-    orphans = quality.with_unknown_key(dq_clean(spark, sf_dir), tables.employees(spark, sf_dir))
+    bronze = tables.bronze(spark, sf_dir)
+    quarantine = quality.rejected_rows(quality.tag_violations(bronze))
+    orphans = quality.with_unknown_key(quality.valid_rows(bronze), tables.employees(spark, sf_dir))
     union = quality.union_rejects(quarantine, orphans.drop("details"))
     return union.select("id", "kafka_offset", "details", "rejection_reason")
 
