@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from .operators.eligibility import gold_report
+from .operators.quality import rejection_summary
 from .plans.cohorting import run_cohorting
 from .plans.lake import Lake, Options
 from .session import build_session
@@ -51,10 +53,20 @@ def arguments() -> argparse.ArgumentParser:
     with_source(notify)
     notify.add_argument("--interval", default=NOTIFY_INTERVAL)
 
+    job("report", "rows of Bronze, rejects per rule, Gold figures")
     with_reference(job("cohorts", "employee cohorts, written to <root>/cohorts"))
     return parser
 
 
+def report(lake: Lake) -> None:
+    rejected, gold = lake.quarantine.read(), lake.gold.read()
+    print(f"Bronze rows: {row_count(lake.spark, lake.bronze_path)}")
+    if rejected is not None:
+        rejection_summary(rejected).show(truncate=False)
+    if gold is not None:
+        gold_report(gold).show()
+
+
 def main(argv: list[str] | None = None) -> int:
     given = arguments().parse_args(argv)
     spark = build_session(f"cdc_lake {given.job}")
@@ -73,6 +85,8 @@ def main(argv: list[str] | None = None) -> int:
         print(refresh(lake, given.export_to, given.replay_orphans) or "nothing new")
     elif given.job == "notify":
         start_notifications(lake, messages(), processingTime=given.interval).awaitTermination()
+    elif given.job == "report":
+        report(lake)
     else:
         def sink(frame):
             export_parquet(frame, lake.path("cohorts"))

@@ -28,6 +28,11 @@ def size(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(location).getLength() if system.exists(location) else 0
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, location = _locate(spark, path)
+    system.mkdirs(location)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, location = _locate(spark, path)
     system.delete(location, True)

@@ -12,6 +12,7 @@ from ..plans.lake import Lake
 from ..plans.medallion import apply_batch, build_employees, build_gold, replay_orphans
 from ..schemas import bronze_ddl
 from ..session import size_shuffles
+from ..sources import files
 from ..sources.tables import has_rows
 
 
@@ -27,6 +28,7 @@ def start_silver(lake: Lake, **trigger) -> StreamingQuery:
 
 
 def _start(lake: Lake, step: Callable[[DataFrame, int], None], **trigger) -> StreamingQuery:
+    files.make_folder(lake.spark, lake.bronze_path)  # wait for the first landing rather than fail
     stream = lake.spark.readStream.schema(bronze_ddl(lake.options.key_type)).parquet(lake.bronze_path)
     return (
         stream.writeStream.trigger(**trigger)
@@ -51,16 +53,21 @@ def start_watch(lake: Lake, export_to: str | None = None, interval: str = "60 se
 def refresh(lake: Lake, export_to: str | None = None, replay: bool = False) -> dict[str, int] | None:
     """One pass: employees, then the new activities checked against them, then Gold.
 
-    Nothing happens while Bronze is empty, and Gold is left alone when nothing was new.
-    ``replay`` also admits earlier orphans; use it after the reference data changed.
+    Without news no table is written, unless ``replay`` asks to admit earlier orphans; use
+    that after the reference data changed. Returns the report of Gold, or nothing.
     """
+
+    def step(batch, batch_id):
+        build_employees(lake)
+        apply_batch(lake, batch, batch_id)
+
     if not has_rows(lake.spark, lake.bronze_path):
         return None
     size_shuffles(lake.spark, lake.bronze_path)
-    build_employees(lake)
     before = lake.activities.versions()[-1:]
-    start_silver(lake).awaitTermination()
+    _start(lake, step, availableNow=True).awaitTermination()
     if replay:
+        build_employees(lake)
         replay_orphans(lake)
     if lake.activities.versions()[-1:] == before and not replay:
         return None

@@ -99,8 +99,8 @@ def test_refresh_end_to_end(lake):
     assert lake.spark.read.parquet(lake.path("export/activities.parquet")).count() == 2
     assert lake.spark.read.parquet(lake.path("export/employee_eligibility.parquet")).count() == 2
 
-    before = len(lake.gold.versions())
-    assert refresh(lake) is None and len(lake.gold.versions()) == before
+    before = lake.gold.versions(), lake.employees.versions()
+    assert refresh(lake) is None and (lake.gold.versions(), lake.employees.versions()) == before
 
     topic.land(change(1, deleted="true"), change(2, 2, details="newer"), change(5, 2))
     assert refresh(lake)["eligible_prime"] == 0
@@ -236,10 +236,12 @@ def test_silver_stream_can_keep_running(lake):
     assert silver(lake) == [(1, 1, "x")]
 
 
-def test_watch_builds_gold_too(lake):
-    Topic(lake).land(change(1), change(2, 2))
+def test_watch_waits_for_data_and_builds_gold(lake):
     query = start_watch(lake, interval="1 second")
     query.processAllAvailable()
+    assert not lake.gold.exists() and not lake.employees.exists()
+    Topic(lake).land(change(1), change(2, 2))
+    query.processAllAvailable()
     query.stop()
     assert lake.gold.read().count() == 2 and len(silver(lake)) == 2
 
@@ -262,5 +264,6 @@ def test_jobs_from_the_command_line(spark, lake_root, tmp_path, capsys):
     Topic(lake).land(change(1))
     assert main(["medallion", "--root", lake_root]) == 0
     assert main(["medallion", "--root", lake_root]) == 0
+    assert main(["report", "--root", lake_root]) == 0
     shown = capsys.readouterr().out
-    assert "'rows': 1" in shown and "nothing new" in shown
+    assert "'rows': 1" in shown and "nothing new" in shown and "Bronze rows: 1" in shown
