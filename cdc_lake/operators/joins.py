@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """``rows LEFT JOIN lookup USING (key)``; ``lookup`` must hold at most one row per key.
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``rows`` joined left, semi or anti with ``lookup``, which must hold at most one row per key.
 
     Catalyst broadcasts ``lookup`` when its size is under the broadcast threshold. Beyond
     it, AQE splits the partitions of hot keys, but only where a shuffle feeds the join
@@ -16,7 +16,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     move once more, and a key that holds a third of ``rows`` is spread over many tasks.
     """
     renamed = lookup.withColumnRenamed(key, "_lookup_key")
-    return rows.join(renamed, _same(rows, rows[key], renamed["_lookup_key"], key), "left").drop("_lookup_key")
+    return rows.join(renamed, _same(rows, rows[key], renamed["_lookup_key"], key), how).drop("_lookup_key")
 
 
 def _same(rows: DataFrame, left: Column, right: Column, key: str) -> Column:

@@ -61,15 +61,22 @@ def distinct_keys(reference: DataFrame, key: str = "employee_id") -> DataFrame:
 
 
 def with_known_key(df: DataFrame, reference: DataFrame, key: str = "employee_id") -> DataFrame:
-    """Rows whose key is in the reference. A semi join needs no distinct and never fans out."""
-    return df.join(reference.select(key), key, "left_semi").select(*df.columns)
+    """Rows whose key is in the reference, each once.
+
+    A key that fills a third of either side is harmless: repeats in the reference are
+    merged before they are shuffled, and AQE splits the rows.
+    """
+    return lookup_join(df, distinct_keys(reference, key), key, "left_semi")
 
 
 def with_unknown_key(
     df: DataFrame, reference: DataFrame | None, key: str = "employee_id", at: datetime | None = None
 ) -> DataFrame:
     """Rows whose key is not in the reference, with the reason; none if there is no reference."""
-    missing = df.limit(0) if reference is None else df.join(reference.select(key), key, "left_anti")
+    if reference is None:
+        missing = df.limit(0)
+    else:
+        missing = lookup_join(df, distinct_keys(reference, key), key, "left_anti")
     return missing.select(*df.columns, F.lit(ORPHAN_REASON).alias(REASON), stamp(at).alias("rejected_at"))
 
 

@@ -113,7 +113,7 @@ def replay_orphans(lake: Lake, at: datetime | None = None) -> int:
     admitted = with_known_key(orphans, employees).select("id")
     if admitted.isEmpty():
         return -1
-    affected = lake.bronze().join(admitted, "id", "left_semi")
+    affected = with_known_key(lake.bronze(), admitted, "id")
     changes = silver_changes(affected, employees, lake.options)
     return merge_activities(lake, changes, f"{lake.run}-replay", None, at or datetime.now(timezone.utc))
 

@@ -42,14 +42,13 @@ def size_shuffles(spark: SparkSession, *paths: str) -> None:
     """Let shuffles start wide enough for the files under ``paths``.
 
     AQE merges small partitions but splits only skewed joins, so the width it starts from
-    must fit the input: 200 partitions of 100 TB would be 500 GB each. Small inputs keep the
-    session's own setting.
+    must fit the input: 200 partitions of 100 TB would be 500 GB each. The session's own
+    setting is raised where it is too small, never lowered.
     """
     width = shuffle_width(sum(files.size(spark, path) for path in paths))
-    if width > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    current = spark.conf.get(_WIDTH, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if width > int(current):
         spark.conf.set(_WIDTH, str(width))
-    else:
-        spark.conf.unset(_WIDTH)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -132,3 +132,10 @@ def test_totals_join_splits_a_hot_key(spark, hot):
     stats = activity_stats(hot.withColumn("is_commute", F.lit(True)))
     with conf(spark, **SKEW):
         assert "skew=true" in executed_plan(add_stats(people, stats))
+
+
+def test_latest_version_of_a_hot_id(hot):
+    one_id = hot.withColumn("kafka_offset", F.col("id")).withColumn("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
+    newest = latest_version(one_id, order=["kafka_offset"])
+    assert newest.count() == 80_001
+    assert newest.where("id = -1").first()["kafka_offset"] == 119_997

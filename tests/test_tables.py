@@ -219,7 +219,6 @@ def test_shuffle_width_follows_the_input(spark, lake_root):
     assert files.size(spark, lake_root) == 0
     export_parquet(spark.range(1000), lake_root)
     assert files.size(spark, lake_root) > 1000
-    spark.conf.set(width, "99")
     size_shuffles(spark, lake_root)
     assert spark.conf.get(width, None) is None
 
@@ -229,6 +228,9 @@ def test_wide_inputs_raise_the_width(spark, monkeypatch):
     monkeypatch.setattr(files, "size", lambda *_: 60 * 2**30)
     size_shuffles(spark, "anything")
     assert spark.conf.get(width) == "240"
+    spark.conf.set(width, "999")
+    size_shuffles(spark, "anything")
+    assert spark.conf.get(width) == "999"
     spark.conf.unset(width)
 
 
