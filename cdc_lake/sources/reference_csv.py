@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.rules import sql_text
 from ..operators.reference import join_reference, reference_table, require_columns
 from ..schemas import EMPLOYEES_DDL, SPORTS_DDL
 from . import files
@@ -14,9 +17,16 @@ from .tables import SnapshotTable
 CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
 REQUIRED_EMPLOYEES = {"ID salarié", "Moyen de déplacement"}
 REQUIRED_SPORTS = {"ID salarié", "Pratique d'un sport"}
+# Cell texts that mean "no value" in the untyped load.
+NO_VALUE = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 # -- end of fixed values --
 
+log = logging.getLogger(__name__)
+
 
 def read_employees(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EMPLOYEES_DDL).options(**CSV_OPTIONS).csv(path)
@@ -41,8 +51,16 @@ def load_employee_data(spark: SparkSession, employees_path: str, sports_path: st
     for path in (employees_path, sports_path):
         if not files.exists(spark, path):
             raise FileNotFoundError(path)
-    employees = spark.read.options(**CSV_OPTIONS).csv(employees_path)
-    sports = spark.read.options(**CSV_OPTIONS).csv(sports_path)
+    employees, sports = _read_untyped(spark, employees_path), _read_untyped(spark, sports_path)
     require_columns(employees, REQUIRED_EMPLOYEES, "employees file")
     require_columns(sports, REQUIRED_SPORTS, "sports file")
-    return join_reference(employees, sports)
+    joined = join_reference(employees, sports)
+    if joined.isEmpty():
+        log.warning("no employee in %s", employees_path)
+    return joined
+
+
+def _read_untyped(spark: SparkSession, path: str) -> DataFrame:
+    raw = spark.read.options(**CSV_OPTIONS).csv(path)
+    markers = ", ".join(sql_text(marker) for marker in NO_VALUE)
+    return raw.selectExpr(*(f"IF(`{c}` IN ({markers}), NULL, `{c}`) AS `{c}`" for c in raw.columns))

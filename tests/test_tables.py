@@ -118,6 +118,16 @@ def test_load_employee_data_checks_its_input(spark, csv_files, tmp_path):
         load_employee_data(spark, csv_files[0], csv_files[0])
 
 
+def test_cells_without_value(spark, csv_files, tmp_path, caplog):
+    (tmp_path / "sports.csv").write_text("ID salarié,Pratique d'un sport\n1,N/A\n2,None\n3,Tennis\n", encoding="utf-8")
+    people = load_employee_data(spark, *csv_files)
+    assert rows(people, "`ID salarié`", "`Pratique d'un sport`") == [("1", None), ("2", None), ("3", "Tennis")]
+    assert not caplog.records
+    (tmp_path / "employees.csv").write_text(EMPLOYEES.splitlines()[0] + "\n", encoding="utf-8")
+    assert load_employee_data(spark, *csv_files).isEmpty()
+    assert "no employee" in caplog.text
+
+
 def test_cohort_run(spark, csv_files):
     kept = []
     summary = run_cohorting(spark, *csv_files, sink=lambda df: kept.extend(rows(df)) or len(kept))
