@@ -7,9 +7,9 @@ ORACLES["op10_quality_rules"] = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
 ), words AS (
-  SELECT rid, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM docs
+  SELECT rid, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs
 ), grams AS (
-  SELECT rid, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
+  SELECT rid, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
   FROM words WHERE len(w) >= 3
 ), again AS (
   SELECT rid, i FROM grams QUALIFY count(*) OVER (PARTITION BY rid, g) > 1
@@ -21,7 +21,7 @@ WITH docs AS (
 ), sized AS (
   SELECT *, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
     length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols,
-    len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), x -> x <> '')) AS n_words
+    len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n_words
   FROM lines
 ), judged AS (
   SELECT *, NOT (symbols > 0.08 * chars

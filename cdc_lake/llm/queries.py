@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import quality_rules, secret_scan, token_counts
+from . import jaccard_join, quality_rules, secret_scan, token_counts
 from .common import read
 
 TOKEN_LIMIT = 4096
@@ -25,6 +25,11 @@ def op1_token_counts(spark, sf_dir):
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@query
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_secret_scan(spark, sf_dir):
     return secret_scan.secret_scan(read(spark, sf_dir, "documents"))
