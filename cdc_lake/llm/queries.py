@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import jaccard_join, quality_rules, secret_scan, token_counts
+from . import decontaminate, jaccard_join, quality_classifier, quality_rules, secret_scan, token_counts
 from .common import read
 
 TOKEN_LIMIT = 4096
@@ -30,11 +30,23 @@ def op3_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_quality_classifier(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    judged = quality_classifier.classify(docs, labels, keep=["doc_id", "lang"])
+    return judged.select("doc_id", "lang", F.col("_perplexity").alias("perplexity"), F.col("_threshold").alias("threshold"), F.col("_kept").alias("kept"))
+
+
 @query
 def op5_secret_scan(spark, sf_dir):
     return secret_scan.secret_scan(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(read(spark, sf_dir, "documents")).drop("clean_text")

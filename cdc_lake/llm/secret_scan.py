@@ -136,7 +136,7 @@ def discovery_steps(docs: DataFrame, text: str = "text") -> dict[int, int]:
     runs = docs.where(value.rlike(CANDIDATE)).select(F.explode(F.regexp_extract_all(value, F.lit(CANDIDATE), F.lit(0))).alias("run"))
     runs = runs.where(~F.col("run").rlike(_NUMBER))
     tested = runs.select(_length_class(F.col("run")).alias("length"), F.col("run").rlike(_NATURAL).alias("natural"), _step(F.col("run")).alias("step"))
-    counts = tested.groupBy("length", "step").agg(F.count_if("natural").alias("natural"), F.count_if(~F.col("natural")).alias("other"))
+    counts = tested.groupBy("length", "step").agg(F.count_if(F.col("natural")).alias("natural"), F.count_if(~F.col("natural")).alias("other"))
     classes = counts.select("length").distinct()
     # A class is held against the natural runs of its own length and shorter ones.
     shorter = counts.withColumnRenamed("length", "at").join(classes, F.col("at") <= F.col("length"))
