@@ -26,6 +26,9 @@ ORDER = 5
 #: Of trusted documents, one in so many sets thresholds and is not trained on.
 HELD_OUT = 5
 QUANTILE = 0.995
+#: Few held-out documents have no far quantile: the limit is at least the upper quartile and
+#: so many quartile distances.
+FENCE = 4.0
 #: A text is judged as if so many characters of middling trusted text came with it: the
 #: perplexity of a few words says little.
 PRIOR_CHARS = 50
@@ -286,8 +289,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[DataFra
     scored = stored(scored.withColumn("_lang", _language(F.col("lang"))).where("_bits IS NOT NULL"), "held")
     middle = scored.groupBy("_lang").agg(F.percentile_approx(F.col("_bits") / F.col("_size"), 0.5, 10_000).alias("middle"))
     judged = lookup_join(scored, middle, "_lang", "inner").withColumn("_surprise", _surprise())
-    limits = judged.groupBy("_lang").agg(F.percentile_approx("_surprise", QUANTILE, 10_000).alias("limit"), F.max("middle").alias("middle"))
-    return model, stored(limits, "limits")
+    quantiles = F.percentile_approx("_surprise", F.array(F.lit(0.25), F.lit(0.75), F.lit(QUANTILE)), 10_000)
+    limits = judged.groupBy("_lang").agg(quantiles.alias("q"), F.max("middle").alias("middle"))
+    fence = F.col("q")[1] + FENCE * (F.col("q")[1] - F.col("q")[0])
+    return model, stored(limits.select("_lang", F.greatest(F.col("q")[2], fence).alias("limit"), "middle"), "limits")
 
 
 def _surprise() -> Column:
