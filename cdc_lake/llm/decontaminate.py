@@ -110,7 +110,8 @@ def _blocks(benchmark: DataFrame, text: str):
     n = -(-(items.agg(F.sum(F.length("_item"))).first()[0] or 0) // BLOCK_CHARS)
     for block in range(n):
         rows = items.where(F.pmod(F.xxhash64("_item"), F.lit(n)) == block).collect()
-        yield benchmark.sparkSession.sparkContext.broadcast(sorted((row[0], row[1]) for row in rows))
+        if rows:
+            yield benchmark.sparkSession.sparkContext.broadcast(sorted((row[0], row[1]) for row in rows))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:

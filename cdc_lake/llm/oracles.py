@@ -43,3 +43,44 @@ WITH docs AS (
 )
 SELECT *, NOT base_failed AND word_chars - good_chars <= 0.5 * word_chars AS kept FROM failed
 """
+
+# The entries are derived as in the query; a rule is in force if the last state at or before
+# the fetch lists it.
+ORACLES["op6_url_filter"] = r"""
+WITH captures AS (
+  SELECT DISTINCT page_id, url, (DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER))::DATE AS fetched_at,
+    nullif(regexp_replace(regexp_replace(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':\d*$', ''), '\.$', ''), '') AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), names AS (
+  SELECT 'hosts' AS list_name, 'host' AS kind, host AS value FROM captures
+  UNION SELECT 'domains', 'domain', regexp_extract(host, '^[^.]+\.(.+\..+)$', 1) FROM captures
+  UNION SELECT 'folders', 'path', host || '/' || regexp_extract(path, '^/([^/]+)/', 1) || '/' FROM captures WHERE regexp_extract(path, '^/([^/]+)/', 1) <> ''
+), digits AS (
+  SELECT *, list_transform([1, 2, 3, 4, 5, 6], lambda i: strpos('0123456789abcdef', substr(md5(value), i, 1)) - 1) AS d FROM names WHERE value <> ''
+), chosen AS (
+  SELECT list_name, kind, value, d, d[2] * 16 + d[3] AS day FROM digits WHERE d[1] < 5
+), states AS (
+  SELECT list_name, kind, value, day, true AS listed FROM chosen
+  UNION ALL SELECT list_name, kind, value, day + 20 + d[4], false FROM chosen WHERE d[6] < 12
+  UNION ALL SELECT list_name, kind, value, day + 60 + d[5], true FROM chosen WHERE d[6] < 6
+), dated AS (
+  SELECT list_name, kind, value, listed, (DATE '2024-01-01' + CAST(day AS INTEGER))::DATE AS since,
+    lead((DATE '2024-01-01' + CAST(day AS INTEGER))::DATE) OVER (PARTITION BY list_name, kind, value ORDER BY day) AS until
+  FROM states
+), keys AS (
+  SELECT page_id, url, 'host' AS kind, host AS value FROM captures
+  UNION SELECT page_id, url, 'domain', array_to_string(list_slice(string_split(host, '.'), i, 99), '.')
+    FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM captures WHERE host IS NOT NULL)
+  UNION SELECT page_id, url, 'path', host || '/' || array_to_string(list_slice(f, 1, i), '/') || '/'
+    FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM (
+      SELECT *, list_filter(string_split(regexp_replace(path, '^/|/[^/]*$', '', 'g'), '/'), lambda x: x <> '') AS f FROM captures WHERE host IS NOT NULL))
+), met AS (
+  SELECT DISTINCT page_id, url, list_name, kind, value FROM keys JOIN captures USING (page_id, url) JOIN dated USING (kind, value)
+  WHERE listed AND since <= fetched_at AND (until IS NULL OR fetched_at < until)
+), counted AS (
+  SELECT page_id, url, count(*) AS n_rules, array_to_string(list_sort(list_distinct(list(list_name))), ',') AS lists FROM met GROUP BY page_id, url
+)
+SELECT page_id, url, fetched_at, n_rules IS NOT NULL AS blocked, coalesce(n_rules, 0)::BIGINT AS n_rules, coalesce(lists, '') AS lists
+FROM captures LEFT JOIN counted USING (page_id, url)
+"""

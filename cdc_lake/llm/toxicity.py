@@ -69,8 +69,11 @@ def marginals(odds: np.ndarray, starts: np.ndarray, sizes: np.ndarray, move: np.
     ahead = np.zeros(len(odds))
     last = None
     for at in steps:
-        p = 0.5 if last is None else ahead[last[: len(at)]]
-        one, zero = boost[at] * ((1 - p) * m[0, 1] + p * m[1, 1]), (1 - p) * m[0, 0] + p * m[1, 0]
+        if last is None:  # no transition leads to a first token
+            one, zero = boost[at], 1.0
+        else:
+            p = ahead[last[: len(at)]]
+            one, zero = boost[at] * ((1 - p) * m[0, 1] + p * m[1, 1]), (1 - p) * m[0, 0] + p * m[1, 0]
         ahead[at] = one / (one + zero)
         last = at
     back = np.full(len(odds), 0.5)

@@ -1,0 +1,122 @@
+"""Copies, near copies and their classes against all pairs of a small fixture."""
+
+import random
+import re
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from cdc_lake.llm import jaccard_join
+from cdc_lake.llm.components import components
+
+
+def grams(text):
+    words = re.findall(r"\w+", (text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def expected(texts):
+    """doc_id -> (class, representative, copies, links), by all pairs."""
+    words = {i: " ".join(re.findall(r"\w+", (t or "").lower())) for i, t in texts.items()}
+    same = {}
+    for i in sorted(texts):
+        same.setdefault(words[i] or i, []).append(i)
+    reps = [v[0] for v in same.values()]
+    sets, root, links = {r: grams(texts[r]) for r in reps}, {r: r for r in reps}, dict.fromkeys(reps, 0)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(reps, 2):
+        both = len(sets[a] & sets[b])
+        if both and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+            links[a] += 1
+            links[b] += 1
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {i: (find(v[0]), v[0], len(v), links[v[0]]) for v in same.values() for i in v}
+
+
+def got(frame):
+    return {r.doc_id: (r.class_id, r.rep_id, r.n_copies, r.n_links) for r in frame.collect()}
+
+
+@pytest.fixture
+def corpus(prose):
+    """A large near-copy group (more than two chunks), copies, pairs near the limit, loners."""
+    pick, texts = random.Random(4), {}
+    base = prose(0, 150).split()
+    for i in range(300):
+        words = list(base)
+        for _ in range(pick.randrange(1, 5)):
+            words[pick.randrange(len(words))] = f"alt{pick.randrange(1000)}"
+        texts[i] = " ".join(words)
+    for i in range(300, 340):
+        texts[i] = "An exact copy, of which there are many, and more to come; forever."
+    texts[340] = "an EXACT copy of which there are many and more to come forever"
+    for i in range(350, 420, 2):
+        words = prose(i, 90).split()
+        texts[i], texts[i + 1] = " ".join(words), " ".join(words[: -(i - 348) // 6 or None] + ["tail"])
+    texts |= {430: "", 431: "", 432: None, 433: "...", 434: "two words", 435: "two words", 436: "two other"}
+    return texts
+
+
+def test_matches_all_pairs(docs, corpus):
+    result = jaccard_join.jaccard_join(docs([(i, t, "en") for i, t in corpus.items()]))
+    assert got(result) == expected(corpus)
+
+
+def test_blocks_find_what_sets_find():
+    pick = np.random.default_rng(2)
+    sets = [np.unique(pick.integers(0, 40, 30).astype(np.uint64)) for _ in range(25)]
+    first, second = np.arange(0, 12), np.arange(12, 25)
+    jac = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    a, b = jaccard_join.block_links(sets, first, second, 0.4)
+    assert {*zip(a.tolist(), b.tolist())} == {(i, j) for i in first for j in second if jac(sets[i], sets[j]) >= 0.4}
+    a, b = jaccard_join.block_links(sets, first, first, 0.4)
+    assert {*zip(a.tolist(), b.tolist())} == {(i, j) for i in first for j in first if i < j and jac(sets[i], sets[j]) >= 0.4}
+
+
+def test_recall_follows_from_bands():
+    bands = jaccard_join.bands_for(0.999, 6)
+    assert 1 - (1 - 0.8**6) ** bands >= 0.999 > 1 - (1 - 0.8**6) ** (bands - 1)
+
+
+def test_repeated_null_and_clashing_rows(docs):
+    from pyspark.sql import functions as F
+
+    frame = docs([(1, "a b c d e f", "en"), (1, "a b c d e f", "en"), (None, "a b c d e f", "en"), (2, None, None)])
+    frame = frame.withColumn("node", F.lit(7)).withColumn("digest", F.lit("x")).withColumn("bands", F.lit(0))
+    result = sorted(map(tuple, jaccard_join.jaccard_join(frame).collect()), key=repr)
+    assert result == sorted([(1, 1, 1, 2, 0), (1, 1, 1, 2, 0), (None, None, None, 1, 0), (2, 2, 2, 1, 0)], key=repr)
+    kept = jaccard_join.one_of_each(frame)
+    assert kept.columns == frame.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "None"]
+    assert jaccard_join.jaccard_join(docs([])).count() == 0
+
+
+def test_one_of_each_keeps_the_least(docs, corpus):
+    kept = jaccard_join.one_of_each(docs([(i, t, "en") for i, t in corpus.items()]))
+    assert {r.doc_id for r in kept.collect()} == {i for i, e in expected(corpus).items() if e[0] == i}
+
+
+def test_components_of_a_random_graph(table):
+    pick = random.Random(9)
+    links = [(pick.randrange(400), pick.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 560)] + [(600, i) for i in range(601, 700)] + [(3, None)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if b is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    found = {r.node: r.root for r in components(table(links, "node long, other long")).collect()}
+    assert found == {x: find(x) for x in root}
+    assert components(table([], "node long, other long")).count() == 0
