@@ -74,7 +74,7 @@ WITH captures AS (
     FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM captures WHERE host IS NOT NULL)
   UNION SELECT page_id, url, 'path', host || '/' || array_to_string(list_slice(f, 1, i), '/') || '/'
     FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM (
-      SELECT *, list_filter(string_split(regexp_replace(path, '^/|/[^/]*$', '', 'g'), '/'), lambda x: x <> '') AS f FROM captures WHERE host IS NOT NULL))
+      SELECT *, list_filter(string_split(regexp_extract(path, '(?s)^(.*)/', 1), '/'), lambda x: x <> '') AS f FROM captures WHERE host IS NOT NULL))
 ), met AS (
   SELECT DISTINCT page_id, url, list_name, kind, value FROM keys JOIN captures USING (page_id, url) JOIN dated USING (kind, value)
   WHERE listed AND since <= fetched_at AND (until IS NULL OR fetched_at < until)

@@ -34,7 +34,7 @@ def rule_keys(url: Column) -> Column:
     domains = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: key("domain", F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
     )
-    folders = F.split(F.regexp_replace(path_of(url), r"^/|/[^/]*$", ""), "/")
+    folders = F.split(F.regexp_extract(path_of(url), r"(?s)^(.*)/", 1), "/")
     folders = F.filter(folders, lambda folder: folder != "")
     paths = F.when(F.size(folders) > 0, F.transform(
         F.sequence(F.lit(1), F.size(folders)), lambda i: key("path", F.concat(host, F.lit("/"), F.array_join(F.slice(folders, 1, i), "/"), F.lit("/")))
