@@ -200,10 +200,20 @@ def _shard(model: DataFrame, shards: int, shard: int) -> tuple[Table, Table, dic
     ends = lambda back: F.pmod(31 * F.ascii(F.substring("gram", -back, 1)) + F.ascii(F.substring("gram", -back - 1, 1)), F.lit(shards)) == shard
     grams = model.where("logp IS NOT NULL AND length(gram) > 0").where((F.length("gram") < 3) | ends(2))
     contexts = model.where("backoff IS NOT NULL AND length(gram) > 0").where((F.length("gram") < 2) | ends(1))
-    grams, contexts = grams.select("lang", "gram", "logp").toArrow(), contexts.select("lang", "gram", "backoff").toArrow()
-    marked = zip(grams.column("lang").to_pylist(), grams.column("gram").to_pylist(), grams.column("logp").to_pylist())
-    unseen = {lang: logp for lang, gram, logp in marked if gram == _PAD + "?"}
-    return Table(_keys_of(grams), grams.column("logp").to_numpy()), Table(_keys_of(contexts), contexts.column("backoff").to_numpy()), unseen
+    unseen = model.where(F.col("gram") == _PAD + "?").select("lang", "logp").collect()  # a row per language
+    return _packed(grams, "logp"), _packed(contexts, "backoff"), {row[0]: row[1] for row in unseen}
+
+
+def _packed(entries: DataFrame, value: str) -> Table:
+    """A lookup table of a shard. Tasks turn n-grams into keys, so the driver gets numbers only."""
+
+    def pack(batches):
+        for batch in batches:
+            keys = pa.array(_keys_of(pa.Table.from_batches([batch])).view(np.int64))
+            yield pa.RecordBatch.from_arrays([keys, batch.column(2).cast(pa.float32())], ["key", "value"])
+
+    packed = entries.select("lang", "gram", value).mapInArrow(pack, "key long, value float").toArrow()
+    return Table(packed.column("key").to_numpy().view(np.uint64), packed.column("value").to_numpy())
 
 
 def _scores(langs: list[str], texts: list[str | None], shards: int, shard: int, tables) -> np.ndarray:
@@ -277,15 +287,23 @@ def _scoring(tables, shards, shard, place):
 def _trusted(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ids of trusted documents, to train on and held out: labelled good, and never bad."""
     good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
-    fold = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(HELD_OUT))
-    return good.where(fold > 0), good.where(fold == 0)
+    return good.where(~_held_out()), good.where(_held_out())
+
+
+def _held_out() -> Column:
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(HELD_OUT)) == 0
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The model, and ``_lang, limit, middle``: quantiles of held-out trusted log-losses."""
+    """The model, and ``_lang, limit, middle``: quantiles of held-out trusted log-losses.
+
+    The texts to train on are the only ones shuffled: the held-out fold is scored where it
+    lies, and its trusted part is told by joining the scores.
+    """
     seen, held = _trusted(labels)
-    model = train(docs.select("doc_id", "lang", text).join(seen, "doc_id", "left_semi"), text)
-    scored = perplexities(docs.select("doc_id", "lang", text).join(held, "doc_id", "left_semi"), model, text, ["lang"])
+    texts = docs.select("doc_id", "lang", text)
+    model = train(texts.where(~_held_out()).join(seen, "doc_id", "left_semi"), text)
+    scored = perplexities(texts.where(_held_out()), model, text, ["doc_id", "lang"]).join(held, "doc_id", "left_semi")
     scored = stored(scored.withColumn("_lang", _language(F.col("lang"))).where("_bits IS NOT NULL"), "held")
     middle = scored.groupBy("_lang").agg(F.percentile_approx(F.col("_bits") / F.col("_size"), 0.5, 10_000).alias("middle"))
     judged = lookup_join(scored, middle, "_lang", "inner").withColumn("_surprise", _surprise())
