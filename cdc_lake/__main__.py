@@ -11,6 +11,7 @@ from .plans.cohorting import run_cohorting
 from .plans.lake import Lake, Options
 from .session import build_session
 from .sources.messages import file_messages, kafka_messages
+from .sources.reference_csv import load_reference
 from .sources.tables import export_parquet, row_count
 from .streaming.bronze import run_bronze
 from .streaming.notifications import NOTIFY_INTERVAL, start_notifications
@@ -33,6 +34,8 @@ def arguments() -> argparse.ArgumentParser:
         added.add_argument("--topic", help="Kafka topic")
         added.add_argument("--starting", default="earliest")
         added.add_argument("--messages", help="folder of message files, instead of Kafka")
+        added.add_argument("--offsets-per-batch", help="Kafka's maxOffsetsPerTrigger")
+        added.add_argument("--min-partitions", help="Kafka's minPartitions")
 
     def with_reference(added: argparse.ArgumentParser) -> None:
         added.add_argument("--employees", required=True)
@@ -42,12 +45,19 @@ def arguments() -> argparse.ArgumentParser:
     with_source(bronze)
     with_reference(bronze)
     bronze.add_argument("--no-preview", action="store_true")
+    bronze.add_argument("--drop-tombstones", action="store_true")
 
     silver = job("medallion", "Silver and Gold from what Bronze gained")
     silver.add_argument("--mode", choices=["single", "watch"], default="single")
     silver.add_argument("--interval", type=int, default=60, help="seconds between passes in watch mode")
     silver.add_argument("--export-to")
-    silver.add_argument("--replay-orphans", action="store_true")
+    silver.add_argument("--replay-orphans", action="store_true", help="admit orphans whose employee is known now")
+    silver.add_argument("--files-per-batch", type=int, help="Bronze files of one batch at most")
+    silver.add_argument("--buckets", type=int, help="store Silver in so many buckets")
+    silver.add_argument("--employees", help="load the reference files again first, with --sports")
+    silver.add_argument("--sports")
+    for flag in ("plain-compare", "exempt-deletes", "dedup-first"):
+        silver.add_argument(f"--{flag}", action="store_true")
 
     notify = job("notify", "a message about the last change of each batch")
     with_source(notify)
@@ -70,19 +80,30 @@ def report(lake: Lake) -> None:
 def main(argv: list[str] | None = None) -> int:
     given = arguments().parse_args(argv)
     spark = build_session(f"cdc_lake {given.job}")
-    lake = Lake(spark, given.root, given.run, options=Options(key_type=given.key_type))
+    options = Options(
+        null_safe=not getattr(given, "plain_compare", False),
+        exempt_deletes=getattr(given, "exempt_deletes", False),
+        dedup_first=getattr(given, "dedup_first", False),
+        drop_tombstones=getattr(given, "drop_tombstones", False),
+        key_type=given.key_type,
+    )
+    lake = Lake(spark, given.root, given.run, getattr(given, "buckets", None), options)
 
     def messages():
         if given.messages:
             return file_messages(spark, given.messages)
-        return kafka_messages(spark, given.servers, given.topic, given.starting)
+        limits = {"maxOffsetsPerTrigger": given.offsets_per_batch, "minPartitions": given.min_partitions}
+        return kafka_messages(spark, given.servers, given.topic, given.starting, **{k: v for k, v in limits.items() if v})
 
+    if given.job == "medallion" and given.employees and given.sports:
+        load_reference(spark, given.employees, given.sports, lake.reference, refresh=True, key_type=given.key_type)
     if given.job == "bronze":
         run_bronze(lake, messages(), given.employees, given.sports, not given.no_preview)
     elif given.job == "medallion" and given.mode == "watch":
-        start_watch(lake, given.export_to, f"{given.interval} seconds").awaitTermination()
+        interval = f"{given.interval} seconds"
+        start_watch(lake, given.export_to, interval, given.replay_orphans, given.files_per_batch).awaitTermination()
     elif given.job == "medallion":
-        print(refresh(lake, given.export_to, given.replay_orphans) or "nothing new")
+        print(refresh(lake, given.export_to, given.replay_orphans, given.files_per_batch) or "nothing new")
     elif given.job == "notify":
         start_notifications(lake, messages(), processingTime=given.interval).awaitTermination()
     elif given.job == "report":
@@ -92,7 +113,7 @@ def main(argv: list[str] | None = None) -> int:
             export_parquet(frame, lake.path("cohorts"))
             return row_count(spark, lake.path("cohorts"))
 
-        summary = run_cohorting(spark, given.employees, given.sports, sink)
+        summary = run_cohorting(spark, given.employees, given.sports, sink, given.key_type)
         print(summary)
         return 0 if summary.success else 1
     return 0

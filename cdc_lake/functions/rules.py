@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
@@ -13,6 +14,11 @@ DISTANCE_LIMITS_BY_SPORT = {
     "Marche/running": 15_000,
     "Vélo/Trottinette/Autres": 25_000,
 }
+# Names of the two distance rules, as they stand in a rejection reason.
+OUTLIER_LABELS = {
+    "Marche/running": "distance_outlier_marche",
+    "Vélo/Trottinette/Autres": "distance_outlier_vélo",
+}
 SPORT_TRANSPORT_MODES = ("Marche/running", "Vélo/Trottinette/Autres")
 MIN_ACTIVITIES_WELLNESS = 15
 ORPHAN_REASON = "employee_id_not_in_reference"
@@ -21,6 +27,10 @@ REASON_SEPARATOR = ", "
 # -- end of fixed values --
 
 
+# A limit without a label of its own is named by the words before the first slash of its sport.
+_HEAD, _WORDS = re.compile(r"[^/]*"), re.compile(r"\w+")
+
+
 @dataclass(frozen=True)
 class Rule:
     """``broken`` is an SQL predicate that is true for a row that violates the rule.
@@ -39,9 +49,8 @@ def sql_text(value: str) -> str:
 
 
 def _too_far(sport: str, limit: int) -> Rule:
-    label = sport.partition("/")[0].lower().replace(" ", "_")
     return Rule(
-        f"distance_outlier_{label}",
+        OUTLIER_LABELS.get(sport) or "_".join(["distance_outlier", *_WORDS.findall(_HEAD.match(sport)[0].casefold())]),
         f"distance IS NOT NULL AND distance > {limit} AND coalesce(contains(sport_type, {sql_text(sport)}), false)",
     )
 

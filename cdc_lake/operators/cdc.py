@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.rules import is_active, is_commute
-from ..functions.timestamps import epoch_text, stamp, stamp_sql
+from ..functions.timestamps import epoch_text, stamp, stamp as stamp_at, stamp_sql
 from ..schemas import CHANGE_DDL
 
 # Arrival order. The two Kafka columns make it total: all changes of one
@@ -71,9 +71,15 @@ def latest_version(changes: DataFrame, key: str = "id", order: Sequence[str] = A
     return changes.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
-def to_silver(changes: DataFrame) -> DataFrame:
-    """Silver columns, with the delete flag still there for the merge."""
-    return changes.withColumn("is_commute", is_commute()).select(*SILVER_COLUMNS, "__deleted")
+def latest_or_keyless(changes: DataFrame, key: str = "id", order: Sequence[str] = ARRIVAL) -> DataFrame:
+    """The last row per key, and every row without a key: those are no versions of each other."""
+    newest = latest_version(changes.where(f"{key} IS NOT NULL"), key, order)
+    return newest.unionByName(changes.where(f"{key} IS NULL"))
+
+
+def to_silver(changes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Silver columns, with the delete flag still there for the merge, and the columns to ``keep``."""
+    return changes.withColumn("is_commute", is_commute()).select(*SILVER_COLUMNS, "__deleted", *keep)
 
 
 def active_rows(changes: DataFrame, flag: str = "__deleted") -> DataFrame:
@@ -134,3 +140,54 @@ def apply_changes(
         .withColumn("take_new", F.expr(take_new))
         .selectExpr(*(f"{result[c]} AS {c}" for c in target.columns))
     )
+
+
+def apply_in_order(
+    target: DataFrame | None,
+    changes: DataFrame,
+    key: str = "id",
+    flag: str = "__deleted",
+    stamp: str = "updated_at",
+    order: Sequence[str] = ARRIVAL,
+    null_safe: bool = True,
+    at: datetime | None = None,
+) -> DataFrame:
+    """The next state of a table that knows when each row arrived. One full outer join.
+
+    A change wins only over an older row, so batches may come twice, late or in parts. The
+    table keeps ``order`` and ``flag``: a deleted key stays as a marker that older changes
+    don't pass (``current_rows`` leaves markers out). A row that lacks them, from a plain
+    first load, counts as older than any change. ``stamp`` moves only if a value does.
+    """
+    if target is None:
+        return changes.withColumn(stamp, stamp_at(at))
+    for name, kind in changes.select(flag, *order).dtypes:
+        target = target if name in target.columns else target.withColumn(name, F.lit(None).cast(kind))
+    values = [c for c in changes.columns if c not in (key, flag, *order)]
+    old, new = target.selectExpr("*", "true AS here").alias("old"), changes.selectExpr("*", "true AS here").alias("new")
+
+    # Arrival as a tuple: the first part that differs decides; a missing arrival is the oldest.
+    later, same = "false", "true"
+    for c in order:
+        later += f" OR ({same} AND (old.{c} IS NULL AND new.{c} IS NOT NULL OR coalesce(new.{c} > old.{c}, false)))"
+        same += f" AND old.{c} <=> new.{c}"
+    unlike = "NOT (old.{0} <=> new.{0})" if null_safe else "old.{0} <> new.{0}"
+    dead = "({0}.{1} <=> 'true')"
+    changed = " OR ".join([*(unlike.format(c) for c in values), f"{dead.format('old', flag)} <> {dead.format('new', flag)}"])
+    result = {
+        key: f"coalesce(old.{key}, new.{key})",
+        **{c: f"IF(moved, new.{c}, old.{c})" for c in values},
+        **{c: f"IF(newer, new.{c}, old.{c})" for c in (flag, *order)},
+        stamp: f"IF(moved, {stamp_sql(at)}, old.{stamp})",
+    }
+    return (
+        old.join(new, F.expr(f"old.{key} = new.{key}"), "full_outer")
+        .withColumn("newer", F.expr(f"new.here IS NOT NULL AND (old.here IS NULL OR {later})"))
+        .withColumn("moved", F.expr(f"newer AND (old.here IS NULL OR coalesce({changed}, false))"))
+        .selectExpr(*(f"{result[c]} AS {c}" for c in (key, *values, flag, *order, stamp)))
+    )
+
+
+def current_rows(table: DataFrame, flag: str = "__deleted", order: Sequence[str] = ARRIVAL) -> DataFrame:
+    """A table kept by ``apply_in_order`` without delete markers and arrival columns."""
+    return active_rows(table, flag).drop(flag, *order) if flag in table.columns else table

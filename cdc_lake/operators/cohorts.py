@@ -20,20 +20,20 @@ RAW = {
 # -- end of fixed values --
 
 
-def _employee_id(df: DataFrame, column: str) -> Column:
+def _employee_id(df: DataFrame, column: str, key_type: str) -> Column:
     raw = F.col(f"`{column}`")
     if isinstance(df.schema[column].dataType, T.IntegralType):
-        return raw.try_cast("int")
-    number = raw.try_cast("double")
-    return F.when(number == F.floor(number), number.try_cast("int"))
+        return raw.try_cast(key_type)
+    number = raw.try_cast("decimal(38,9)")  # exact for every whole number that fits
+    return F.when(number == F.floor(number), number.try_cast(key_type))
 
 
-def tag_employees(df: DataFrame) -> DataFrame:
+def tag_employees(df: DataFrame, key_type: str = "int") -> DataFrame:
     """The three cohort fields, cast, and ``invalid``: which required field is missing or unusable."""
     raw = {name: (column if column in df.columns else name) for name, column in RAW.items()}
     sport = F.col(f"`{raw['sport_practice']}`")
     fields = df.select(
-        _employee_id(df, raw["employee_id"]).alias("employee_id"),
+        _employee_id(df, raw["employee_id"], key_type).alias("employee_id"),
         F.col(f"`{raw['transport_mode']}`").alias("transport_mode"),
         F.when(F.trim(sport) != "", sport).alias("sport_practice"),
     )
@@ -44,18 +44,18 @@ def tag_employees(df: DataFrame) -> DataFrame:
     )
 
 
-def validate_employees(df: DataFrame) -> DataFrame:
+def validate_employees(df: DataFrame, key_type: str = "int") -> DataFrame:
     """Strict validation: any bad row stops the run. One counting job, nothing collected."""
-    tagged = tag_employees(df)
+    tagged = tag_employees(df, key_type)
     bad = tagged.agg(F.count_if(F.col("invalid") != "").alias("bad")).first()["bad"]
     if bad:
         raise ValueError(f"{bad} employee record(s) without a usable employee_id or transport_mode")
     return tagged.drop("invalid")
 
 
-def split_employees(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lenient validation: valid rows, and bad rows with what is wrong."""
-    tagged = tag_employees(df)
+def split_employees(df: DataFrame, key_type: str = "int") -> tuple[DataFrame, DataFrame]:
+    """Lenient validation: valid rows, and bad rows with what is wrong. An id that doesn't fit is a bad row."""
+    tagged = tag_employees(df, key_type)
     return tagged.where(F.col("invalid") == "").drop("invalid"), tagged.where(F.col("invalid") != "")
 
 

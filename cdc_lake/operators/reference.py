@@ -44,6 +44,3 @@ def require_columns(df: DataFrame, required: set[str], name: str) -> DataFrame:
         raise ValueError(f"{name} lacks columns {sorted(missing)}")
     return df
 
-
-def employee_keys(employees: DataFrame, key: str = "employee_id") -> DataFrame:
-    return employees.select(key).where(F.isnotnull(key)).distinct()

@@ -26,10 +26,11 @@ def run_cohorting(
     employees_path: str,
     sports_path: str,
     sink: Callable[[DataFrame], int] | None = None,
+    key_type: str = "int",
 ) -> RunSummary:
     """Load, validate, report, drop the non-eligible, label, write. A failure becomes the summary's error."""
     try:
-        people = validate_employees(load_employee_data(spark, employees_path, sports_path))
+        people = validate_employees(load_employee_data(spark, employees_path, sports_path), key_type)
         report = cohort_shares(people).collect()  # four rows
         total = sum(row["employees"] for row in report)
         outside = sum(row["employees"] for row in report if row["cohort"] == NONE)

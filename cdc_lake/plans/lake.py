@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.cdc import current_rows
 from ..sources.tables import BatchLog, SnapshotTable
 
 
@@ -15,7 +16,9 @@ class Options:
 
     ``dedup_first`` keeps the newest version of a key before validation instead of after, so
     a broken newest version removes the key from the batch rather than falling back to an
-    older one. ``key_type`` widens the ids of the feed.
+    older one; superseded versions are then neither valid nor rejected, and rows without an
+    id, which supersede nothing, are all rejected. ``key_type`` widens the ids of the feed
+    and of the reference files.
     """
 
     null_safe: bool = True
@@ -25,6 +28,17 @@ class Options:
     key_type: str = "int"
 
 
+class CurrentTable(SnapshotTable):
+    """A table kept in order of arrival: ``read`` shows its rows, ``history`` delete markers and arrival too."""
+
+    def read(self) -> DataFrame | None:
+        rows = self.history()
+        return None if rows is None else current_rows(rows)
+
+    def history(self) -> DataFrame | None:
+        return super().read()
+
+
 @dataclass(frozen=True)
 class Lake:
     spark: SparkSession
@@ -45,9 +59,9 @@ class Lake:
         return SnapshotTable(self.spark, self.path("reference"))
 
     @property
-    def activities(self) -> SnapshotTable:
+    def activities(self) -> CurrentTable:
         bucket_by = (self.buckets, "id") if self.buckets else None
-        return SnapshotTable(self.spark, self.path("silver/activities"), bucket_by)
+        return CurrentTable(self.spark, self.path("silver/activities"), bucket_by)
 
     @property
     def employees(self) -> SnapshotTable:
@@ -61,6 +75,11 @@ class Lake:
     def quarantine(self) -> BatchLog:
         return BatchLog(self.spark, self.path("quarantine/activities"))
 
+    @property
+    def replayed(self) -> BatchLog:
+        """Topic positions of the orphans that were admitted."""
+        return BatchLog(self.spark, self.path("quarantine/replayed"))
+
     @property
     def notifications(self) -> BatchLog:
         return BatchLog(self.spark, self.path("notifications"))

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.rules import ORPHAN_REASON
-from ..operators.cdc import ARRIVAL, apply_changes, initial_rows, latest_version, to_silver
+from ..operators.cdc import ARRIVAL, apply_in_order, latest_or_keyless, latest_version, to_silver
 from ..operators.eligibility import FLAGS, gold_eligibility
 from ..operators.quality import (
     REASON,
@@ -28,15 +28,16 @@ def tag_all(
     bronze: DataFrame, employees: DataFrame | None, options: Options = Options(), order: Sequence[str] = ARRIVAL
 ) -> DataFrame:
     """Bronze rows with every reason against them, rules and key check, in one pass."""
-    rows = latest_version(bronze, order=order) if options.dedup_first else bronze
+    rows = latest_or_keyless(bronze, order=order) if options.dedup_first else bronze
     tagged = tag_violations(rows, exempt_deletes=options.exempt_deletes)
     return tag_orphans(tagged, employees, exempt_deletes=options.exempt_deletes)
 
 
 def silver_changes(
-    bronze: DataFrame, employees: DataFrame | None, options: Options = Options(), order: Sequence[str] = ARRIVAL
+    bronze: DataFrame, employees: DataFrame | None, options: Options = Options(), order: Sequence[str] = ARRIVAL,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One change per key, ready to merge.
+    """One change per key, ready to merge, with the columns to ``keep`` besides Silver's.
 
     Where only the valid rows are wanted, rules become scan filters and the key check a
     semi join; nothing is tagged.
@@ -47,7 +48,7 @@ def silver_changes(
         rows = latest_version(bronze, order=order) if options.dedup_first else bronze
         valid = valid_rows(rows)
         valid = valid if employees is None else with_known_key(valid, employees)
-    return to_silver(valid if options.dedup_first else latest_version(valid, order=order))
+    return to_silver(valid if options.dedup_first else latest_version(valid, order=order), keep)
 
 
 def build_employees(lake: Lake, at: datetime | None = None) -> dict[str, int]:
@@ -55,36 +56,43 @@ def build_employees(lake: Lake, at: datetime | None = None) -> dict[str, int]:
     reference = lake.reference.read()
     if reference is None:
         raise ValueError(f"no reference table in {lake.reference.path}")
+    source = lake.reference.state()
     return lake.employees.write(
-        silver_employees(reference, at), lake.run, null_keys=F.count_if(F.isnull("employee_id"))
+        silver_employees(reference, at), lake.run, built_from=source, null_keys=F.count_if(F.isnull("employee_id"))
     )
 
 
+def ensure_employees(lake: Lake) -> dict[str, int] | None:
+    """Silver employees anew if the reference table is not the one they were built from."""
+    if lake.employees.exists() and lake.employees.source() == lake.reference.state():
+        return None
+    return build_employees(lake)
+
+
 def merge_activities(lake: Lake, changes: DataFrame, run: str, batch_id: int | None, at: datetime) -> int:
-    """Merge one-per-key changes into Silver, or load it the first time. Returns the rows of the new version."""
-    table, aligned = lake.activities, lake.activities.align(changes)
-    current = table.read()
-    if current is None:
-        merged = initial_rows(aligned, at=at)
-    else:
-        merged = apply_changes(
-            current, aligned, null_safe=lake.options.null_safe, check_source=False, at=at
-        )
+    """Merge one-per-key changes into Silver, or load it the first time. Returns the rows of the new version.
+
+    A change wins over older rows only, so the same batch twice, or batches out of order,
+    leave the same Silver. The rows counted include delete markers.
+    """
+    table = lake.activities
+    merged = apply_in_order(table.history(), table.align(changes), null_safe=lake.options.null_safe, at=at)
     return table.write(merged, run, batch_id)["rows"]
 
 
 def apply_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
     """One increment of Bronze. Safe to repeat: quarantine is replaced per batch, Silver applied once.
 
-    The batch is scanned twice, once for the rejects and once for the changes, where the
-    rules filter and prune at the scan. Holding it tagged in between would write all of it
-    to executor disks, which a backlog of any size must not depend on.
+    The batch is read twice, once for the rejects and once for the changes. Holding it
+    tagged in between would write all of it to executor disks, which a backlog of any size
+    must not depend on. Inside a stream the rules filter above the scan of the batch.
     """
     at = datetime.now(timezone.utc)
     employees = lake.employees.read()
     lake.quarantine.write(rejected_rows(tag_all(batch, employees, lake.options), at), lake.run, batch_id)
     if not lake.activities.applied(lake.run, batch_id):
-        merge_activities(lake, silver_changes(batch, employees, lake.options), lake.run, batch_id, at)
+        changes = silver_changes(batch, employees, lake.options, keep=ARRIVAL)
+        merge_activities(lake, changes, lake.run, batch_id, at)
 
 
 def rebuild_silver(lake: Lake, at: datetime | None = None) -> dict[str, int]:
@@ -94,8 +102,8 @@ def rebuild_silver(lake: Lake, at: datetime | None = None) -> dict[str, int]:
     rejected = lake.quarantine.write(
         rejected_rows(tag_all(bronze, employees, lake.options), at), f"{lake.run}-rebuild", 0
     )
-    changes = lake.activities.align(silver_changes(bronze, employees, lake.options))
-    rows = lake.activities.write(initial_rows(changes, at=at), f"{lake.run}-rebuild")["rows"]
+    changes = lake.activities.align(silver_changes(bronze, employees, lake.options, keep=ARRIVAL))
+    rows = lake.activities.write(apply_in_order(None, changes, at=at), f"{lake.run}-rebuild")["rows"]
     return {"rows": rows, "rejected": rejected}
 
 
@@ -103,19 +111,38 @@ def replay_orphans(lake: Lake, at: datetime | None = None) -> int:
     """Admit rows that were orphans once and whose employee is known now.
 
     Keys with such a row are worked out afresh from all their Bronze rows, so a newer
-    version or delete that came in the meantime still wins. Run it after the stream has
-    caught up with Bronze. Returns the rows of the new Silver version, -1 if there is none.
+    version or delete that came in the meantime still wins. Their topic positions are
+    logged once they are in, so that a replay without news writes nothing. Run it after the
+    stream has caught up with Bronze. Returns the rows of the new Silver version, -1 if there
+    is none.
     """
     history, employees = lake.quarantine.read(), lake.employees.read()
     if history is None or employees is None:
         return -1
-    orphans = history.where(f"{REASON} = '{ORPHAN_REASON}'")
-    admitted = with_known_key(orphans, employees).select("id")
+    position = ["kafka_partition", "kafka_offset"]
+    orphans = history.where(f"{REASON} = '{ORPHAN_REASON}'").select("id", "employee_id", *position)
+    done = lake.replayed.read()
+    if done is not None:
+        orphans = orphans.join(done.select(*position), position, "left_anti")
+    admitted = with_known_key(orphans, employees)
     if admitted.isEmpty():
         return -1
-    affected = with_known_key(lake.bronze(), admitted, "id")
-    changes = silver_changes(affected, employees, lake.options)
-    return merge_activities(lake, changes, f"{lake.run}-replay", None, at or datetime.now(timezone.utc))
+    affected = with_known_key(lake.bronze(), admitted.select("id"), "id")
+    changes = silver_changes(affected, employees, lake.options, keep=ARRIVAL)
+    rows = merge_activities(lake, changes, f"{lake.run}-replay", None, at or datetime.now(timezone.utc))
+    lake.replayed.write(admitted.select("id", *position).distinct(), lake.run, lake.activities.versions()[-1].number)
+    return rows
+
+
+def gold_source(lake: Lake) -> str:
+    return f"{lake.activities.state()} {lake.employees.state()}"
+
+
+def ensure_gold(lake: Lake, export_to: str | None = None) -> dict[str, int] | None:
+    """Gold anew if Silver or the employees are not what it was built from: after news, or a lost Gold job."""
+    if not lake.activities.exists() or lake.gold.source() == gold_source(lake):
+        return None
+    return build_gold(lake, export_to)
 
 
 def build_gold(lake: Lake, export_to: str | None = None, at: datetime | None = None) -> dict[str, int]:
@@ -123,9 +150,11 @@ def build_gold(lake: Lake, export_to: str | None = None, at: datetime | None = N
     activities, employees = lake.activities.read(), lake.employees.read()
     if activities is None or employees is None:
         raise ValueError("Gold needs Silver activities and Silver employees")
+    source = gold_source(lake)
     report = lake.gold.write(
         gold_eligibility(employees, activities, at),
         lake.run,
+        built_from=source,
         eligible_prime=F.count_if(FLAGS[0]),
         eligible_wellness=F.count_if(FLAGS[1]),
     )

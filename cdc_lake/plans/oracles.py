@@ -6,7 +6,7 @@ FEED = """
 feed AS (
   SELECT
     CASE WHEN event_id % 97 <> 0 THEN event_id // 3 END AS id,
-    CASE WHEN event_id % 89 <> 0 THEN user_id END AS employee_id,
+    CASE WHEN event_id % 89 <> 0 THEN CASE WHEN event_id % 13 = 5 THEN -1 - user_id ELSE user_id END END AS employee_id,
     CASE WHEN event_id % 83 <> 0 THEN epoch_us(ts) END AS start_timestamp,
     CASE event_type
       WHEN 'click' THEN 'Commute to work - Marche/running'
@@ -47,7 +47,7 @@ staff AS (
          CASE c_nationkey % 3 WHEN 1 THEN 'Runing' WHEN 2 THEN 'Tennis' END AS external_sport,
          CAST(floor(c_acctbal) AS INTEGER) AS salaire_brut,
          c_nationkey
-  FROM customer WHERE c_acctbal >= 0
+  FROM customer
 )"""
 
 BROKEN = {
@@ -169,15 +169,15 @@ landed AS (
 
 _PEOPLE = f"""{STAFF},
 sports AS (
-  SELECT c_custkey AS employee_id,
+  SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN -1 - c_custkey ELSE c_custkey END AS employee_id,
          CASE c_nationkey % 3 WHEN 1 THEN 'Runing' WHEN 2 THEN 'Tennis' END AS external_sport
-  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+  FROM customer
 ),
 joined AS (
   SELECT s.* EXCLUDE (external_sport), sports.external_sport FROM staff s LEFT JOIN sports USING (employee_id)
 ),
 people AS (
-  SELECT CAST(employee_id AS INTEGER) AS employee_id, transport_mode, external_sport AS sport_practice,
+  SELECT employee_id, transport_mode, external_sport AS sport_practice,
          CASE WHEN employee_id = 0 AND transport_mode IS NULL THEN 'employee_id, transport_mode'
               WHEN employee_id = 0 THEN 'employee_id'
               WHEN transport_mode IS NULL THEN 'transport_mode' ELSE '' END AS invalid
@@ -196,7 +196,7 @@ labelled AS (
 )"""
 
 _REFERENCE = f"""WITH {_PEOPLE}
-SELECT CAST(employee_id AS INTEGER) AS employee_id, nom, prenom, '1990-07-06' AS date_de_naissance, bu,
+SELECT employee_id, nom, prenom, '1990-07-06' AS date_de_naissance, bu,
        '2020-12-14' AS date_d_embauche, salaire_brut, type_de_contrat, c_nationkey AS nombre_de_jours_de_cp,
        c_nationkey || ' rue "du Port", 34000' AS adresse_du_domicile, transport_mode, external_sport
 FROM joined"""
@@ -247,7 +247,41 @@ _TOTALS = (
     "total_activities, total_commute_activities, total_external_activities, total_distance_m, total_elapsed_time_s"
 )
 
+# What is rejected under "newest first": of each id the newest version, and all rows without an id.
+DEDUP_REJECTS = f"""{FEED}, {STAFF},
+newest AS (SELECT * FROM bronze WHERE id IS NULL OR kafka_offset = (SELECT max(b.kafka_offset) FROM bronze b WHERE b.id = bronze.id)),
+{_tagged('newest')}
+SELECT id, employee_id, kafka_offset, rejection_reason FROM tagged WHERE rejection_reason <> ''
+UNION ALL
+SELECT id, employee_id, kafka_offset, 'employee_id_not_in_reference' FROM tagged
+WHERE rejection_reason = '' AND employee_id NOT IN (SELECT employee_id FROM staff)"""
+
 ORACLES: dict[str, str] = {
+    "quarantine_dedup_first": f"WITH {DEDUP_REJECTS}",
+    "silver_replayed_batches": f"WITH {SILVER} SELECT * FROM silver",
+    "silver_merge_buckets": f"WITH {SILVER} SELECT * FROM silver",
+    "medallion_refresh": f"WITH {GOLD} SELECT * FROM gold",
+    "bronze_status": f"""WITH {LANDED}
+SELECT 'landed' AS place, count(*) AS records, count(*) > 0 AS has_data FROM landed
+UNION ALL SELECT 'missing', -1, false""",
+    "staff_files": f"""WITH {_PEOPLE}
+SELECT CAST(employee_id AS VARCHAR) AS employee_id, transport_mode, external_sport AS sport_practice FROM joined""",
+    "cohort_run": f"""WITH {_PEOPLE}, staffed AS (
+  SELECT external_sport IS NOT NULL OR coalesce(transport_mode IN ('Marche/running', 'Vélo/Trottinette/Autres'), false) AS inside
+  FROM joined
+)
+SELECT count(*) AS total_employees, count(*) FILTER (WHERE inside) AS eligible_employees,
+       count(*) FILTER (WHERE inside) AS rows_written, true AS success, CAST(NULL AS VARCHAR) AS error FROM staffed""",
+    "cohort_frames": f"WITH {_PEOPLE} SELECT employee_id, cohort AS frame FROM labelled WHERE cohort <> 'none'",
+    "write_counts": f"""WITH {SILVER}
+SELECT 1 AS step, count(*) AS reported, count(*) AS found FROM silver
+UNION ALL SELECT 2, count(*), count(*) FROM silver WHERE is_commute""",
+    "no_reference_keys": f"""WITH {CLEAN}
+SELECT 'passed' AS part, count(*) AS records FROM clean UNION ALL SELECT 'orphans', 0""",
+    "null_key_offenders": f"""WITH {FEED}
+SELECT least(count(*), 10) AS shown, count(*) > 0 AS all_null FROM bronze WHERE employee_id IS NULL""",
+    "ingest_stamps": f"""WITH {LANDED}
+SELECT count(*) AS records, 0 AS unstamped, true AS one_stamp_per_delivery FROM landed""",
     "gold_eligibility": f"WITH {GOLD} SELECT * FROM gold",
     "activity_stats": f"WITH {GOLD} SELECT * FROM stats",
     "employee_totals": f"WITH {GOLD} SELECT employee_id, {_TOTALS} FROM totals",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,17 +11,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.rules import activity_rules, is_commute
 from ..functions.timestamps import epoch_text
 from ..operators import cdc, cohorts, eligibility, notify, quality, reference
+from ..operators.cdc import ARRIVAL
 from ..schemas import CHANGE_COLUMNS
-from ..session import scratch_dir, size_shuffles
-from ..sources.reference_csv import CSV_OPTIONS, load_reference
-from ..sources.tables import BatchLog, SnapshotTable
+from ..session import scratch_dir
+from ..sources.reference_csv import CSV_OPTIONS, load_employee_data, load_reference
+from ..sources.tables import BatchLog, SnapshotTable, export_parquet, has_rows, row_count
 from ..streaming.bronze import start_landing
 from ..streaming.notifications import start_notifications
-from ..streaming.silver import start_silver
+from ..streaming.silver import refresh, start_silver
 from ..sources.messages import file_messages
 from . import driver_tables as tables
 from .lake import Lake, Options
-from .medallion import build_gold, silver_changes, tag_all
+from .cohorting import run_cohorting, summary_frame
+from .medallion import build_gold, ensure_employees, merge_activities, silver_changes, tag_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +37,6 @@ def query(function: Query) -> Query:
     @wraps(function)
     def pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        size_shuffles(spark, *(f"{sf_dir}/{name}.parquet" for name in ("events", "customer")))
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = pinned
@@ -169,6 +171,39 @@ def quarantine_history(spark, sf_dir):
     return log.read().select("id", "employee_id", "kafka_offset", "rejection_reason", "batch_id")
 
 
+@query
+def quarantine_dedup_first(spark, sf_dir):
+    """Rejects when the newest version is chosen before validation: rows without an id all count."""
+    tagged = tag_all(
+        tables.bronze(spark, sf_dir), tables.employees(spark, sf_dir), Options(dedup_first=True), FEED_ORDER
+    )
+    return quality.rejected_rows(tagged).select("id", "employee_id", "kafka_offset", "rejection_reason")
+
+
+@query
+def no_reference_keys(spark, sf_dir):
+    """The key check before there is a reference table: everything passes."""
+    valid, orphans = quality.check_keys(dq_clean(spark, sf_dir), None)
+    count = lambda frame, part: frame.agg(F.count("*").alias("records")).withColumn("part", F.lit(part))
+    return count(valid, "passed").unionByName(count(orphans, "orphans"))
+
+
+@query
+def null_key_offenders(spark, sf_dir):
+    """The preview of rows without an employee: how many it shows, and that all are offenders."""
+    sample = quality.null_key_sample(tables.bronze(spark, sf_dir))
+    return sample.agg(F.count("*").alias("shown"), F.coalesce(F.bool_and(F.isnull("employee_id")), F.lit(False)).alias("all_null"))
+
+
+@query
+def write_counts(spark, sf_dir):
+    """Rows that each overwrite reports, next to the rows that a reader finds."""
+    table, silver, found = SnapshotTable(spark, scratch_dir(spark, "counts")), _silver(spark, sf_dir), []
+    for step, rows in enumerate([silver, silver.where("is_commute")], 1):
+        found.append((step, table.write(rows)["rows"], table.read().count()))
+    return spark.createDataFrame(found, "step int, reported bigint, found bigint")
+
+
 @query
 def bronze_profile(spark, sf_dir):
     return quality.bronze_profile(tables.bronze(spark, sf_dir))
@@ -267,18 +302,60 @@ def reference_join(spark, sf_dir):
 @query
 def reference_csv(spark, sf_dir):
     """The same through CSV files and the create-once reference table."""
-    root = scratch_dir(spark, "reference")
-    for name, frame in [("employees", tables.raw_employees), ("sports", tables.raw_sports)]:
-        frame(spark, sf_dir).write.options(**CSV_OPTIONS).csv(f"{root}/{name}.csv")
+    root = _staff_files(spark, sf_dir)
     table = SnapshotTable(spark, f"{root}/table")
     for _ in range(2):
-        load_reference(spark, f"{root}/employees.csv", f"{root}/sports.csv", table)
+        load_reference(spark, f"{root}/employees.csv", f"{root}/sports.csv", table, key_type="bigint")
     return reference.silver_employees(table.read()).drop("updated_at")
 
 
+def _staff_files(spark, sf_dir, sound=False) -> str:
+    """A folder with the two reference files; ``sound``: with every required field filled in."""
+    root = scratch_dir(spark, "reference")
+    for name, frame in [("employees", tables.raw_employees), ("sports", tables.raw_sports)]:
+        rows = frame(spark, sf_dir)
+        if sound:  # ids from 1 on, and a way to work for everybody
+            rows = rows.withColumn("ID salarié", F.col("ID salarié") + 1)
+            mode = "Moyen de déplacement"
+            rows = rows.withColumn(mode, F.coalesce(mode, F.lit("Transports en commun"))) if mode in rows.columns else rows
+        rows.write.options(**CSV_OPTIONS).csv(f"{root}/{name}.csv")
+    return root
+
+
+@query
+def staff_files(spark, sf_dir):
+    """The two files as they are, after the check that both have what is needed."""
+    root = _staff_files(spark, sf_dir)
+    joined = load_employee_data(spark, f"{root}/employees.csv", f"{root}/sports.csv")
+    return joined.select(*(F.col(f"`{raw}`").alias(name) for name, raw in cohorts.RAW.items()))
+
+
+@query
+def cohort_run(spark, sf_dir):
+    """The summary of the cohort run under strict validation."""
+    root = _staff_files(spark, sf_dir, sound=True)
+
+    def sink(rows):
+        export_parquet(rows, f"{root}/cohorts")
+        return row_count(spark, f"{root}/cohorts")
+
+    return summary_frame(spark, run_cohorting(spark, f"{root}/employees.csv", f"{root}/sports.csv", sink, "bigint"))
+
+
+
+
 def _people(spark, sf_dir):
     joined = reference.join_reference(tables.raw_employees(spark, sf_dir), tables.raw_sports(spark, sf_dir))
-    return cohorts.split_employees(joined)
+    return cohorts.split_employees(joined, "bigint")
+
+
+@query
+def cohort_frames(spark, sf_dir):
+    """The three frames of the split, put together again with their names."""
+    names = (cohorts.SPORT_ONLY, cohorts.TRANSPORT_ONLY, cohorts.BOTH)
+    frames = cohorts.split_by_eligibility(_people(spark, sf_dir)[0])
+    labelled = [frame.select("employee_id", F.lit(name).alias("frame")) for name, frame in zip(names, frames)]
+    return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
 
 
 @query
@@ -369,3 +446,66 @@ def notification_stream(spark, sf_dir):
     tables.messages(spark, sf_dir).drop("wave").write.parquet(lake.path("feed"))
     start_notifications(lake, file_messages(spark, lake.path("feed")), availableNow=True).awaitTermination()
     return lake.notifications.read().select("activity_id", "total_in_batch", "title", "color", "body")
+
+
+@query
+def silver_replayed_batches(spark, sf_dir):
+    """The three deliveries merged out of order and twice, the table's old versions long gone."""
+    lake = Lake(spark, scratch_dir(spark, "replayed"), options=Options(key_type="bigint"))
+    staff, feed = tables.employees(spark, sf_dir), tables.bronze(spark, sf_dir, "wave")
+    feed = feed.withColumn("ingested_at", F.timestamp_micros(F.col("kafka_offset")))
+    for number, wave in enumerate([2, 0, 1, 0, 2]):
+        changes = silver_changes(feed.where(f"wave = {wave}"), staff, keep=ARRIVAL)
+        merge_activities(lake, changes, "waves", number, datetime.now(timezone.utc))
+    return lake.activities.read().drop("updated_at")
+
+
+@query
+def silver_merge_buckets(spark, sf_dir):
+    """Delivered and merged with Silver in buckets."""
+    lake = Lake(spark, scratch_dir(spark, "buckets"), buckets=8, options=Options(key_type="bigint"))
+    lake.employees.write(tables.employees(spark, sf_dir))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+        start_silver(lake).awaitTermination()
+    return lake.activities.read().drop("updated_at")
+
+
+@query
+def medallion_refresh(spark, sf_dir):
+    """Landed and refreshed delivery by delivery, a lost Gold job in between; equals Gold at once."""
+    lake = Lake(spark, scratch_dir(spark, "medallion"), options=Options(key_type="bigint"))
+    root = _staff_files(spark, sf_dir)
+    load_reference(spark, f"{root}/employees.csv", f"{root}/sports.csv", lake.reference, key_type="bigint")
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+        if wave == 1:  # only Silver: the next pass has to make up for Gold
+            ensure_employees(lake)
+            start_silver(lake).awaitTermination()
+        else:
+            refresh(lake)
+    return lake.gold.read().drop("computed_at")
+
+
+@query
+def bronze_status(spark, sf_dir):
+    """Rows of landed Bronze, and of a folder that is not there."""
+    lake = Lake(spark, scratch_dir(spark, "status"), options=Options(key_type="bigint"))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+    places = {"landed": lake.bronze_path, "missing": lake.path("nowhere")}
+    found = [(name, row_count(spark, path), has_rows(spark, path)) for name, path in places.items()]
+    return spark.createDataFrame(found, "place string, records bigint, has_data boolean")
+
+
+@query
+def ingest_stamps(spark, sf_dir):
+    """Every landed row carries a stamp, one for each delivery."""
+    lake = Lake(spark, scratch_dir(spark, "stamps"), options=Options(key_type="bigint"))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+    return lake.bronze().agg(
+        F.count("*").alias("records"),
+        F.count_if(F.isnull("ingested_at")).cast("int").alias("unstamped"),
+        (F.countDistinct("ingested_at") == tables.WAVES).alias("one_stamp_per_delivery"),
+    )

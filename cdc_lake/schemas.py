@@ -15,8 +15,8 @@ _CHANGE_FIELDS = (
     ("__deleted", "string"),
 )
 
-EMPLOYEES_DDL = """
-    `ID salarié` int,
+_EMPLOYEES_DDL = """
+    `ID salarié` {key},
     `Nom` string,
     `Prénom` string,
     `Date de naissance` string,
@@ -29,7 +29,7 @@ EMPLOYEES_DDL = """
     `Moyen de déplacement` string
 """
 
-SPORTS_DDL = "`ID salarié` int, `Pratique d'un sport` string"
+_SPORTS_DDL = "`ID salarié` {key}, `Pratique d'un sport` string"
 
 # -- end of fixed values --
 
@@ -39,6 +39,14 @@ def change_ddl(key_type: str = "int") -> str:
     return ", ".join(f"`{name}` {kind or key_type}" for name, kind in _CHANGE_FIELDS)
 
 
+def employees_ddl(key_type: str = "int") -> str:
+    return _EMPLOYEES_DDL.format(key=key_type)
+
+
+def sports_ddl(key_type: str = "int") -> str:
+    return _SPORTS_DDL.format(key=key_type)
+
+
 CHANGE_DDL = change_ddl()
 CHANGE_COLUMNS = [name for name, _ in _CHANGE_FIELDS]
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from .sources import files
-
 SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,8 +19,6 @@ SCALE_CONF = {
 
 _WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _PARTITION_BYTES = 256 * 1024 * 1024
-# Blocks to fetch are map tasks times width. Past this, partitions that spill cost less.
-_WIDEST = 50_000
 
 
 def build_session(app_name: str = "cdc_lake", **conf: str) -> SparkSession:
@@ -35,20 +32,28 @@ def build_session(app_name: str = "cdc_lake", **conf: str) -> SparkSession:
 
 
 def shuffle_width(input_bytes: int) -> int:
-    return min(_WIDEST, -(-input_bytes // _PARTITION_BYTES))
+    return -(-input_bytes // _PARTITION_BYTES)
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> None:
-    """Let shuffles start wide enough for the files under ``paths``.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Let shuffles of the jobs inside start wide enough for ``input_bytes``.
 
     AQE merges small partitions but splits only skewed joins, so the width it starts from
     must fit the input: 200 partitions of 100 TB would be 500 GB each. The session's own
-    setting is raised where it is too small, never lowered.
+    setting is raised where it is too small, never lowered, and comes back afterwards.
     """
-    width = shuffle_width(sum(files.size(spark, path) for path in paths))
-    current = spark.conf.get(_WIDTH, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if width > int(current):
+    before = spark.conf.get(_WIDTH, None)
+    width = shuffle_width(input_bytes)
+    if width > int(before or spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(_WIDTH, str(width))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_WIDTH)
+        else:
+            spark.conf.set(_WIDTH, before)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

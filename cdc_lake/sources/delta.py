@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -25,6 +27,9 @@ def merge_sql(
 
 
 def merge_into_delta(changes: DataFrame, path: str, columns: list[str], **options) -> None:
-    view = "delta_changes"
+    view = f"delta_changes_{uuid.uuid4().hex}"
     changes.createOrReplaceTempView(view)
-    changes.sparkSession.sql(merge_sql(f"delta.`{path}`", view, columns, **options))
+    try:
+        changes.sparkSession.sql(merge_sql(f"delta.`{path}`", view, columns, **options))
+    finally:
+        changes.sparkSession.catalog.dropTempView(view)

@@ -36,3 +36,24 @@ def make_folder(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     system, location = _locate(spark, path)
     system.delete(location, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or nothing if there is none."""
+    system, location = _locate(spark, path)
+    if not system.exists(location):
+        return None
+    stream = system.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, location = _locate(spark, path)
+    stream = system.create(location, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -30,7 +31,7 @@ def insert_activities(
     """
     if df.isEmpty():
         return False
-    staging = f"{table}_staging"
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"  # of its own: runs may overlap
     columns = ", ".join(INSERT_COLUMNS)
     df.select(*INSERT_COLUMNS).write.mode("overwrite").jdbc(url, staging, properties=properties or {})
     connection = connect()
@@ -43,6 +44,8 @@ def insert_activities(
         connection.commit()
     except Exception:
         connection.rollback()
+        connection.cursor().execute(f"DROP TABLE {staging}")
+        connection.commit()
         raise
     finally:
         connection.close()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.rules import sql_text
 from ..operators.reference import join_reference, reference_table, require_columns
-from ..schemas import EMPLOYEES_DDL, SPORTS_DDL
+from ..schemas import employees_ddl, sports_ddl
 from . import files
 from .tables import SnapshotTable
 
@@ -28,21 +28,23 @@ NO_VALUE = (
 log = logging.getLogger(__name__)
 
 
-def read_employees(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EMPLOYEES_DDL).options(**CSV_OPTIONS).csv(path)
+def read_employees(spark: SparkSession, path: str, key_type: str = "int") -> DataFrame:
+    return spark.read.schema(employees_ddl(key_type)).options(**CSV_OPTIONS).csv(path)
 
 
-def read_sports(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SPORTS_DDL).options(**CSV_OPTIONS).csv(path)
+def read_sports(spark: SparkSession, path: str, key_type: str = "int") -> DataFrame:
+    return spark.read.schema(sports_ddl(key_type)).options(**CSV_OPTIONS).csv(path)
 
 
 def load_reference(
-    spark: SparkSession, employees_path: str, sports_path: str, table: SnapshotTable, refresh: bool = False
+    spark: SparkSession, employees_path: str, sports_path: str, table: SnapshotTable, refresh: bool = False,
+    key_type: str = "int",
 ) -> bool:
     """Write the joined reference table if there is none yet, or on ``refresh``. Returns whether it wrote."""
     if table.exists() and not refresh:
         return False
-    table.write(reference_table(read_employees(spark, employees_path), read_sports(spark, sports_path)))
+    employees, sports = read_employees(spark, employees_path, key_type), read_sports(spark, sports_path, key_type)
+    table.write(reference_table(employees, sports))
     return True
 
 

@@ -6,13 +6,14 @@ import hashlib
 import re
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from . import files
 
 _VERSION = re.compile(r"version-(\d{10})\.([\w-]+)\.(\d+)")
+_APPLIED = re.compile(r"([\w-]+)\.(\d+)")
 _DONE = "_SUCCESS"
+_SOURCE = "_built_from"
 
 
 @dataclass(frozen=True, order=True)
@@ -36,7 +37,8 @@ class SnapshotTable:
 
     ``bucket_by=(n, column)`` stores each version in ``n`` buckets, so a merge on that
     column shuffles the changes only and never the table. ``keep`` versions stay for
-    readers that started earlier.
+    readers that started earlier. Which batches were applied is known for good: before a
+    version goes, its batch is noted in ``_applied``.
     """
 
     spark: SparkSession
@@ -58,7 +60,7 @@ class SnapshotTable:
 
     def applied(self, run: str, batch_id: int) -> bool:
         """Whether this batch of this run is in the table. A restarted batch must not be applied twice."""
-        batches = [v.batch_id for v in self.versions() if v.run == run]
+        batches = [v.batch_id for v in self.versions() if v.run == run] + self._noted(run)
         if batches and max(batches) > batch_id:
             raise ValueError(
                 f"batch {batch_id} of run '{run}' comes after batch {max(batches)} in {self.path}: "
@@ -66,14 +68,41 @@ class SnapshotTable:
             )
         return batch_id in batches
 
+    def _noted(self, run: str) -> list[int]:
+        notes = (_APPLIED.fullmatch(name) for name in files.child_names(self.spark, f"{self.path}/_applied"))
+        return [int(m[2]) for m in notes if m and m[1] == run]
+
+    def _note(self, version: Version) -> None:
+        """Note the version's batch, and forget earlier ones of its run: the highest is what counts."""
+        earlier = self._noted(version.run)
+        if version.batch_id > max(earlier, default=-1):
+            files.write_text(self.spark, f"{self.path}/_applied/{version.run}.{version.batch_id}", "")
+            for batch in earlier:
+                files.remove(self.spark, f"{self.path}/_applied/{version.run}.{batch}")
+
+    def source(self) -> str | None:
+        """What the newest version was built from, as its writer said; nothing if that is not known."""
+        versions = self.versions()
+        return files.read_text(self.spark, f"{self.path}/{versions[-1].folder}/{_SOURCE}") if versions else None
+
+    def state(self) -> str:
+        """A name for the table's present content, for ``built_from`` of what is made of it."""
+        versions = self.versions()
+        return versions[-1].folder if versions else "none"
+
     def align(self, df: DataFrame) -> DataFrame:
         """Partition rows the way the buckets are, for a first load or the change side of a merge."""
         return df.repartition(*self.bucket_by) if self.bucket_by else df
 
     def write(
-        self, df: DataFrame, run: str = "adhoc", batch_id: int | None = None, **metrics: Column
+        self, df: DataFrame, run: str = "adhoc", batch_id: int | None = None, built_from: str | None = None,
+        **metrics: Column,
     ) -> dict[str, int]:
-        """Write the next version. Returns its ``rows`` and the given metrics, measured by the write itself."""
+        """Write the next version. Returns its ``rows`` and the given metrics, measured by the write itself.
+
+        ``built_from`` is noted once the version is complete: a writer that is lost before
+        that leaves a version of unknown source, which its next run replaces.
+        """
         versions = self.versions()
         number = versions[-1].number + 1 if versions else 0
         version = Version(number, run, number if batch_id is None else batch_id)
@@ -88,12 +117,15 @@ class SnapshotTable:
             )
         else:
             writer.parquet(target)
+        if built_from is not None:
+            files.write_text(self.spark, f"{target}/{_SOURCE}", built_from)
         for old in versions[: max(0, len(versions) + 1 - self.keep)]:
+            self._note(old)
             self._drop(old)
         return counted.get
 
     def _catalog_name(self, version: Version) -> str:
-        return f"snapshot_{hashlib.md5(self.path.encode()).hexdigest()[:12]}_{version.number}"
+        return f"snapshot_{hashlib.md5(f'{self.path}/{version.folder}'.encode()).hexdigest()}"
 
     def _load(self, version: Version) -> DataFrame:
         target = f"{self.path}/{version.folder}"
@@ -137,10 +169,10 @@ class BatchLog:
 
     def read(self) -> DataFrame | None:
         """Everything written so far; columns that appeared later are null in earlier batches."""
-        try:
-            return self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        except AnalysisException:  # no folder, or no batch in it
+        runs = [name for name in files.child_names(self.spark, self.path) if name.startswith("run=")]
+        if not any(files.child_names(self.spark, f"{self.path}/{run}") for run in runs):
             return None
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
 
 def row_count(spark: SparkSession, path: str) -> int:

@@ -57,7 +57,7 @@ def run_bronze(
     lake: Lake, messages: DataFrame, employees_path: str, sports_path: str, preview: bool = True
 ) -> None:
     """Load the reference files if that was never done, then land until a query ends."""
-    load_reference(lake.spark, employees_path, sports_path, lake.reference)
+    load_reference(lake.spark, employees_path, sports_path, lake.reference, key_type=lake.options.key_type)
     start_landing(lake, messages)
     if preview:
         start_preview(lake, messages)

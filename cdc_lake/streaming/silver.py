@@ -9,27 +9,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.lake import Lake
-from ..plans.medallion import apply_batch, build_employees, build_gold, replay_orphans
+from ..plans.medallion import apply_batch, ensure_employees, ensure_gold, replay_orphans
 from ..schemas import bronze_ddl
-from ..session import size_shuffles
 from ..sources import files
 from ..sources.tables import has_rows
 
 
-def start_silver(lake: Lake, **trigger) -> StreamingQuery:
+def start_silver(lake: Lake, limit: int | None = None, **trigger) -> StreamingQuery:
     """Apply Bronze increments. The checkpoint knows what is new, and no news runs no batch.
 
-    An increment is all that Bronze has gained, always whole landing batches. A limit on
-    files or bytes would cut a landing batch in two, and a key with versions in both parts
-    could see the older one applied last. A long backlog is one big batch, which also
-    rewrites Silver once rather than many times.
+    Silver knows when each row arrived and lets newer rows win only, so increments may be cut
+    anywhere: ``limit`` (files per trigger) keeps a long backlog in batches of bounded size.
     """
-    return _start(lake, partial(apply_batch, lake), **(trigger or {"availableNow": True}))
+    return _start(lake, partial(apply_batch, lake), limit, **(trigger or {"availableNow": True}))
 
 
-def _start(lake: Lake, step: Callable[[DataFrame, int], None], **trigger) -> StreamingQuery:
+def _start(lake: Lake, step: Callable[[DataFrame, int], None], limit: int | None = None, **trigger) -> StreamingQuery:
     files.make_folder(lake.spark, lake.bronze_path)  # wait for the first landing rather than fail
-    stream = lake.spark.readStream.schema(bronze_ddl(lake.options.key_type)).parquet(lake.bronze_path)
+    source = lake.spark.readStream.schema(bronze_ddl(lake.options.key_type))
+    stream = (source if limit is None else source.option("maxFilesPerTrigger", limit)).parquet(lake.bronze_path)
     return (
         stream.writeStream.trigger(**trigger)
         .foreachBatch(step)
@@ -39,36 +37,35 @@ def _start(lake: Lake, step: Callable[[DataFrame, int], None], **trigger) -> Str
     )
 
 
-def start_watch(lake: Lake, export_to: str | None = None, interval: str = "60 seconds") -> StreamingQuery:
-    """Silver and Gold after every interval that brought something new."""
+def start_watch(
+    lake: Lake, export_to: str | None = None, interval: str = "60 seconds", replay: bool = False,
+    limit: int | None = None,
+) -> StreamingQuery:
+    """Silver and Gold after every interval that brought something new; ``replay`` admits earlier orphans then."""
 
     def step(batch, batch_id):
-        build_employees(lake)
+        ensure_employees(lake)
         apply_batch(lake, batch, batch_id)
-        build_gold(lake, export_to)
+        if replay:
+            replay_orphans(lake)
+        ensure_gold(lake, export_to)
 
-    return _start(lake, step, processingTime=interval)
+    return _start(lake, step, limit, processingTime=interval)
 
 
-def refresh(lake: Lake, export_to: str | None = None, replay: bool = False) -> dict[str, int] | None:
+def refresh(
+    lake: Lake, export_to: str | None = None, replay: bool = False, limit: int | None = None
+) -> dict[str, int] | None:
     """One pass: employees, then the new activities checked against them, then Gold.
 
-    Without news no table is written, unless ``replay`` asks to admit earlier orphans; use
-    that after the reference data changed. Returns the report of Gold, or nothing.
+    Each table is built anew if what it is made of has changed, so a pass also makes up for
+    one that was lost half way, and for new reference data. Without news no table is
+    written. ``replay`` admits earlier orphans. Returns the report of Gold, or nothing.
     """
-
-    def step(batch, batch_id):
-        build_employees(lake)
-        apply_batch(lake, batch, batch_id)
-
     if not has_rows(lake.spark, lake.bronze_path):
         return None
-    size_shuffles(lake.spark, lake.bronze_path)
-    before = lake.activities.versions()[-1:]
-    _start(lake, step, availableNow=True).awaitTermination()
+    ensure_employees(lake)
+    start_silver(lake, limit).awaitTermination()
     if replay:
-        build_employees(lake)
         replay_orphans(lake)
-    if lake.activities.versions()[-1:] == before and not replay:
-        return None
-    return build_gold(lake, export_to)
+    return ensure_gold(lake, export_to)

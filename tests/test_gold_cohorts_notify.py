@@ -105,8 +105,8 @@ def _send(spark, *changes):
         [(None if c is None else json.dumps(c), at, 0, i) for i, c in enumerate(changes)], MESSAGE)
 
 
-NORMAL = {"id": 5, "employee_id": 42, "start_timestamp": 1773563400000000, "sport_type": "Running", "distance": 5000,
-          "elapsed_time": 1800, "details": "Super course", "__deleted": "false"}
+NORMAL = {"id": 77, "employee_id": 1309, "start_timestamp": 1704096000000000, "sport_type": "Aviron", "distance": 8230,
+          "elapsed_time": 2745, "details": "Vent de face", "__deleted": "false"}
 
 
 def _message(spark, *changes):
@@ -115,15 +115,15 @@ def _message(spark, *changes):
 
 def test_message(spark):
     got = _message(spark, NORMAL)
-    assert got["title"] == "Dernière activité sportive — Employé 42" and got["color"] == 3066993
-    assert got["description"] == ("**Sport :** Running\n**Date :** 15/03/2026 à 08:30\n**Distance :** 5000 m\n"
-                                  "**Durée :** 30.0 min\n**Détails :** Super course")
+    assert got["title"] == "Dernière activité sportive — Employé 1309" and got["color"] == 3066993
+    assert got["description"] == ("**Sport :** Aviron\n**Date :** 01/01/2024 à 08:00\n**Distance :** 8230 m\n"
+                                  "**Durée :** 45.8 min\n**Détails :** Vent de face")
     assert json.loads(got["body"]) == {"embeds": [{k: got[k] for k in ("title", "description", "color")}]}
 
 
 def test_message_of_a_delete(spark):
-    got = _message(spark, NORMAL, {"id": 5, "employee_id": 42, "__deleted": "true"}, None)
-    assert got["title"] == "Activité supprimée — Employé 42" and got["color"] == 15158332
+    got = _message(spark, NORMAL, {"id": 77, "employee_id": 1309, "__deleted": "true"}, None)
+    assert got["title"] == "Activité supprimée — Employé 1309" and got["color"] == 15158332
     assert got["description"] is None and got["total_in_batch"] == 2
     assert json.loads(got["body"]) == {"embeds": [{"title": got["title"], "color": 15158332}]}
 

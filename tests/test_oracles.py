@@ -8,7 +8,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from cdc_lake.plans.oracles import ORACLES
+from cdc_lake.plans.queries import QUERIES
 
 from .conftest import TESTDATA
 
@@ -24,7 +25,7 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 SAME_TYPE = {
@@ -41,10 +42,10 @@ def _canonical(names, values):
     return sorted((tuple(row[i] for i in order) for row in values), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, oracle, name):
-    frame = queries()[name](spark, f"{TESTDATA}/{SCALE}")
-    result = oracle.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, f"{TESTDATA}/{SCALE}")
+    result = oracle.execute(ORACLES[name])
     wanted = {column[0]: SAME_TYPE[str(column[1])] for column in result.description}
     assert dict(frame.dtypes) == wanted
     got = _canonical(frame.columns, [tuple(row) for row in frame.collect()])

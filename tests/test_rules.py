@@ -116,13 +116,13 @@ def test_commute(spark):
 
 def test_eligibility(spark):
     df = spark.createDataFrame(
-        [("Marche/running", 5, 14), ("Vélo/Trottinette/Autres", 1, 15), ("Transports en commun", 3, 16),
-         ("véhicule thermique/électrique", 10, 0), ("Marche/running", 0, 0), (None, 5, 99)],
+        [("Vélo/Trottinette/Autres", 1, 14), ("Marche/running", 31, 15), ("Marche/running", None, 16), ("Vélo/Trottinette/Autres", 0, None),
+         ("marche/running", 8, 240), ("", 2, 15), (None, 12, 0)],
         "transport_mode string, total_commute_activities bigint, total_external_activities bigint",
     )
     got = df.select(earns_prime(), earns_wellness()).collect()
-    assert [r[0] for r in got] == [True, True, False, False, False, False]
-    assert [r[1] for r in got] == [False, True, True, False, False, True]
+    assert [r[0] for r in got] == [True, True, False, False, False, False, False]
+    assert [r[1] for r in got] == [False, True, True, False, True, True, False]
 
 
 @pytest.mark.parametrize("raw, name", [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +177,81 @@ def test_orphans_are_admitted_later(spark, lake):
     assert silver(lake) == [(1, 50, "v2"), (7, 50, "only")]
 
 
+def test_a_second_replay_writes_nothing(spark, lake):
+    topic = Topic(lake)
+    topic.land(change(1, 50), change(2, 1))
+    refresh(lake)
+    lake.reference.write(staff(spark, 1, 2, 50))
+    assert refresh(lake, replay=True) is not None
+    assert {r[0] for r in silver(lake)} == {1, 2}
+    before = lake.activities.versions(), lake.gold.versions()
+    assert refresh(lake, replay=True) is None and replay_orphans(lake) == -1
+    assert (lake.activities.versions(), lake.gold.versions()) == before
+
+
+def test_a_lost_gold_job_is_made_up_for(lake, monkeypatch):
+    from cdc_lake.plans import medallion
+
+    topic = Topic(lake)
+    topic.land(change(1))
+    refresh(lake)
+    topic.land(change(2, 2))
+    with monkeypatch.context() as patch:
+        patch.setattr(medallion, "gold_eligibility", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh(lake)
+    assert len(silver(lake)) == 2
+    assert refresh(lake) is not None and refresh(lake) is None
+    assert sum(r[0] for r in rows(lake.gold.read(), "total_activities")) == 2
+
+
+def test_new_staff_without_new_activities(spark, lake):
+    Topic(lake).land(change(1))
+    refresh(lake)
+    staffed = lake.gold.read().count()
+    lake.reference.write(staff(spark, 1, 2, 3, 4, 5, 6))
+    assert refresh(lake)["rows"] == 6 > staffed
+    assert refresh(lake) is None
+
+
+def test_batches_may_come_late_twice_and_in_parts(lake):
+    from cdc_lake.plans.medallion import build_employees, merge_activities, silver_changes
+    from cdc_lake.operators.cdc import ARRIVAL
+
+    build_employees(lake)
+    topic = Topic(lake)
+    topic.land(change(1), change(2, 2))
+    topic.land(change(1, details="new"), change(2, 2, deleted="true"), change(3))
+    topic.land(change(2, 2, details="again"), change(3, deleted="true"))
+    bronze, at = lake.bronze(), datetime.now(timezone.utc)
+    days = [r[0] for r in rows(bronze.select("ingested_at").distinct())]
+    assert len(days) == 3
+    for number, day in enumerate([days[2], days[0], days[1], days[0], days[2]]):
+        batch = bronze.where(F.col("ingested_at") == F.lit(day))
+        merge_activities(lake, silver_changes(batch, lake.employees.read(), keep=ARRIVAL), "parts", number, at)
+        assert lake.activities.read().where("id = 3").isEmpty()
+    assert silver(lake) == [(1, 1, "new"), (2, 2, "again")]
+
+
+def test_employees_of_a_wide_id_reach_gold(spark, lake_root, tmp_path):
+    from cdc_lake.operators.cohorts import split_employees
+    from cdc_lake.sources.reference_csv import load_employee_data, load_reference
+
+    wide = 5_000_000_000
+    (tmp_path / "e.csv").write_text(f"ID salarié,Moyen de déplacement\n{wide},Marche/running\n{wide}.0,x\n{2**60 + 1},x\n1.5,x\n")
+    (tmp_path / "s.csv").write_text(f"ID salarié,Pratique d'un sport\n{wide},Tennis\n")
+    joined = load_employee_data(spark, str(tmp_path / "e.csv"), str(tmp_path / "s.csv"))
+    valid, invalid = split_employees(joined, "bigint")
+    assert rows(valid, "employee_id") == [(2**60 + 1,), (wide,), (wide,)] and invalid.count() == 1
+    header = "ID salarié,Nom,Prénom,Date de naissance,BU,Date d'embauche,Salaire brut,Type de contrat,Nombre de jours de CP,Adresse du domicile,Moyen de déplacement"
+    (tmp_path / "e.csv").write_text(f"{header}\n{wide},N,P,,,,1,,1,,Marche/running\n")
+    lake = Lake(spark, lake_root, options=Options(key_type="bigint"))
+    load_reference(spark, str(tmp_path / "e.csv"), str(tmp_path / "s.csv"), lake.reference, key_type="bigint")
+    Topic(lake).land(change(7, wide))
+    refresh(lake)
+    assert rows(lake.gold.read(), "employee_id", "total_activities") == [(wide, 1)]
+
+
 def test_options(spark, lake_root):
     feed = [change(1), change(1, elapsed=0), change(2), {"id": 2, "__deleted": "true"}]
     results = {}

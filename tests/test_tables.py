@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import DataFrameWriter, functions as F
 
 from cdc_lake.plans.cohorting import RunSummary, run_cohorting, summary_frame
-from cdc_lake.session import scratch_dir, shuffle_width, size_shuffles
+from cdc_lake.session import scratch_dir, shuffle_width, sized_shuffles
 from cdc_lake.sources import files, jdbc
 from cdc_lake.sources.delta import merge_sql
 from cdc_lake.sources.messages import kafka_messages
@@ -183,12 +183,13 @@ def test_insert_is_one_transaction(spark, staged):
     df = spark.createDataFrame([(1, 2, None, "a", 1, 1, "d")], ACTIVITIES)
     connection = FakeConnection()
     assert jdbc.insert_activities(df, "jdbc:x", lambda: connection)
-    assert staged == [("jdbc:x", "activities_staging", {})]
+    staging = staged[0][1]
+    assert staged == [("jdbc:x", staging, {})] and staging.startswith("activities_staging_")
     columns = "employee_id, start_timestamp, sport_type, distance, elapsed_time, details"
     assert connection.log == [
         "TRUNCATE TABLE activities RESTART IDENTITY",
-        f"INSERT INTO activities ({columns}) SELECT {columns} FROM activities_staging",
-        "DROP TABLE activities_staging", "commit", "close"]
+        f"INSERT INTO activities ({columns}) SELECT {columns} FROM {staging}",
+        f"DROP TABLE {staging}", "commit", "close"]
 
 
 def test_insert_rolls_back(spark, staged):
@@ -196,7 +197,8 @@ def test_insert_rolls_back(spark, staged):
     connection = FakeConnection(fail_on="INSERT")
     with pytest.raises(RuntimeError):
         jdbc.insert_activities(df, "jdbc:x", lambda: connection, clean_before_insert=False)
-    assert connection.log[0].startswith("INSERT") and connection.log[1:] == ["rollback", "close"]
+    assert connection.log[0].startswith("INSERT") and connection.log[1:] == [
+        "rollback", f"DROP TABLE {staged[0][1]}", "commit", "close"]
 
 
 def test_insert_of_nothing(spark, staged):
@@ -224,26 +226,47 @@ def test_scratch_is_the_shared_folder(spark):
 
 
 def test_shuffle_width_follows_the_input(spark, lake_root):
-    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert (shuffle_width(2**40), shuffle_width(100 * 2**40)) == (4096, 50_000)
+    assert (shuffle_width(2**40), shuffle_width(100 * 2**40)) == (4096, 409_600)
     assert files.size(spark, lake_root) == 0
     export_parquet(spark.range(1000), lake_root)
     assert files.size(spark, lake_root) > 1000
-    size_shuffles(spark, lake_root)
-    assert spark.conf.get(width, None) is None
 
 
-def test_wide_inputs_raise_the_width(spark, monkeypatch):
+def test_wide_inputs_raise_the_width_for_their_jobs(spark):
     width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    monkeypatch.setattr(files, "size", lambda *_: 60 * 2**30)
-    size_shuffles(spark, "anything")
-    assert spark.conf.get(width) == "240"
+    with sized_shuffles(spark, 1000):
+        assert spark.conf.get(width, None) is None
+    with sized_shuffles(spark, 60 * 2**30):
+        assert spark.conf.get(width) == "240"
+    assert spark.conf.get(width, None) is None
     spark.conf.set(width, "999")
-    size_shuffles(spark, "anything")
+    with sized_shuffles(spark, 60 * 2**30):
+        assert spark.conf.get(width) == "999"
     assert spark.conf.get(width) == "999"
     spark.conf.unset(width)
 
 
+def test_applied_batches_are_known_after_their_version_is_gone(spark, lake_root):
+    table = SnapshotTable(spark, lake_root, keep=2)
+    for batch in range(3):
+        table.write(spark.range(batch + 1), "main", batch)
+    for _ in range(4):
+        table.write(spark.range(9), "replay")
+    assert [v.run for v in table.versions()] == ["replay", "replay"]
+    assert table.applied("main", 2) and not table.applied("main", 3)
+    with pytest.raises(ValueError, match="new run name"):
+        table.applied("main", 1)
+
+
+def test_source_of_a_version(spark, lake_root):
+    table = SnapshotTable(spark, lake_root)
+    assert table.source() is None and table.state() == "none"
+    table.write(spark.range(1), built_from="a 1")
+    assert table.source() == "a 1"
+    table.write(spark.range(1))
+    assert table.source() is None and table.state() == table.versions()[-1].folder
+
+
 def test_run_names_must_be_plain(spark, lake_root):
     with pytest.raises(ValueError, match="run name"):
         SnapshotTable(spark, lake_root).write(spark.range(1), "a.b", 0)
