@@ -115,12 +115,19 @@ def _distinct(sample: list[tuple[str, int]]) -> list[tuple[str, int]]:
 
 def _lexicon(sample: list[tuple[str, int]]) -> set[str]:
     """The signs of toxic documents."""
+    def of(text):
+        return (sign for word in {t.lower() for t in _TOKEN.findall(text)} if word[0].isalnum() for sign in signs(word))
+
     inside, outside, n = Counter(), Counter(), Counter(toxic for _, toxic in sample)
     for text, toxic in sample:
-        found = {sign for word in {t.lower() for t in _TOKEN.findall(text)} if word[0].isalnum() for sign in signs(word)}
-        (inside if toxic else outside).update(found)
+        if toxic:
+            inside.update(set(of(text)))
+    inside = {sign: k for sign, k in inside.items() if k >= LEAST_DOCUMENTS}
+    for text, toxic in sample:
+        if not toxic:  # only signs in question are held
+            outside.update({sign for sign in of(text) if sign in inside})
     scale = max(n[0], 1) / max(n[1], 1)
-    return {s for s, k in inside.items() if k >= LEAST_DOCUMENTS and k * scale / (outside[s] + 0.5) >= LEAST_ODDS}
+    return {s for s, k in inside.items() if k * scale / (outside[s] + 0.5) >= LEAST_ODDS}
 
 
 class Model:
@@ -154,7 +161,8 @@ class Model:
         if not ids:
             return
         counts = np.array([len(x) for x in ids])
-        flat, owner = np.concatenate([np.array(x) for x in ids]), np.repeat(np.arange(len(ids)), counts)
+        flat = np.fromiter((f for x in ids for f in x), np.int32, counts.sum())
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
         y, starts, sizes = np.array(labels, float), np.array(starts), np.array(sizes)
         inner = np.ones(len(ids), bool)
         inner[starts + sizes - 1] = False
