@@ -257,21 +257,23 @@ def perplexities(docs: DataFrame, model: DataFrame, text: str = "text", keep: li
     """
     keep, spark = keep or docs.columns, docs.sparkSession
     shards = max(1, -(-model.count() // SHARD_ENTRIES))
-    rows = docs.select(*[docs[c] for c in keep], _language(docs["lang"]).alias("_lang"), docs[text].alias("_text"), F.lit(0.0).alias("_nll"))
+    value = text if text in keep else "_text"  # a text that is kept need not travel twice
+    extra = [] if text in keep else [docs[text].alias("_text")]
+    rows = docs.select(*[docs[c] for c in keep], *extra, _language(docs["lang"]).alias("_lang"), F.lit(0.0).alias("_nll"))
     for shard in range(shards):
         tables = spark.sparkContext.broadcast(_shard(model, shards, shard))
-        rows = rows.mapInArrow(_scoring(tables, shards, shard, len(keep)), rows.schema)
+        rows = rows.mapInArrow(_scoring(tables, shards, shard, rows.columns.index(value)), rows.schema)
         if shard < shards - 1:  # one shard in a worker's memory at a time
             rows = stored(rows, "scored")
-    size = F.length(F.coalesce("_text", F.lit("")))
+    size = F.length(F.coalesce(value, F.lit("")))
     return rows.select(*keep, F.when((size > 0) & (F.col("_nll") > 0), F.col("_nll")).alias("_bits"), size.alias("_size"))
 
 
 def _scoring(tables, shards, shard, place):
     def run(batches):
         for batch in batches:
-            langs, texts = batch.column(place).to_pylist(), batch.column(place + 1).to_pylist()
-            nll, i = np.array(batch.column(place + 2)), 0
+            langs, texts = batch.column(batch.num_columns - 2).to_pylist(), batch.column(place).to_pylist()
+            nll, i = np.array(batch.column(batch.num_columns - 1)), 0
             while i < len(texts):  # about a million characters at once
                 j, chars = i, 0
                 while j < len(texts) and (j == i or chars < _SLICE):
@@ -279,7 +281,7 @@ def _scoring(tables, shards, shard, place):
                     j += 1
                 nll[i:j] += _scores(langs[i:j], texts[i:j], shards, shard, tables.value)
                 i = j
-            yield pa.RecordBatch.from_arrays([*batch.columns[: place + 2], pa.array(nll)], batch.schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(nll)], batch.schema.names)
 
     return run
 
