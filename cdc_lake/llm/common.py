@@ -32,5 +32,5 @@ def total(values: Column) -> Column:
 
 
 def partition_count(frame: DataFrame) -> int:
-    """Tasks that a scan or projection of ``frame`` has; no job runs."""
+    """Tasks of ``frame``. No job runs if it is read or projected only; shuffles in it run to be counted."""
     return frame._jdf.queryExecution().toRdd().getNumPartitions()

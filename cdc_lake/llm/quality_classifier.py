@@ -17,7 +17,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import lookup_join
 from .common import stored
@@ -81,41 +81,42 @@ def _discounts(counts: DataFrame) -> DataFrame:
 
 
 def train(trusted: DataFrame, text: str = "text") -> DataFrame:
-    """The model: ``lang, gram, logp, backoff``.
+    """The model: ``lang, gram, logp, backoff``; a gram that is a context too has a row for each.
 
-    ``logp`` is the natural log of the probability of the last character after the others
-    (null: not seen), ``backoff`` that of the weight which passes to the next shorter
-    context after this one (null: never a context).
+    ``logp`` is the natural log of the probability of the last character after the others,
+    ``backoff`` that of the weight which passes to the next shorter context after this one.
+    Tables of one row per language are written first: their file size lets Catalyst
+    broadcast them, so the counts move once for their contexts and once for the lower order.
     """
-    counts = stored(ngram_counts(trusted, text), "grams")
-    orders = [counts]
+    orders = [stored(ngram_counts(trusted, text), "grams")]
     while len(orders) < ORDER:
         # Lower orders count the different characters before a gram.
-        orders.insert(0, orders[0].groupBy("lang", F.substring("gram", 2, ORDER).alias("gram")).agg(F.count("*").alias("n")))
-    lower = orders[0].groupBy("lang").agg((1 / (F.count("*") + 1)).alias("lower"))
-    model = None
+        lower = orders[0].groupBy("lang", F.substring("gram", 2, ORDER).alias("gram")).agg(F.count("*").alias("n"))
+        orders.insert(0, stored(lower, "grams"))
+    floor = stored(orders[0].groupBy("lang").agg((1 / (F.count("*") + 1)).alias("lower")), "floor")
+    entry = lambda gram, logp, backoff: [
+        "lang", gram.alias("gram"), logp.cast("double").alias("logp"), backoff.cast("double").alias("backoff")
+    ]
+    model = floor.select(*entry(F.lit(_PAD + "?"), F.log("lower"), F.lit(None)))
+    context = Window.partitionBy("lang", "context")
+    shorter = None
     for n, grams in enumerate(orders, 1):
-        grams = grams.withColumn("context", F.substring("gram", 1, n - 1))
-        contexts = grams.groupBy("lang", "context").agg(
-            F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("c1"), F.count_if(F.col("n") == 2).alias("c2"), F.count_if(F.col("n") >= 3).alias("c3")
-        )
-        contexts = lookup_join(contexts, _discounts(grams), "lang", "inner")
-        contexts = contexts.withColumn("weight", (F.col("d1") * F.col("c1") + F.col("d2") * F.col("c2") + F.col("d3") * F.col("c3")) / F.col("total"))
-        rows = grams.join(contexts, ["lang", "context"])
+        rows = lookup_join(grams, stored(_discounts(grams), "discounts"), "lang", "inner")
         discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        own = F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total")
-        if n == 1:
-            rows = lookup_join(rows, lower, "lang", "inner")
+        rows = rows.select("lang", "gram", "n", discount.alias("d"), F.substring("gram", 1, n - 1).alias("context"))
+        if shorter is None:
+            rows = lookup_join(rows, floor, "lang", "inner")
         else:
-            shorter = probabilities.select("lang", F.col("gram").alias("_short"), F.col("p").alias("lower"))
             rows = rows.withColumn("_short", F.substring("gram", 2, n)).join(shorter, ["lang", "_short"])
-        probabilities = stored(rows.select("lang", "gram", (own + F.col("weight") * F.col("lower")).alias("p")), f"order{n}")
-        found = probabilities.select("lang", "gram", F.log("p").alias("logp"), F.lit(None).cast("double").alias("backoff"))
-        weights = contexts.select("lang", F.col("context").alias("gram"), F.lit(None).cast("double").alias("logp"), F.log("weight").alias("backoff"))
-        model = found.unionByName(weights) if model is None else model.unionByName(found).unionByName(weights)
-    unseen = lower.select("lang", F.lit(_PAD + "?").alias("gram"), F.log("lower").alias("logp"), F.lit(None).cast("double").alias("backoff"))
-    both = model.unionByName(unseen).groupBy("lang", "gram").agg(F.max("logp").alias("logp"), F.max("backoff").alias("backoff"))
-    return stored(both, "model")
+        weight = F.sum("d").over(context) / F.sum("n").over(context)
+        own = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.sum("n").over(context)
+        rows = rows.withColumn("p", own + weight * F.col("lower")).withColumn("weight", weight)
+        first = F.row_number().over(context.orderBy("gram")) == 1
+        rows = stored(rows.select("lang", "gram", "context", "p", F.when(first, F.col("weight")).alias("weight")), f"order{n}")
+        shorter = rows.select("lang", F.col("gram").alias("_short"), F.col("p").alias("lower"))
+        model = model.unionByName(rows.select(*entry(F.col("gram"), F.log("p"), F.lit(None))))
+        model = model.unionByName(rows.where("weight IS NOT NULL").select(*entry(F.col("context"), F.lit(None), F.log("weight"))))
+    return stored(model, "model")
 
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
