@@ -28,6 +28,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 LEVEL = 0.05
 #: Steps of randomness: a quarter of a natural logarithm each, to e^-100.
 _STEPS, _LOWEST = 4, -400
+#: Length class of the longest text there can be.
+_LAST_CLASS = 62
 
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encodings: the first whose pattern fits is inferred.
@@ -137,10 +139,11 @@ def discovery_steps(docs: DataFrame, text: str = "text") -> dict[int, int]:
     runs = runs.where(~F.col("run").rlike(_NUMBER))
     tested = runs.select(_length_class(F.col("run")).alias("length"), F.col("run").rlike(_NATURAL).alias("natural"), _step(F.col("run")).alias("step"))
     counts = tested.groupBy("length", "step").agg(F.count_if(F.col("natural")).alias("natural"), F.count_if(~F.col("natural")).alias("other"))
-    classes = counts.select("length").distinct()
-    # A class is held against the natural runs of its own length and shorter ones.
-    shorter = counts.withColumnRenamed("length", "at").join(classes, F.col("at") <= F.col("length"))
-    shorter = shorter.groupBy("length", "step").agg(F.sum("natural").alias("natural"), F.sum(F.when(F.col("at") == F.col("length"), F.col("other")).otherwise(0)).alias("other"))
+    # A class is held against the natural runs of its own length and shorter ones: counts go to all longer classes.
+    longer = counts.select(F.explode(F.sequence("length", F.lit(_LAST_CLASS))).alias("for"), "length", "step", "natural", "other")
+    shorter = longer.groupBy(F.col("for").alias("length"), "step").agg(
+        F.sum("natural").alias("natural"), F.sum(F.when(F.col("for") == F.col("length"), F.col("other")).otherwise(0)).alias("other")
+    )
     at_least = Window.partitionBy("length").orderBy(F.col("step").desc())
     whole = Window.partitionBy("length")
     ranked = shorter.select(
