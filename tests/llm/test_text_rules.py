@@ -76,6 +76,24 @@ def test_random_runs_are_added_and_words_are_not(docs, prose):
     assert got[-1].n_random == 0
 
 
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_random_runs_need_no_long_words_to_compare_with(docs, prose):
+    pick = random.Random(8)
+    key = lambda n, of: "".join(pick.choice(of) for _ in range(n))
+    keys = [key(40, BASE62 + "+/") for _ in range(30)]
+    natural = ["".join(w for w in prose(i, 6).replace(".", "").split())[:40] for i in range(80)]
+    counted = ["key" + "0" * 20 + str(i) for i in range(5)] + ["1234567890" * 3]
+    got = secret_scan.secret_scan(docs([f"see {k} there" for k in keys + natural + counted])).orderBy("doc_id").collect()
+    assert sum(r.spans == "random:4:44" for r in got[:30]) >= 27
+    assert all(r.n_random == 0 for r in got[30:])
+    few = [key(36, BASE62), key(48, BASE62), key(24, BASE62), key(40, BASE62[26:52]), key(32, BASE62[:26] + "234567")]
+    words = ["CustomerAccountManagerFactory2", "SCHKEITHEITCHSSKEITHEIT", "the-quick-brown-fox-2024-01-15", "usr/local/share/doc/readme_first", "MAX_RETRY_COUNT_PER_HOST", "x" * 30, "aB3" * 12]
+    got = secret_scan.secret_scan(docs([f"see {k} there" for k in few + words])).orderBy("doc_id").collect()
+    assert [r.n_random for r in got] == [1] * len(few) + [0] * len(words)
+
+
 def test_redaction(docs):
     found = secret_scan.find_secrets(docs(["a token=abcdef0123456789abcdef0123 b", None, "", "plain é", "😀 password: hunter22"]))
     clean = found.select("doc_id", secret_scan.redacted(F.col("_text"), F.col("found")).alias("t")).orderBy("doc_id").collect()
