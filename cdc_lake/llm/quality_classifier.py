@@ -3,7 +3,8 @@
 The model is an interpolated modified Kneser-Ney model of character 5-grams, one per
 language, counted over all trusted documents but a held-out fifth. Counts, contexts,
 discounts and lower orders are joins of count tables sharded by n-gram. Perplexity is held
-against a quantile of the held-out trusted documents of the same language.
+against a limit per language that best tells the held-out documents labelled good from those
+labelled bad.
 
 Scoring takes the model in shards of bounded size. The shard of an n-gram follows from the two
 characters before the predicted one, so each position of a text needs one shard only,
@@ -25,10 +26,13 @@ from .common import stored
 ORDER = 5
 #: Of trusted documents, one in so many sets thresholds and is not trained on.
 HELD_OUT = 5
-QUANTILE = 0.995
-#: Few held-out documents have no far quantile: the limit is at least the upper quartile and
-#: so many quartile distances.
+#: So much of the held-out trusted documents of a language is kept at least.
+LEAST_KEPT = 0.95
+#: Where no held-out document is labelled bad, the limit is the upper quartile and so many
+#: quartile distances.
 FENCE = 4.0
+#: Limits are sought among log-losses counted in bins of this width.
+BIN = 0.005
 #: A text is judged as if so many characters of middling trusted text came with it: the
 #: perplexity of a few words says little.
 PRIOR_CHARS = 50
@@ -287,10 +291,9 @@ def _scoring(tables, shards, shard, place):
     return run
 
 
-def _trusted(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ids of trusted documents, to train on and held out: labelled good, and never bad."""
-    good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
-    return good.where(~_held_out()), good.where(_held_out())
+def _judged(labels: DataFrame) -> DataFrame:
+    """``doc_id, q`` of labelled documents: 1 if labelled good and never bad, 0 if ever bad."""
+    return labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q IN (0, 1)")
 
 
 def _held_out() -> Column:
@@ -298,22 +301,45 @@ def _held_out() -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The model, and ``_lang, limit, middle``: quantiles of held-out trusted log-losses.
+    """The model, and ``_lang, limit, middle``: of held-out log-losses.
 
     The texts to train on are the only ones shuffled: the held-out fold is scored where it
-    lies, and its trusted part is told by joining the scores.
+    lies, and its labelled part is told by joining the scores.
     """
-    seen, held = _trusted(labels)
+    judged = _judged(labels)
     texts = docs.select("doc_id", "lang", text)
-    model = train(texts.where(~_held_out()).join(seen, "doc_id", "left_semi"), text)
-    scored = perplexities(texts.where(_held_out()), model, text, ["doc_id", "lang"]).join(held, "doc_id", "left_semi")
+    model = train(texts.where(~_held_out()).join(judged.where((F.col("q") == 1) & ~_held_out()), "doc_id", "left_semi"), text)
+    scored = perplexities(texts.where(_held_out()), model, text, ["doc_id", "lang"]).join(judged.where(_held_out()), "doc_id")
     scored = stored(scored.withColumn("_lang", _language(F.col("lang"))).where("_bits IS NOT NULL"), "held")
-    middle = scored.groupBy("_lang").agg(F.percentile_approx(F.col("_bits") / F.col("_size"), 0.5, 10_000).alias("middle"))
-    judged = lookup_join(scored, middle, "_lang", "inner").withColumn("_surprise", _surprise())
-    quantiles = F.percentile_approx("_surprise", F.array(F.lit(0.25), F.lit(0.75), F.lit(QUANTILE)), 10_000)
-    limits = judged.groupBy("_lang").agg(quantiles.alias("q"), F.max("middle").alias("middle"))
-    fence = F.col("q")[1] + FENCE * (F.col("q")[1] - F.col("q")[0])
-    return model, stored(limits.select("_lang", F.greatest(F.col("q")[2], fence).alias("limit"), "middle"), "limits")
+    middle = scored.where("q = 1").groupBy("_lang").agg(F.percentile_approx(F.col("_bits") / F.col("_size"), 0.5, 10_000).alias("middle"))
+    surprises = lookup_join(scored, middle, "_lang", "inner").withColumn("_surprise", _surprise())
+    return model, stored(limits(surprises), "limits")
+
+
+def limits(surprises: DataFrame) -> DataFrame:
+    """``_lang, limit, middle`` from ``_lang, middle, q, _surprise`` of held-out documents.
+
+    The limit keeps the largest share of good documents less the share of bad ones that it
+    keeps, of those limits that keep ``LEAST_KEPT`` of the good; it lies halfway between the
+    documents on its sides. Windows run over counts per bin, so a language has some thousand
+    rows at most.
+    """
+    good, bad = F.col("q") == 1, F.col("q") == 0
+    spread = F.percentile_approx(F.when(good, F.col("_surprise")), F.array(F.lit(0.25), F.lit(0.75)), 10_000)
+    fence = surprises.groupBy("_lang").agg(spread.alias("f"), F.max("middle").alias("middle"))
+    fence = fence.select("_lang", "middle", (F.col("f")[1] + FENCE * (F.col("f")[1] - F.col("f")[0])).alias("fence"))
+    bins = surprises.groupBy("_lang", F.floor(F.col("_surprise") / BIN).alias("bin")).agg(F.count_if(good).alias("good"), F.count_if(bad).alias("bad"))
+    up, whole = Window.partitionBy("_lang").orderBy("bin"), Window.partitionBy("_lang")
+    kept = lambda column: F.sum(column).over(up) / F.sum(column).over(whole)
+    tried = bins.select(
+        "_lang", kept("good").alias("kept"), (kept("good") - F.try_divide(F.sum("bad").over(up), F.sum("bad").over(whole))).alias("gain"),
+        ((F.col("bin") + 1 + F.coalesce(F.lead("bin").over(up), F.col("bin") + 1)) / 2 * BIN).alias("limit"),
+    )
+    best = tried.where(F.col("kept") >= LEAST_KEPT).groupBy("_lang").agg(F.max(F.struct("gain", "limit")).alias("best"))
+    joined = fence.join(best, "_lang", "left")
+    # Without a bad document to reject, or if it is best to reject none, nothing bounds the limit from above.
+    limit = F.when(F.col("best.gain") > 0, F.col("best.limit")).otherwise(F.col("fence"))
+    return joined.select("_lang", limit.alias("limit"), "middle")
 
 
 def _surprise() -> Column:

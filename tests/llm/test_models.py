@@ -95,6 +95,27 @@ def test_classifier_keeps_prose_and_rejects_junk(docs, table, prose):
     assert {r.doc_id: r._kept for r in qc.classify(docs(["a b", None]), table([], LABELS), keep=["doc_id"]).collect()} == {0: True, 1: False}
 
 
+def test_limit_tells_good_from_bad(table):
+    pick = random.Random(4)
+    good = [("en", 1.5, 1, abs(pick.gauss(1.49, 0.03))) for _ in range(400)] + [("en", 1.5, 1, x) for x in (1.84, 1.85, 1.9)]
+    bad = [("en", 1.5, 0, pick.uniform(1.65, 2.4)) for _ in range(70)]
+    only = [("de", 1.5, 1, x / 100) for x in range(140, 160)]
+    apart = [("fr", 1.5, 1, x / 100) for x in range(140, 160)] + [("fr", 1.5, 0, 9.0)]
+    got = {r._lang: r.limit for r in qc.limits(table(good + bad + only + apart, "_lang string, middle double, q int, _surprise double")).collect()}
+    assert max(x[3] for x in good[:400]) - qc.BIN <= got["en"] <= min(x[3] for x in bad) + qc.BIN
+    assert 1.6 < got["de"] < 2.2 and 1.6 < got["fr"] < 9.0
+
+
+def test_repeated_words_are_rejected(docs, table, prose):
+    pick = random.Random(9)
+    good = [prose(i, 60) for i in range(300)]
+    junk = [" ".join([pick.choice(prose(i, 9).replace(".", "").split()).capitalize() + "." * (i % 2)] * 40) for i in range(100)]
+    frame = docs(good + junk + ["é%$ ñ#" * 40, "&" * 150])  # a good label on an odd text must not set the limit
+    labels = table([(i, 1, 0) for i in range(300)] + [(i, 0, 0) for i in range(300, 400)] + [(400, 1, 0), (401, 1, 0)], LABELS)
+    got = {r.doc_id: r._kept for r in qc.classify(frame, labels, keep=["doc_id"]).collect()}
+    assert sum(got[i] for i in range(300)) >= 290 and sum(got[i] for i in range(300, 400)) <= 10
+
+
 # -- benchmark decontamination -------------------------------------------------
 
 
