@@ -39,6 +39,8 @@ PRIOR_CHARS = 50
 #: Entries of one broadcast shard (24 bytes each in a worker).
 SHARD_ENTRIES = 1_500_000
 _PAD = "\x02"
+#: The model's row for unseen characters: longer than any n-gram of a text.
+_UNSEEN = "?" * (ORDER + 1)
 #: Entries of a task's counts before they are handed on; characters handled at once.
 _FLUSH, _SLICE = 1_000_000, 1_000_000
 
@@ -101,7 +103,7 @@ def train(trusted: DataFrame, text: str = "text") -> DataFrame:
     entry = lambda gram, logp, backoff: [
         "lang", gram.alias("gram"), logp.cast("double").alias("logp"), backoff.cast("double").alias("backoff")
     ]
-    model = floor.select(*entry(F.lit(_PAD + "?"), F.log("lower"), F.lit(None)))
+    model = floor.select(*entry(F.lit(_UNSEEN), F.log("lower"), F.lit(None)))
     context = Window.partitionBy("lang", "context")
     shorter = None
     for n, grams in enumerate(orders, 1):
@@ -203,9 +205,9 @@ def _keys_of(table: pa.Table) -> np.ndarray:
 def _shard(model: DataFrame, shards: int, shard: int) -> tuple[Table, Table, dict[str, float]]:
     """Probabilities, backoff weights and the unseen character's probability of one shard."""
     ends = lambda back: F.pmod(31 * F.ascii(F.substring("gram", -back, 1)) + F.ascii(F.substring("gram", -back - 1, 1)), F.lit(shards)) == shard
-    grams = model.where("logp IS NOT NULL AND length(gram) > 0").where((F.length("gram") < 3) | ends(2))
+    grams = model.where(f"logp IS NOT NULL AND length(gram) BETWEEN 1 AND {ORDER}").where((F.length("gram") < 3) | ends(2))
     contexts = model.where("backoff IS NOT NULL AND length(gram) > 0").where((F.length("gram") < 2) | ends(1))
-    unseen = model.where(F.col("gram") == _PAD + "?").select("lang", "logp").collect()  # a row per language
+    unseen = model.where(F.col("gram") == _UNSEEN).select("lang", "logp").collect()  # a row per language
     return _packed(grams, "logp"), _packed(contexts, "backoff"), {row[0]: row[1] for row in unseen}
 
 

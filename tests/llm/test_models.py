@@ -95,6 +95,15 @@ def test_classifier_keeps_prose_and_rejects_junk(docs, table, prose):
     assert {r.doc_id: r._kept for r in qc.classify(docs(["a b", None]), table([], LABELS), keep=["doc_id"]).collect()} == {0: True, 1: False}
 
 
+def test_a_trusted_text_may_begin_with_a_question_mark(docs, prose):
+    trusted = [prose(i, 30) for i in range(6)] + ["?What now", "?So what", "?"]
+    tested = [trusted[0], "?What else", "é?", "?"]
+    rows = qc.perplexities(docs(tested), qc.train(docs(trusted)), keep=["doc_id"]).orderBy("doc_id").collect()
+    plain = kneser_ney(trusted)
+    for row, text in zip(rows, tested):
+        assert row._bits == pytest.approx(loss(plain, text), rel=1e-4)
+
+
 def test_limit_tells_good_from_bad(table):
     pick = random.Random(4)
     good = [("en", 1.5, 1, abs(pick.gauss(1.49, 0.03))) for _ in range(400)] + [("en", 1.5, 1, x) for x in (1.84, 1.85, 1.9)]
