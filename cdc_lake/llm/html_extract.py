@@ -3,6 +3,7 @@
 Every page scores its containers by the prose they hold and votes for one, named by its path
 of tags and classes. Votes are counted per host in Spark, and each page is extracted from
 the containers at the winning path; a page that has none, or no text there, keeps its own.
+A container is widened to those around it that hold more of the article.
 """
 
 from __future__ import annotations
@@ -18,12 +19,15 @@ from .common import stored
 from .url_filter import host_of
 
 #: Elements whose text is never the article's.
-DROPPED = frozenset("nav header footer aside form button select menu dialog head title figcaption".split())
+DROPPED = frozenset("nav header footer aside form button select menu dialog head title annotation annotation-xml".split())
 #: Elements whose content is not markup: skipped up to their end tag.
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video".split())
+RAW = frozenset("script style noscript template textarea iframe svg object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()) | frozenset(
+    "math menclose mfenced mfrac mi mn mmultiscripts mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
 CONTAINERS = frozenset("article body center div main section td".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the key ends an open element of these.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Classes, ids and roles of what is not the article, as whole words of the name.
@@ -48,7 +52,9 @@ class Page:
 
     def __init__(self, html: str | None):
         self.blocks: list[tuple[str, int, tuple[int, ...]]] = []  # text, characters in links, containers
+        self._headings: set[int] = set()  # blocks in headings
         self.paths: list[str] = []
+        self._tags: list[str] = []  # of the containers
         self._open: list[tuple[str, str, bool, int]] = []  # tag, path, dropped, container number or -1
         self._text: list[str] = []
         self._links = self._in_link = 0
@@ -107,7 +113,7 @@ class Page:
         _, path, dropped, _ = self._open[-1] if self._open else ("", "", False, -1)
         dropped = (
             dropped or tag in DROPPED or "hidden" in names or names.get("aria-hidden", "").lower() == "true"
-            or tag not in ("html", "body", "main", "article") and any(_ASIDE.search(names.get(k, "")) for k in ("class", "id", "role"))
+            or tag not in ("html", "body", "main", "article") and self._aside(tag, names)
         )
         number = -1
         if tag not in INLINE and tag not in ("html", "body"):
@@ -116,9 +122,16 @@ class Page:
         if tag in CONTAINERS and not dropped:
             number = len(self.paths)
             self.paths.append(path or ">body")
+            self._tags.append(tag)
         self._open.append((tag, path, dropped, number))
         self._in_link += tag == "a"
 
+    def _aside(self, tag: str, names: dict[str, str]) -> bool:
+        """Whether names tell an element from the article; of its headings and paragraphs, whole names only."""
+        whole = tag in HEADINGS or tag in ("p", "figcaption") and any(e[0] in ("article", "main") for e in self._open)
+        values = [v for k in ("class", "id", "role") for v in (names.get(k, "").split() if whole else [names.get(k, "")])]
+        return any(_ASIDE.fullmatch(v) if whole else _ASIDE.search(v) for v in values)
+
     def _end(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
@@ -136,6 +149,8 @@ class Page:
     def _flush(self) -> None:
         text = " ".join(entities.unescape("".join(self._text)).split()) if self._text else ""
         if text:
+            if any(e[0] in HEADINGS for e in self._open):
+                self._headings.add(len(self.blocks))
             self.blocks.append((text, self._links, tuple(e[3] for e in self._open if e[3] >= 0)))
         self._text, self._links = [], 0
 
@@ -150,11 +165,38 @@ class Page:
                     scores[path] = scores.get(path, 0) + weight * prose
         return max(scores, key=lambda path: (scores[path], path)) if scores else None
 
+    def _widened(self, inside: set[int]) -> set[int]:
+        """``inside`` and the outermost containers around them whose further text is prose too.
+
+        Further text is prose if blocks that are prose hold half of its characters at least;
+        headings count neither way. The body is the page, and never the article.
+        """
+        around_of, size, prose = {}, {}, {}
+        for place, (text, links, around) in enumerate(self.blocks):
+            long = len(text) - 2 * links >= PROSE_CHARS
+            for i, number in enumerate(around):
+                if number in inside and number not in around_of:
+                    around_of[number] = around[:i]
+                if place not in self._headings:
+                    size[number] = size.get(number, 0) + len(text)
+                    prose[number] = prose.get(number, 0) + (len(text) if long else 0)
+        chosen = set()
+        for number in inside & around_of.keys():
+            best = number
+            for outer in reversed(around_of[number]):
+                if self._tags[outer] == "body":
+                    break
+                more, added = (of.get(outer, 0) - of.get(number, 0) for of in (size, prose))
+                if 2 * added >= more:
+                    best = outer
+            chosen.add(best)
+        return inside | chosen
+
     def text(self, path: str | None = None) -> str:
         """The text at ``path``, or else at the page's own best, or else of the whole page."""
         for wanted in (path, self.best()):
             if wanted is not None:
-                inside = {i for i, p in enumerate(self.paths) if p == wanted}
+                inside = self._widened({i for i, p in enumerate(self.paths) if p == wanted})
                 found = [text for text, _, around in self.blocks if not inside.isdisjoint(around)]
                 if found:
                     return " ".join(found)

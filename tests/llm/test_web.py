@@ -105,6 +105,21 @@ def test_pages(html, text):
     assert html_extract.Page(html).text() == text
 
 
+LEAD, MORE = f"Lead. {PROSE}", " ".join([PROSE] * 10)
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<article><h1>T</h1><p>{LEAD}</p><div class=body><p>{MORE}</p></div></article>", f"T {LEAD} {MORE}"),
+    (f"<article><section class=a><p>{MORE}</p></section><section class=b><p>{LEAD}</p></section></article>", f"{MORE} {LEAD}"),
+    (f"<div id=w><ul><li><a href=x>{PROSE} {PROSE}</a></ul><div class=body><p>{MORE}</p></div></div>", MORE),
+    (f"<article><h2 class='section-header'>H</h2><p class='search-result'>{MORE}</p><p class='notice'>N</p></article>", f"H {MORE}"),
+    (f"<article><p>{MORE}</p><figure><img src=x><figcaption>A cap</figcaption></figure></article>", f"{MORE} A cap"),
+    (f"<article><p>{MORE} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math></p></article>", f"{MORE} x=2"),
+])
+def test_the_whole_article_is_kept(html, text):
+    assert html_extract.Page(html).text() == text
+
+
 def test_long_and_hostile_pages_end():
     assert html_extract.Page("<" * 20_000).text() == "<" * 20_000
     assert html_extract.Page("<div>" * 3_000 + "x").text() == "x"
