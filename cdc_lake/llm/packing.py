@@ -76,26 +76,21 @@ def pack(sized: DataFrame, budget: int = BUDGET, buckets: int = BUCKETS, key: st
     size = F.coalesce(F.col(length), F.lit(0)).cast("long")
     histogram = sized.where(size <= budget).groupBy(size.alias("_size")).agg(F.count("*").alias("_rows")).orderBy("_size").toPandas()
     bounds = boundaries(histogram["_size"].to_numpy(), histogram["_rows"].to_numpy(), buckets)
-    total = int(histogram["_rows"].sum())
+    total = int(histogram["_rows"].sum()) + sized.where(size > budget).count()
     bucket = F.lit(None).cast("long")
     for bound in reversed(bounds):
         bucket = F.when(size <= bound, F.lit(bound).cast("long")).otherwise(bucket)
-    rows = sized.withColumn("_size", size).withColumn("_bucket", bucket)
-    columns = [sized[c] for c in sized.columns]
+    rows = sized.withColumn("_size", size).withColumn("_bucket", F.coalesce(bucket, "_size"))  # longer ones by their length
 
-    long_ = rows.where("_size > %d" % budget).select(
-        *sized.columns, F.col("_size").alias("bucket_len"), F.xxhash64(key).alias("batch_id"), F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("padding")
-    )
     lanes = max(1, total // LANE_ROWS)
-    dealt = rows.where("_bucket IS NOT NULL").withColumn("_lane", F.pmod(F.xxhash64(key, "_size"), F.lit(lanes)).cast("int"))
+    dealt = rows.withColumn("_lane", F.pmod(F.xxhash64(key, "_size"), F.lit(lanes)).cast("int"))
     held = dealt.groupBy("_bucket", "_lane").agg(F.count("*").alias("_rows"))
     before = held.withColumn("_before", F.sum("_rows").over(Window.partitionBy("_bucket").orderBy("_lane")) - F.col("_rows"))
     before = stored(before.select("_bucket", "_lane", "_before"), "lanes")
     placed = dealt.withColumn("_nth", F.row_number().over(Window.partitionBy("_bucket", "_lane").orderBy(key, "_size")) - 1)
     placed = placed.join(before, ["_bucket", "_lane"]).withColumn("_place", F.col("_nth") + F.col("_before"))
     capacity = F.greatest(F.floor(F.lit(budget) / F.greatest("_bucket", F.lit(1))), F.lit(1)).cast("long")
-    packed = placed.select(
+    return placed.select(
         *sized.columns, F.col("_bucket").alias("bucket_len"), F.floor(F.col("_place") / capacity).alias("batch_id"),
         F.pmod("_place", capacity).cast("long").alias("slot"), (F.col("_bucket") - F.col("_size")).alias("padding"),
     )
-    return packed.unionByName(long_)

@@ -274,3 +274,10 @@ def test_batches_hold_every_document_once_within_the_budget(table, monkeypatch):
         sizes = sorted((k[1], len(v)) for k, v in short.items() if k[0] == bound)
         assert all(n == 512 // max(bound, 1) for _, n in sizes[:-1])
     assert packing.pack(table([], "doc_id long, n_tokens long")).count() == 0
+
+
+def test_repeated_long_rows_get_different_batches(table):
+    rows = [(1, 900)] * 3 + [(None, 900), (None, 900), (2, 901), (3, 5)]
+    got = packing.pack(table(rows, "doc_id long, n_tokens long"), budget=512).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter(rows)
+    assert len({(r.bucket_len, r.batch_id) for r in got}) == len(rows) and all(r.slot == r.padding == 0 for r in got)
