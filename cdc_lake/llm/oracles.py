@@ -84,3 +84,60 @@ WITH captures AS (
 SELECT page_id, url, fetched_at, n_rules IS NOT NULL AS blocked, coalesce(n_rules, 0)::BIGINT AS n_rules, coalesce(lists, '') AS lists
 FROM captures LEFT JOIN counted USING (page_id, url)
 """
+
+# Levels by recursion: nodes of a level, then each leaf's way up through the runs, twice
+# (inside its language, then over the languages).
+_MERKLE_FIELDS = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)")
+
+
+def _merkle_leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in (*_MERKLE_FIELDS, text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _merkle_climb(tree: str, start: str) -> str:
+    return f"""
+{tree} AS (
+  {start}
+  UNION ALL
+  SELECT name, level + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 7) // 8
+  FROM {tree} WHERE n > 1 GROUP BY name, level, idx // 8
+), {tree}_runs AS (
+  SELECT name, level, idx // 8 AS run, list(digest ORDER BY idx) AS d FROM {tree} WHERE n > 1 GROUP BY ALL
+)"""
+
+
+def _merkle_fold(fold: str, tree: str, start: str) -> str:
+    return f"""
+{fold} AS (
+  {start}
+  UNION ALL
+  SELECT rid, f.name, f.level + 1, f.idx // 8,
+    sha256(array_to_string(list_transform(r.d, lambda x, i: CASE WHEN i = f.idx % 8 + 1 THEN f.cur ELSE x END), '')),
+    f.proof || array_to_string(list_transform(r.d, lambda x, i: CASE WHEN i = f.idx % 8 + 1 THEN '' ELSE x END), '')
+  FROM {fold} f JOIN {tree}_runs r ON r.name = f.name AND r.level = f.level AND r.run = f.idx // 8
+), {fold}_ends AS (
+  SELECT * FROM {fold} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level DESC) = 1
+)"""
+
+
+_CRC = """list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda c, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, b)), CAST(4294967295 AS BIGINT))"""
+
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS name, {_merkle_leaf('text')} AS leaf,
+    {_merkle_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS forged,
+    coalesce(xor({_CRC}, 4294967295) % 3 = 0, false) AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves
+), {_merkle_climb("tree", "SELECT name, 0 AS level, idx, leaf AS digest, count(*) OVER (PARTITION BY name) AS n FROM placed")},
+subroots AS (
+  SELECT name, digest, row_number() OVER (ORDER BY name) - 1 AS idx FROM tree WHERE n = 1
+), {_merkle_climb("top", "SELECT '' AS name, 0 AS level, idx, digest, count(*) OVER () AS n FROM subroots")},
+{_merkle_fold("low", "tree", "SELECT rid, name, 0 AS level, idx, CASE WHEN tampered THEN forged ELSE leaf END AS cur, '' AS proof FROM placed")},
+{_merkle_fold("high", "top", "SELECT rid, '' AS name, 0 AS level, s.idx, cur, proof FROM low_ends l JOIN subroots s USING (name)")}
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(h.proof) AS proof_sha256, h.cur AS folded_root, h.cur = t.digest AS verified
+FROM placed p JOIN subroots s USING (name) JOIN high_ends h USING (rid) JOIN top t ON t.n = 1
+"""

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_extract, jaccard_join, packing, quality_classifier, quality_rules, secret_scan, token_counts, toxicity, url_filter,
+    decontaminate, html_extract, jaccard_join, merkle_manifest, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup,
+    spelling_variants, token_counts, toxicity, url_filter,
 )
 from .common import read, stored
 
@@ -106,3 +107,18 @@ def op9_html_extract(spark, sf_dir):
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(read(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query
+def op11_simhash_dedup(spark, sf_dir):
+    return simhash_dedup.simhash_dedup(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle_manifest.manifest(read(spark, sf_dir, "documents"))
