@@ -54,6 +54,7 @@ def arguments() -> argparse.ArgumentParser:
     silver.add_argument("--replay-orphans", action="store_true", help="admit orphans whose employee is known now")
     silver.add_argument("--files-per-batch", type=int, help="Bronze files of one batch at most")
     silver.add_argument("--buckets", type=int, help="store Silver in so many buckets")
+    silver.add_argument("--partitions", type=int, help="keep Silver in so many hash partitions, Gold's totals from changes")
     silver.add_argument("--employees", help="load the reference files again first, with --sports")
     silver.add_argument("--sports")
     for flag in ("plain-compare", "exempt-deletes", "dedup-first"):
@@ -87,7 +88,7 @@ def main(argv: list[str] | None = None) -> int:
         drop_tombstones=getattr(given, "drop_tombstones", False),
         key_type=given.key_type,
     )
-    lake = Lake(spark, given.root, given.run, getattr(given, "buckets", None), options)
+    lake = Lake(spark, given.root, given.run, getattr(given, "buckets", None), options, getattr(given, "partitions", None))
 
     def messages():
         if given.messages:

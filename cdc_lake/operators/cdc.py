@@ -151,6 +151,7 @@ def apply_in_order(
     order: Sequence[str] = ARRIVAL,
     null_safe: bool = True,
     at: datetime | None = None,
+    before: bool = False,
 ) -> DataFrame:
     """The next state of a table that knows when each row arrived. One full outer join.
 
@@ -158,9 +159,16 @@ def apply_in_order(
     table keeps ``order`` and ``flag``: a deleted key stays as a marker that older changes
     don't pass (``current_rows`` leaves markers out). A row that lacks them, from a plain
     first load, counts as older than any change. ``stamp`` moves only if a value does.
+
+    ``before`` adds ``_moved``, whether the row is another than before, and ``_before``, the
+    values and ``flag`` it had (null for a new key).
     """
     if target is None:
-        return changes.withColumn(stamp, stamp_at(at))
+        first = changes.withColumn(stamp, stamp_at(at))
+        if not before:
+            return first
+        kept = [f"`{c}` {kind}" for c, kind in changes.dtypes if c not in (key, *order)]
+        return first.withColumn("_moved", F.lit(True)).withColumn("_before", F.lit(None).cast(f"struct<{', '.join(kept).replace('` ', '`:')}>"))
     for name, kind in changes.select(flag, *order).dtypes:
         target = target if name in target.columns else target.withColumn(name, F.lit(None).cast(kind))
     values = [c for c in changes.columns if c not in (key, flag, *order)]
@@ -180,11 +188,15 @@ def apply_in_order(
         **{c: f"IF(newer, new.{c}, old.{c})" for c in (flag, *order)},
         stamp: f"IF(moved, {stamp_sql(at)}, old.{stamp})",
     }
+    output = [f"{result[c]} AS {c}" for c in (key, *values, flag, *order, stamp)]
+    if before:
+        image = ", ".join(f"'{c}', old.{c}" for c in changes.columns if c not in (key, *order))
+        output += ["moved AS _moved", f"IF(moved AND old.here IS NOT NULL, named_struct({image}), NULL) AS _before"]
     return (
         old.join(new, F.expr(f"old.{key} = new.{key}"), "full_outer")
         .withColumn("newer", F.expr(f"new.here IS NOT NULL AND (old.here IS NULL OR {later})"))
         .withColumn("moved", F.expr(f"newer AND (old.here IS NULL OR coalesce({changed}, false))"))
-        .selectExpr(*(f"{result[c]} AS {c}" for c in (key, *values, flag, *order, stamp)))
+        .selectExpr(*output)
     )
 
 

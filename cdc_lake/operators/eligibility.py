@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.rules import earns_prime, earns_wellness
+from ..functions.rules import earns_prime, earns_wellness, is_active
 from ..functions.timestamps import stamp
 from .joins import lookup_join
 
@@ -46,6 +46,35 @@ def activity_stats(activities: DataFrame) -> DataFrame:
     )
 
 
+def stat_changes(moved: DataFrame, flag: str = "__deleted") -> DataFrame:
+    """What merged rows (``apply_in_order`` with ``before``) add to and take from the totals per employee.
+
+    A row that is now another counts once with its old values, as minus, and once with its
+    new ones, as plus, each only if not deleted. Sums combine map-side, and no row that
+    stayed as it was takes part.
+    """
+    facts = ("employee_id", "is_commute", "distance", "elapsed_time", flag)
+    image = lambda prefix, sign: F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in facts], F.lit(sign).alias("sign"))
+    both = F.array(image("", 1), F.when(F.isnotnull("_before"), image("_before.", -1)))
+    rows = moved.where("_moved").select(F.explode(both).alias("r")).where("r IS NOT NULL").select("r.*")
+    count, commutes, externals, distance, elapsed = TOTALS
+    sums = rows.where(is_active(flag)).groupBy("employee_id").agg(
+        F.expr(f"sum(CAST(sign AS bigint)) AS {count}"),
+        F.expr(f"sum(IF(is_commute, sign, 0)) AS {commutes}"),
+        F.expr(f"sum(IF(NOT is_commute, sign, 0)) AS {externals}"),
+        F.expr(f"sum(sign * coalesce(CAST(distance AS bigint), 0)) AS {distance}"),
+        F.expr(f"sum(sign * coalesce(CAST(elapsed_time AS bigint), 0)) AS {elapsed}"),
+    )
+    return sums.where(" OR ".join(f"{total} <> 0" for total in TOTALS))
+
+
+def add_stat_changes(stats: DataFrame, changes: DataFrame) -> DataFrame:
+    """Totals after the changes: sums per employee. Employees without an activity left are dropped."""
+    every = stats.select("employee_id", *TOTALS).unionByName(changes.select("employee_id", *TOTALS))
+    sums = every.groupBy("employee_id").agg(*[F.sum(total).alias(total) for total in TOTALS])
+    return sums.where(f"{TOTALS[0]} <> 0")
+
+
 def add_stats(employees: DataFrame, stats: DataFrame) -> DataFrame:
     """Every employee once more, with totals; 0 where there is no activity."""
     return lookup_join(employees, stats, "employee_id").fillna(0, subset=list(TOTALS))
@@ -60,8 +89,12 @@ def flag_wellness(df: DataFrame) -> DataFrame:
 
 
 def gold_eligibility(employees: DataFrame, activities: DataFrame, at: datetime | None = None) -> DataFrame:
+    return gold_from_stats(employees, activity_stats(activities), at)
+
+
+def gold_from_stats(employees: DataFrame, stats: DataFrame, at: datetime | None = None) -> DataFrame:
     facts = employees.select(*EMPLOYEE_FACTS)
-    flagged = flag_wellness(flag_prime(add_stats(facts, activity_stats(activities))))
+    flagged = flag_wellness(flag_prime(add_stats(facts, stats)))
     return flagged.select(*EMPLOYEE_FACTS, *TOTALS, *FLAGS, stamp(at).alias("computed_at"))
 
 

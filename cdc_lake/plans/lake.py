@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cdc import current_rows
+from ..operators.eligibility import stat_changes
+from ..sources.partitions import PartitionedTable
 from ..sources.tables import BatchLog, SnapshotTable
 
 
@@ -39,13 +41,29 @@ class CurrentTable(SnapshotTable):
         return super().read()
 
 
+class CurrentPartitions(PartitionedTable):
+    """The same, in hash partitions."""
+
+    def read(self) -> DataFrame | None:
+        rows = self.history()
+        return None if rows is None else current_rows(rows)
+
+    def history(self) -> DataFrame | None:
+        return super().read()
+
+
 @dataclass(frozen=True)
 class Lake:
+    """``partitions``: keep Silver in so many hash partitions, of which a merge writes the changed
+    ones, and Gold's totals up to date from the changes. ``buckets``: store Silver's versions in buckets.
+    """
+
     spark: SparkSession
     root: str
     run: str = "main"
     buckets: int | None = None
     options: Options = field(default_factory=Options)
+    partitions: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -59,7 +77,9 @@ class Lake:
         return SnapshotTable(self.spark, self.path("reference"))
 
     @property
-    def activities(self) -> CurrentTable:
+    def activities(self) -> CurrentTable | CurrentPartitions:
+        if self.partitions:
+            return CurrentPartitions(self.spark, self.path("silver/activities"), "id", self.partitions, stat_changes)
         bucket_by = (self.buckets, "id") if self.buckets else None
         return CurrentTable(self.spark, self.path("silver/activities"), bucket_by)
 
@@ -67,6 +87,11 @@ class Lake:
     def employees(self) -> SnapshotTable:
         return SnapshotTable(self.spark, self.path("silver/employees"))
 
+    @property
+    def totals(self) -> SnapshotTable:
+        """Totals per employee, kept up to date from Silver's changes."""
+        return SnapshotTable(self.spark, self.path("gold/totals"))
+
     @property
     def gold(self) -> SnapshotTable:
         return SnapshotTable(self.spark, self.path("gold/employee_eligibility"))

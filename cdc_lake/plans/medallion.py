@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.rules import ORPHAN_REASON
 from ..operators.cdc import ARRIVAL, apply_in_order, latest_or_keyless, latest_version, to_silver
-from ..operators.eligibility import FLAGS, gold_eligibility
+from ..operators.eligibility import FLAGS, activity_stats, add_stat_changes, gold_eligibility, gold_from_stats
 from ..operators.quality import (
     REASON,
     clean_rows,
@@ -73,9 +74,13 @@ def merge_activities(lake: Lake, changes: DataFrame, run: str, batch_id: int | N
     """Merge one-per-key changes into Silver, or load it the first time. Returns the rows of the new version.
 
     A change wins over older rows only, so the same batch twice, or batches out of order,
-    leave the same Silver. The rows counted include delete markers.
+    leave the same Silver. The rows counted include delete markers. In hash partitions only
+    those of the changed keys are read and written, and counted.
     """
     table = lake.activities
+    if lake.partitions:
+        step = partial(apply_in_order, null_safe=lake.options.null_safe, at=at, before=True)
+        return table.merge(changes, step, run, batch_id)["rows"]
     merged = apply_in_order(table.history(), table.align(changes), null_safe=lake.options.null_safe, at=at)
     return table.write(merged, run, batch_id)["rows"]
 
@@ -85,10 +90,12 @@ def apply_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
 
     The batch is read twice, once for the rejects and once for the changes. Holding it
     tagged in between would write all of it to executor disks, which a backlog of any size
-    must not depend on. Inside a stream the rules filter above the scan of the batch.
+    must not depend on. Given as files, it is read with the rules as scan filters.
     """
     at = datetime.now(timezone.utc)
     employees = lake.employees.read()
+    if lake.partitions:
+        lake.activities.recover()
     lake.quarantine.write(rejected_rows(tag_all(batch, employees, lake.options), at), lake.run, batch_id)
     if not lake.activities.applied(lake.run, batch_id):
         changes = silver_changes(batch, employees, lake.options, keep=ARRIVAL)
@@ -102,7 +109,8 @@ def rebuild_silver(lake: Lake, at: datetime | None = None) -> dict[str, int]:
     rejected = lake.quarantine.write(
         rejected_rows(tag_all(bronze, employees, lake.options), at), f"{lake.run}-rebuild", 0
     )
-    changes = lake.activities.align(silver_changes(bronze, employees, lake.options, keep=ARRIVAL))
+    changes = silver_changes(bronze, employees, lake.options, keep=ARRIVAL)
+    changes = changes if lake.partitions else lake.activities.align(changes)
     rows = lake.activities.write(apply_in_order(None, changes, at=at), f"{lake.run}-rebuild")["rows"]
     return {"rows": rows, "rejected": rejected}
 
@@ -134,6 +142,24 @@ def replay_orphans(lake: Lake, at: datetime | None = None) -> int:
     return rows
 
 
+def ensure_totals(lake: Lake) -> str:
+    """Totals per employee up to Silver's present state. Returns how: ``kept``, ``changes`` or ``rebuilt``.
+
+    The totals say which state of Silver they hold. All commits since then are added in one
+    go, so a lost job, or several commits without one, are made up for; Silver itself is
+    read only if there are no totals yet or a commit's changes are no longer kept.
+    """
+    table, state, held = lake.activities, lake.activities.state(), lake.totals.source()
+    if held == state:
+        return "kept"
+    changes = table.changes_since(held)
+    if changes is None:
+        lake.totals.write(activity_stats(table.read()), lake.run, built_from=state)
+        return "rebuilt"
+    lake.totals.write(add_stat_changes(lake.totals.read(), changes), lake.run, built_from=state)
+    return "changes"
+
+
 def gold_source(lake: Lake) -> str:
     return f"{lake.activities.state()} {lake.employees.state()}"
 
@@ -151,8 +177,13 @@ def build_gold(lake: Lake, export_to: str | None = None, at: datetime | None = N
     if activities is None or employees is None:
         raise ValueError("Gold needs Silver activities and Silver employees")
     source = gold_source(lake)
+    if lake.partitions:
+        ensure_totals(lake)
+        gold = gold_from_stats(employees, lake.totals.read(), at)
+    else:
+        gold = gold_eligibility(employees, activities, at)
     report = lake.gold.write(
-        gold_eligibility(employees, activities, at),
+        gold,
         lake.run,
         built_from=source,
         eligible_prime=F.count_if(FLAGS[0]),

@@ -260,6 +260,8 @@ ORACLES: dict[str, str] = {
     "quarantine_dedup_first": f"WITH {DEDUP_REJECTS}",
     "silver_replayed_batches": f"WITH {SILVER} SELECT * FROM silver",
     "silver_merge_buckets": f"WITH {SILVER} SELECT * FROM silver",
+    "silver_merge_partitions": f"WITH {SILVER} SELECT * FROM silver",
+    "gold_incremental": f"WITH {GOLD} SELECT * FROM gold",
     "medallion_refresh": f"""WITH {GOLD}
 SELECT * REPLACE (CASE WHEN bu <> 'HOUSEHOLD' THEN external_sport END AS external_sport) FROM gold""",
     "bronze_status": f"""WITH {LANDED}

@@ -509,3 +509,26 @@ def ingest_stamps(spark, sf_dir):
         F.count_if(F.isnull("ingested_at")).cast("int").alias("unstamped"),
         (F.countDistinct("ingested_at") == tables.WAVES).alias("one_stamp_per_delivery"),
     )
+
+
+@query
+def silver_merge_partitions(spark, sf_dir):
+    """Delivered and merged with Silver in hash partitions."""
+    lake = Lake(spark, scratch_dir(spark, "partitions"), options=Options(key_type="bigint"), partitions=16)
+    lake.employees.write(tables.employees(spark, sf_dir))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+        start_silver(lake).awaitTermination()
+    return lake.activities.read().drop("updated_at")
+
+
+@query
+def gold_incremental(spark, sf_dir):
+    """Gold from totals that follow Silver's changes, delivery by delivery; equals Gold at once."""
+    lake = Lake(spark, scratch_dir(spark, "totals"), options=Options(key_type="bigint"), partitions=16)
+    lake.employees.write(tables.employees(spark, sf_dir))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+        start_silver(lake).awaitTermination()
+        build_gold(lake)
+    return lake.gold.read().drop("computed_at")

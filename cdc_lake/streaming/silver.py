@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -25,12 +26,23 @@ def start_silver(lake: Lake, limit: int | None = None, **trigger) -> StreamingQu
 
 
 def _start(lake: Lake, step: Callable[[DataFrame, int], None], limit: int | None = None, **trigger) -> StreamingQuery:
+    """The stream itself reads no column: it tells which files are new, and a batch job reads those.
+
+    So rules and columns reach the scan, as often as the step reads the increment.
+    """
     files.make_folder(lake.spark, lake.bronze_path)  # wait for the first landing rather than fail
-    source = lake.spark.readStream.schema(bronze_ddl(lake.options.key_type))
+    schema = bronze_ddl(lake.options.key_type)
+    source = lake.spark.readStream.schema(schema)
     stream = (source if limit is None else source.option("maxFilesPerTrigger", limit)).parquet(lake.bronze_path)
+
+    def batch_of_files(batch: DataFrame, batch_id: int) -> None:
+        names = [unquote(row[0]) for row in batch.distinct().collect()]
+        if names:
+            step(lake.spark.read.schema(schema).option("basePath", lake.bronze_path).parquet(*names), batch_id)
+
     return (
-        stream.writeStream.trigger(**trigger)
-        .foreachBatch(step)
+        stream.select("_metadata.file_path").writeStream.trigger(**trigger)
+        .foreachBatch(batch_of_files)
         .option("checkpointLocation", lake.checkpoint("silver"))
         .queryName("Silver - Activities")
         .start()

@@ -1,0 +1,222 @@
+"""Silver in hash partitions, and Gold's totals from its changes."""
+
+from __future__ import annotations
+
+import glob
+import os
+import random
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from cdc_lake.operators.cdc import apply_in_order, current_rows
+from cdc_lake.operators.eligibility import TOTALS, activity_stats, add_stat_changes, stat_changes
+from cdc_lake.plans.lake import Lake
+from cdc_lake.plans.medallion import apply_batch, ensure_totals, merge_activities, rebuild_silver
+from cdc_lake.sources import files
+from cdc_lake.sources.partitions import PART, PartitionedTable
+from cdc_lake.streaming.silver import refresh, start_silver
+
+from .conftest import rows
+from .test_streaming import Topic, change, staff
+
+CHANGES = (
+    "id int, employee_id int, start_datetime string, sport_type string, distance int, elapsed_time int, details string, "
+    "is_commute boolean, __deleted string, ingested_at timestamp, kafka_partition int, kafka_offset bigint"
+)
+
+
+def at(offset):
+    return datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=offset)
+
+
+def sent(spark, *changed):
+    """(id, employee, distance, commute, deleted, offset) as changes."""
+    full = [(i, e, "t", "s", d, 60, None, c, "true" if gone else "false", at(o), 0, o) for i, e, d, c, gone, o in changed]
+    return spark.createDataFrame(full, CHANGES)
+
+
+def held(frame):
+    return frame.sparkSession.createDataFrame(frame.collect(), frame.schema)
+
+
+def data_files(path):
+    return {f for f in glob.glob(f"{path}/{PART}=*/*.parquet")}
+
+
+@pytest.fixture
+def lake(spark, lake_root):
+    return Lake(spark, lake_root, partitions=4)
+
+
+def merge(lake, batch, *changed):
+    return merge_activities(lake, sent(lake.spark, *changed), "main", batch, at(batch))
+
+
+def test_a_merge_leaves_the_files_of_other_partitions(lake):
+    merge(lake, 0, *[(i, 1, i, False, False, i) for i in range(40)])
+    before = data_files(lake.activities.path)
+    assert len(before) == 4
+    assert merge(lake, 1, (7, 2, 700, True, False, 100)) < 40
+    after = data_files(lake.activities.path)
+    assert len(before & after) == 3 and len(after) == 4
+    assert rows(lake.activities.read().where("id = 7"), "employee_id", "distance") == [(2, 700)]
+    assert lake.activities.read().count() == 40
+
+
+def test_plan_reads_changed_partitions_only(lake):
+    merge(lake, 0, *[(i, 1, i, False, False, i) for i in range(40)])
+    table = lake.activities
+    one = [row[0] for row in lake.spark.range(1).select(table.part_of(F.lit(7))).collect()]
+    plan = table._stored().where(F.col(PART).isin(one))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and f"{PART}#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_deleting_every_row_of_a_partition_leaves_markers(lake):
+    merge(lake, 0, *[(i, 1, i, False, False, i) for i in range(8)])
+    merge(lake, 1, *[(i, 1, i, False, True, 100 + i) for i in range(8)])
+    assert lake.activities.read().isEmpty() and lake.activities.history().count() == 8
+    merge(lake, 2, (3, 1, 5, False, False, 50))  # older than the delete
+    assert lake.activities.read().isEmpty()
+
+
+def test_a_writer_lost_while_staging_has_changed_nothing(lake, monkeypatch):
+    merge(lake, 0, *[(i, 1, i, False, False, i) for i in range(8)])
+    state = lake.activities.state()
+    with monkeypatch.context() as lost:
+        lost.setattr(PartitionedTable, "_publish", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge(lake, 1, (3, 2, 5, False, False, 50))
+    staged = glob.glob(f"{lake.activities.path}/_staged/*")
+    os.remove(f"{staged[0]}/_SUCCESS")  # as if the job had not ended
+    lake.activities.recover()
+    assert lake.activities.state() == state and not glob.glob(f"{lake.activities.path}/_staged/*")
+    merge(lake, 1, (3, 2, 5, False, False, 50))
+    assert rows(lake.activities.read().where("id = 3"), "employee_id") == [(2,)]
+
+
+@pytest.mark.parametrize("lost_step", ["before", "half way", "unmarked"])
+def test_a_lost_publication_is_finished(lake, monkeypatch, lost_step):
+    merge(lake, 0, *[(i, 1, i, False, False, i) for i in range(20)])
+    ensure_totals(lake)
+    publish = PartitionedTable._publish
+
+    def lose(table, version, summarise=True):
+        if lost_step != "before":
+            publish(table, version, summarise)
+            files.remove(table.spark, f"{table.path}/_log/{version.folder}")
+        if lost_step == "half way":  # the old partitions gone, the new ones not there yet
+            staged = f"{table.path}/_staged/{version.folder}"
+            for name in files.child_names(table.spark, staged):
+                files.remove(table.spark, f"{table.path}/{name}")
+        raise RuntimeError
+
+    with monkeypatch.context() as lost:
+        lost.setattr(PartitionedTable, "_publish", lose)
+        with pytest.raises(RuntimeError):
+            merge(lake, 1, *[(i, 2, 9, True, False, 100 + i) for i in range(3)])
+    lake.activities.recover()
+    assert lake.activities.applied("main", 1)
+    assert lake.activities.read().count() == 20
+    assert rows(lake.activities.read().where("employee_id = 2"), "id") == [(0,), (1,), (2,)]
+    assert ensure_totals(lake) == "changes"
+    assert rows(lake.totals.read(), "employee_id", *TOTALS) == rows(activity_stats(lake.activities.read()), "employee_id", *TOTALS)
+
+
+def test_another_layout_is_refused(spark, lake):
+    merge(lake, 0, (1, 1, 1, False, False, 1))
+    with pytest.raises(ValueError, match="4 partitions, not 8"):
+        Lake(spark, lake.root, partitions=8).activities
+
+
+def test_empty_changes_touch_nothing(lake):
+    merge(lake, 0, (1, 1, 1, False, False, 1))
+    state = lake.activities.state()
+    assert merge_activities(lake, sent(lake.spark).limit(0), "main", 1, at(1)) == 0
+    assert lake.activities.state() == state
+
+
+# -- totals from changes -------------------------------------------------------
+
+
+def test_stat_changes_by_brute_force(spark):
+    """Random updates, deletes, returns and moves between employees, applied in four batches."""
+    pick, table, totals = random.Random(5), None, None
+    for batch in range(4):
+        changed = {}
+        for n in range(60):
+            i = pick.randrange(40)
+            changed[i] = (i, pick.randrange(5), pick.choice([None, 5, 80]), pick.random() < 0.5, pick.random() < 0.3, batch * 100 + n - pick.choice([0, 90]))
+        table_next = held(apply_in_order(table, sent(spark, *changed.values()), before=True))
+        delta = stat_changes(table_next)
+        totals = held(add_stat_changes(delta.limit(0) if totals is None else totals, delta))
+        table = table_next.drop("_moved", "_before")
+        assert rows(totals, "employee_id", *TOTALS) == rows(activity_stats(current_rows(table)), "employee_id", *TOTALS)
+
+
+def test_unchanged_rows_change_no_total(spark):
+    first = sent(spark, (1, 1, 5, False, False, 1), (2, 1, 5, True, True, 2))
+    again = apply_in_order(apply_in_order(None, first), sent(spark, (1, 1, 5, False, False, 9), (2, 1, 5, True, True, 8)), before=True)
+    assert stat_changes(again).isEmpty()
+
+
+def test_totals_are_made_up_for_and_do_not_read_silver(lake, monkeypatch):
+    merge(lake, 0, *[(i, i % 3, i, i % 2 == 0, False, i) for i in range(30)])
+    assert ensure_totals(lake) == "rebuilt" and ensure_totals(lake) == "kept"
+    merge(lake, 1, (1, 2, 9, True, False, 100), (2, 2, 9, True, True, 101))
+    merge(lake, 2, (3, 0, 9, True, False, 102), (99, 9, 9, True, False, 103))
+    expected = rows(activity_stats(lake.activities.read()), "employee_id", *TOTALS)
+    added = add_stat_changes(lake.totals.read(), lake.activities.changes_since(lake.totals.source()))
+    assert not any(f"/{PART}=" in name for name in added.inputFiles())
+    with monkeypatch.context() as patched:
+        patched.setattr(type(lake.activities), "read", lambda self: 1 / 0)
+        assert ensure_totals(lake) == "changes"  # two commits at once, without Silver
+    assert rows(lake.totals.read(), "employee_id", *TOTALS) == expected
+
+
+def test_totals_start_anew_when_changes_are_gone(lake):
+    merge(lake, 0, (1, 1, 1, False, False, 1))
+    ensure_totals(lake)
+    merge(lake, 1, (1, 2, 1, False, False, 2))
+    files.remove(lake.spark, f"{lake.activities.path}/_changes")
+    assert ensure_totals(lake) == "rebuilt"
+    assert rows(lake.totals.read(), "employee_id", "total_activities") == [(2, 1)]
+
+
+def test_refresh_with_partitions(spark, lake):
+    lake.reference.write(staff(spark, 1, 2))
+    topic = Topic(lake)
+    topic.land(change(1), change(2, employee=2, sport="Commute to work - x"), change(3, employee=None))
+    assert refresh(lake)["rows"] == 2
+    topic.land(change(1, employee=2), change(2, deleted="true"), change(4))
+    report = refresh(lake)
+    assert report["rows"] == 2 and refresh(lake) is None
+    assert rows(lake.gold.read(), "employee_id", "total_activities", "total_commute_activities") == [(1, 1, 0), (2, 1, 0)]
+    gold = rows(lake.gold.read().drop("computed_at"))
+    rebuild_silver(lake)
+    assert refresh(lake) is not None and rows(lake.gold.read().drop("computed_at")) == gold
+    topic.land(change(4, employee=2))
+    refresh(lake)
+    assert rows(lake.gold.read(), "employee_id", "total_activities") == [(1, 0), (2, 2)]
+
+
+def test_a_repeated_batch_is_harmless(spark, lake):
+    lake.reference.write(staff(spark, 1))
+    Topic(lake).land(change(1), change(2, sport=None))
+    refresh(lake)
+    before, state = rows(lake.activities.read()), lake.activities.state()
+    apply_batch(lake, lake.bronze(), 0)
+    assert rows(lake.activities.read()) == before and lake.activities.state() == state and lake.quarantine.read().count() == 1
+
+
+def test_an_increment_is_read_with_rules_at_the_scan(spark, lake, monkeypatch):
+    lake.reference.write(staff(spark, 1))
+    Topic(lake).land(change(1), change(2, elapsed=0))
+    refresh(lake)
+    Topic(lake).land(change(5))
+    seen = []
+    monkeypatch.setattr("cdc_lake.streaming.silver.apply_batch", lambda _, batch, __: seen.append((batch.inputFiles(), batch.where("id IS NOT NULL")._jdf.queryExecution().toString())))
+    start_silver(lake).awaitTermination()
+    (names, plan), = seen
+    assert len(names) == 1 and "PushedFilters: [IsNotNull(id)]" in plan
