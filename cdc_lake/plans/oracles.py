@@ -306,6 +306,8 @@ SELECT rule, count(*) AS records
 FROM (SELECT unnest(string_split(rejection_reason, ', ')) AS rule FROM quarantine) GROUP BY rule""",
     "fk_valid": f"WITH {KNOWN} SELECT * FROM known",
     "fk_orphans": f"WITH {KNOWN} SELECT * FROM orphans",
+    "fk_valid_bitmap": f"WITH {KNOWN} SELECT * FROM known",
+    "fk_orphans_bitmap": f"WITH {KNOWN} SELECT * EXCLUDE (rejection_reason) FROM orphans",
     "all_rejected": f"WITH {KNOWN} SELECT * FROM quarantine UNION ALL BY NAME SELECT * FROM orphans",
     "rejects_union": f"""WITH {KNOWN}
 SELECT id, kafka_offset, details, rejection_reason FROM quarantine

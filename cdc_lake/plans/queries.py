@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.rules import activity_rules, is_commute
 from ..functions.timestamps import epoch_text
 from ..operators import cdc, cohorts, eligibility, notify, quality, reference
+from ..operators.bitmaps import id_bitmaps, with_id_in, with_id_not_in
 from ..operators.cdc import ARRIVAL
 from ..schemas import CHANGE_COLUMNS
 from ..session import scratch_dir
@@ -145,6 +146,23 @@ def fk_orphans(spark, sf_dir):
     return orphans.drop("rejected_at")
 
 
+def _staff_bitmaps(spark, sf_dir):
+    path = scratch_dir(spark, "bitmaps")
+    id_bitmaps(tables.employees(spark, sf_dir), "employee_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def fk_valid_bitmap(spark, sf_dir):
+    """The key check by bitmaps of the known ids."""
+    return with_id_in(dq_clean(spark, sf_dir), _staff_bitmaps(spark, sf_dir), "employee_id")
+
+
+@query
+def fk_orphans_bitmap(spark, sf_dir):
+    return with_id_not_in(dq_clean(spark, sf_dir), _staff_bitmaps(spark, sf_dir), "employee_id")
+
+
 @query
 def all_rejected(spark, sf_dir):
     tagged = tag_all(tables.bronze(spark, sf_dir), tables.employees(spark, sf_dir))
