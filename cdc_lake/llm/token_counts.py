@@ -3,7 +3,8 @@
 A subword encoder works on pre-tokens alone: no vocabulary entry joins a character to a
 space or line break that follows it, so the count of a text is the sum over its pre-tokens.
 The lengths of the frequent pre-tokens are broadcast; every other pre-token is encoded once
-and kept in the worker's cache. No pre-token is shuffled.
+and kept in the worker's cache. No pre-token is shuffled. Arrow kernels split a slice of texts
+and number its distinct pre-tokens; only those are counted or looked up in Python.
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import partition_count
@@ -24,6 +27,8 @@ CACHE_SIZE = 300_000
 CACHED_CHARS = 48
 #: Summaries that one task merges.
 FAN_IN = 32
+#: Bytes of text that are split at once; a longer text is split alone.
+SLICE_BYTES = 4 << 20
 
 _MARK = "▁"  # stands for a space in the vocabulary
 _PRE_TOKEN = re.compile(f"{_MARK}+[^{_MARK}\n]*|\n[^{_MARK}\n]*")
@@ -57,6 +62,46 @@ def encoded_length(encoder, pre_token: str) -> int:
     return len(encoder.encode(pre_token)) - (pre_token[0] == "\n")
 
 
+def _slices(texts: pa.Array):
+    """(place, slice) of ``texts`` in slices of about ``SLICE_BYTES``."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), np.int64)
+    part = np.cumsum(sizes) // SLICE_BYTES
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(texts)]):
+        yield int(start), texts.slice(int(start), int(end - start))
+
+
+def split_plain(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """(places of the plain texts, distinct pre-tokens, number of each pre-token in turn, ends per text).
+
+    In a plain text no space stands next to another, before a line break or at an end, so
+    that pre-tokens are the parts between spaces, a line break taking its word along.
+    ``ends`` starts with 0.
+    """
+    odd = pc.or_kleene(pc.match_substring(texts, _MARK), pc.match_substring(texts, "  "))
+    odd = pc.or_kleene(odd, pc.match_substring(texts, " \n"))
+    odd = pc.or_kleene(odd, pc.or_kleene(pc.starts_with(texts, " "), pc.or_kleene(pc.starts_with(texts, "\n"), pc.ends_with(texts, " "))))
+    odd = pc.or_kleene(odd, pc.equal(pc.binary_length(texts), 0))
+    plain = np.flatnonzero(~pc.fill_null(odd, True).to_numpy(zero_copy_only=False))
+    parts = pc.split_pattern(pc.replace_substring(texts.take(pa.array(plain)), "\n", " \n"), " ")
+    coded = pc.dictionary_encode(pc.list_flatten(parts))
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())]).astype(np.int64)
+    return plain, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), ends
+
+
+def _odd(texts: pa.Array, plain: np.ndarray) -> np.ndarray:
+    """Places of the other texts that are not empty."""
+    rest = np.setdiff1d(np.arange(len(texts)), plain)
+    filled = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False)
+    return rest[filled[rest]]
+
+
+def encoded_lengths(encoder, words: list[str]) -> list[int]:
+    """Tokens of each pre-token, encoded in one call."""
+    encoded = encoder.encode([word[1:] if word[0] == _MARK else word for word in words], num_threads=1)
+    return [1 if word == _MARK else len(tokens) - (word[0] == "\n") for word, tokens in zip(words, encoded)]
+
+
 class Lengths(dict):
     """Lengths of pre-tokens: the broadcast table, and the cache of what has been encoded."""
 
@@ -74,6 +119,30 @@ class Lengths(dict):
     def count(self, text: str) -> int:
         return sum(map(self.__getitem__, pre_tokens(text)))
 
+    def of(self, words: list[str]) -> np.ndarray:
+        lengths = list(map(self.get, words))
+        missing = [i for i, length in enumerate(lengths) if length is None]
+        if missing:
+            for i, length in zip(missing, encoded_lengths(self.encoder, [words[i] for i in missing])):
+                lengths[i] = length
+                if len(words[i]) <= CACHED_CHARS:
+                    self[words[i]] = length
+        return np.array(lengths, np.int64)
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens per text. Each distinct pre-token of a slice is looked up once."""
+        out = np.zeros(len(texts), np.int64)
+        for start, piece in _slices(texts):
+            plain, words, which, ends = split_plain(piece)
+            if len(which):
+                lengths = self.of(words)
+                sums = np.concatenate([[0], np.cumsum(lengths[which])])[ends]
+                out[start + plain] = np.diff(sums)
+            for i in _odd(piece, plain):
+                out[start + i] = self.count(piece[int(i)].as_py())
+            self.trim()
+        return out
+
     def trim(self) -> None:
         if len(self) > self.most:
             self.clear()
@@ -108,11 +177,15 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", size: int = TABLE_S
 
         counts: Counter = Counter()
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                if value:
-                    counts.update(word for word in pre_tokens(value) if len(word) <= CACHED_CHARS)
-                    if len(counts) > 8 * size:
-                        counts = _shrunk(counts, 2 * size)
+            for _, texts in _slices(batch.column(0)):
+                plain, words, which, _ = split_plain(texts)
+                for word, n in zip(words, np.bincount(which, minlength=len(words)).tolist()):
+                    if len(word) <= CACHED_CHARS:
+                        counts[word] += n
+                for i in _odd(texts, plain):
+                    counts.update(word for word in pre_tokens(texts[int(i)].as_py()) if len(word) <= CACHED_CHARS)
+                if len(counts) > 8 * size:
+                    counts = _shrunk(counts, 2 * size)
         yield summary(TaskContext.get().partitionId(), counts)
 
     def merge(table):
@@ -140,18 +213,16 @@ def token_counts(docs: DataFrame, model_path: str, text: str = "text", keep: tup
     ``docs`` are not read. An empty table gives an empty result.
     """
     encoder = _encoder(model_path)
-    table = docs.sparkSession.sparkContext.broadcast(
-        {word: encoded_length(encoder, word) for word in frequent_pre_tokens(docs, text, table_size) if word}
-    )
+    frequent = [word for word in frequent_pre_tokens(docs, text, table_size) if word]
+    table = docs.sparkSession.sparkContext.broadcast(dict(zip(frequent, encoded_lengths(encoder, frequent))))
     names = list(keep)
 
     def count(batches):
         lengths = Lengths(_encoder(model_path), table.value)
         for batch in batches:
-            tokens = [lengths.count(value) if value else 0 for value in batch.column(len(names)).to_pylist()]
-            lengths.trim()
+            tokens = lengths.counts(batch.column(len(names)))
             arrays = [batch.column(i) for i in range(len(names) + 2) if i != len(names)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(tokens, pa.int64())], [*names, "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(tokens)], [*names, "n_bytes", "n_tokens"])
 
     value = docs[text]
     read = docs.select(*[docs[name] for name in names], value, F.coalesce(F.octet_length(value), F.lit(0)).cast("long").alias("n_bytes"))
