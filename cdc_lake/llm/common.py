@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
+from ..sources import files
 
 #: White space of the word contracts: space and the control characters from tab to carriage return.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -21,6 +22,13 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def dropped(*frames: DataFrame) -> None:
+    """Remove what ``stored`` wrote, once nothing that is still to be computed reads it."""
+    for frame in frames:
+        for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+            files.remove(frame.sparkSession, folder)
+
+
 def let(value: Column, body) -> Column:
     """``body`` of ``value``, which is evaluated once however often ``body`` names it."""
     return F.transform(F.array(value), body)[0]

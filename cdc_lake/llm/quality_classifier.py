@@ -6,9 +6,9 @@ discounts and lower orders are joins of count tables sharded by n-gram. Perplexi
 against a limit per language that best tells the held-out documents labelled good from those
 labelled bad.
 
-Scoring takes the model in shards of bounded size. The shard of an n-gram follows from the two
-characters before the predicted one, so each position of a text needs one shard only,
-whatever order the model backs off to; sums over shards add up.
+Scoring takes the model in shards. The shard of an n-gram follows from the three characters
+before the predicted one, so each position of a text needs one shard only, whatever order the
+model backs off to; sums over shards add up. Shorter n-grams are in every shard.
 """
 
 from __future__ import annotations
@@ -20,14 +20,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.bitmaps import id_bitmaps, with_id_in
 from ..operators.joins import lookup_join
-from .common import stored
+from .common import dropped, stored
 
 ORDER = 5
 #: Of trusted documents, one in so many sets thresholds and is not trained on.
 HELD_OUT = 5
 #: So much of the held-out trusted documents of a language is kept at least.
 LEAST_KEPT = 0.95
+#: Good and bad held-out documents that a language needs for a limit of its own; with fewer, the
+#: distance from its middle is that of the languages together.
+LEAST_GOOD, LEAST_BAD = 50, 10
 #: Where no held-out document is labelled bad, the limit is the upper quartile and so many
 #: quartile distances.
 FENCE = 4.0
@@ -38,7 +42,11 @@ BIN = 0.005
 PRIOR_CHARS = 50
 #: Entries of one broadcast shard (24 bytes each in a worker).
 SHARD_ENTRIES = 1_500_000
+#: Spreads neighbouring code points over the shards.
+_NEAR = 1_000_003
 _PAD = "\x02"
+#: Stands for all languages together; no language is named like that.
+_ALL = "\x00all"
 #: The model's row for unseen characters: longer than any n-gram of a text.
 _UNSEEN = "?" * (ORDER + 1)
 #: Entries of a task's counts before they are handed on; characters handled at once.
@@ -105,7 +113,7 @@ def train(trusted: DataFrame, text: str = "text") -> DataFrame:
     ]
     model = floor.select(*entry(F.lit(_UNSEEN), F.log("lower"), F.lit(None)))
     context = Window.partitionBy("lang", "context")
-    shorter = None
+    shorter, steps = None, []
     for n, grams in enumerate(orders, 1):
         rows = lookup_join(grams, stored(_discounts(grams), "discounts"), "lang", "inner")
         discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
@@ -119,10 +127,13 @@ def train(trusted: DataFrame, text: str = "text") -> DataFrame:
         rows = rows.withColumn("p", own + weight * F.col("lower")).withColumn("weight", weight)
         first = F.row_number().over(context.orderBy("gram")) == 1
         rows = stored(rows.select("lang", "gram", "context", "p", F.when(first, F.col("weight")).alias("weight")), f"order{n}")
+        steps.append(rows)
         shorter = rows.select("lang", F.col("gram").alias("_short"), F.col("p").alias("lower"))
         model = model.unionByName(rows.select(*entry(F.col("gram"), F.log("p"), F.lit(None))))
         model = model.unionByName(rows.where("weight IS NOT NULL").select(*entry(F.col("context"), F.lit(None), F.log("weight"))))
-    return stored(model, "model")
+    whole = stored(model, "model")
+    dropped(*orders, *steps, floor)
+    return whole
 
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -204,9 +215,10 @@ def _keys_of(table: pa.Table) -> np.ndarray:
 
 def _shard(model: DataFrame, shards: int, shard: int) -> tuple[Table, Table, dict[str, float]]:
     """Probabilities, backoff weights and the unseen character's probability of one shard."""
-    ends = lambda back: F.pmod(31 * F.ascii(F.substring("gram", -back, 1)) + F.ascii(F.substring("gram", -back - 1, 1)), F.lit(shards)) == shard
-    grams = model.where(f"logp IS NOT NULL AND length(gram) BETWEEN 1 AND {ORDER}").where((F.length("gram") < 3) | ends(2))
-    contexts = model.where("backoff IS NOT NULL AND length(gram) > 0").where((F.length("gram") < 2) | ends(1))
+    code = lambda back: F.ascii(F.substring("gram", -back, 1)).cast("long")
+    ends = lambda back: F.pmod((_NEAR * code(back) + code(back + 1)) * _NEAR + code(back + 2), F.lit(shards)) == shard
+    grams = model.where(f"logp IS NOT NULL AND length(gram) BETWEEN 1 AND {ORDER}").where((F.length("gram") < 4) | ends(2))
+    contexts = model.where("backoff IS NOT NULL AND length(gram) > 0").where((F.length("gram") < 3) | ends(1))
     unseen = model.where(F.col("gram") == _UNSEEN).select("lang", "logp").collect()  # a row per language
     return _packed(grams, "logp"), _packed(contexts, "backoff"), {row[0]: row[1] for row in unseen}
 
@@ -242,7 +254,8 @@ def _scores(langs: list[str], texts: list[str | None], shards: int, shard: int,
         real[starts + k] = False
     at = np.flatnonzero(real)
     if shards > 1:
-        at = at[(31 * codes[at - 1].astype(np.int64) + codes[at - 2]) % shards == shard]
+        near = codes.astype(np.int64)
+        at = at[((_NEAR * near[at - 1] + near[at - 2]) * _NEAR + near[at - 3]) % shards == shard]
     logs = np.zeros(len(codes))
     for n in range(ORDER, 0, -1):
         values, found = probabilities.find(keys[n - 1][at - (n - 1)])
@@ -267,11 +280,15 @@ def perplexities(docs: DataFrame, model: DataFrame, text: str = "text", keep: li
     value = text if text in keep else "_text"  # a text that is kept need not travel twice
     extra = [] if text in keep else [docs[text].alias("_text")]
     rows = docs.select(*[docs[c] for c in keep], *extra, _language(docs["lang"]).alias("_lang"), F.lit(0.0).alias("_nll"))
+    before = None
     for shard in range(shards):
         tables = spark.sparkContext.broadcast(_shard(model, shards, shard))
         rows = rows.mapInArrow(_scoring(tables, shards, shard, rows.columns.index(value)), rows.schema)
         if shard < shards - 1:  # one shard in a worker's memory at a time
             rows = stored(rows, "scored")
+            if before is not None:
+                dropped(before)
+            before = rows
     size = F.length(F.coalesce(value, F.lit("")))
     return rows.select(*keep, F.when((size > 0) & (F.col("_nll") > 0), F.col("_nll")).alias("_bits"), size.alias("_size"))
 
@@ -305,12 +322,14 @@ def _held_out() -> Column:
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The model, and ``_lang, limit, middle``: of held-out log-losses.
 
-    The texts to train on are the only ones shuffled: the held-out fold is scored where it
-    lies, and its labelled part is told by joining the scores.
+    No text is shuffled while the bitmaps of the trusted ids, a bit per id, are below
+    Catalyst's broadcast threshold: trusted texts are found and the held-out fold is scored
+    where they lie, and the fold's labelled part is told by joining the scores.
     """
-    judged = _judged(labels)
+    judged = stored(_judged(labels), "judged")
     texts = docs.select("doc_id", "lang", text)
-    model = train(texts.where(~_held_out()).join(judged.where((F.col("q") == 1) & ~_held_out()), "doc_id", "left_semi"), text)
+    trusted = stored(id_bitmaps(judged.where((F.col("q") == 1) & ~_held_out()), "doc_id"), "trusted")
+    model = train(with_id_in(texts.where(~_held_out()), trusted, "doc_id"), text)
     scored = perplexities(texts.where(_held_out()), model, text, ["doc_id", "lang"]).join(judged.where(_held_out()), "doc_id")
     scored = stored(scored.withColumn("_lang", _language(F.col("lang"))).where("_bits IS NOT NULL"), "held")
     middle = scored.where("q = 1").groupBy("_lang").agg(F.percentile_approx(F.col("_bits") / F.col("_size"), 0.5, 10_000).alias("middle"))
@@ -321,27 +340,33 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[DataFra
 def limits(surprises: DataFrame) -> DataFrame:
     """``_lang, limit, middle`` from ``_lang, middle, q, _surprise`` of held-out documents.
 
-    The limit keeps the largest share of good documents less the share of bad ones that it
-    keeps, of those limits that keep ``LEAST_KEPT`` of the good; it lies halfway between the
-    documents on its sides. Windows run over counts per bin, so a language has some thousand
-    rows at most.
+    The limit is a quantile of the good documents: the one that keeps the largest share of
+    them less the share of bad ones that it keeps, of those that keep ``LEAST_KEPT`` of the
+    good; it lies halfway between the documents on its sides. A language with too few
+    documents takes the distance from the middle that is best for all languages together.
+    Windows run over counts per bin, so a language has some thousand rows at most.
     """
     good, bad = F.col("q") == 1, F.col("q") == 0
-    spread = F.percentile_approx(F.when(good, F.col("_surprise")), F.array(F.lit(0.25), F.lit(0.75)), 10_000)
-    fence = surprises.groupBy("_lang").agg(spread.alias("f"), F.max("middle").alias("middle"))
-    fence = fence.select("_lang", "middle", (F.col("f")[1] + FENCE * (F.col("f")[1] - F.col("f")[0])).alias("fence"))
-    bins = surprises.groupBy("_lang", F.floor(F.col("_surprise") / BIN).alias("bin")).agg(F.count_if(good).alias("good"), F.count_if(bad).alias("bad"))
-    up, whole = Window.partitionBy("_lang").orderBy("bin"), Window.partitionBy("_lang")
+    both = surprises.select("*", (F.col("_surprise") - F.col("middle")).alias("_far"), F.explode(F.array(F.col("_lang"), F.lit(_ALL))).alias("_of"))
+    spread = F.percentile_approx(F.when(good, F.col("_far")), F.array(F.lit(0.25), F.lit(0.75)), 10_000)
+    fence = both.groupBy("_of").agg(spread.alias("f"), F.count_if(good).alias("n_good"), F.count_if(bad).alias("n_bad"))
+    fence = fence.select("_of", "n_good", "n_bad", (F.col("f")[1] + FENCE * (F.col("f")[1] - F.col("f")[0])).alias("fence"))
+    bins = both.groupBy("_of", F.floor(F.col("_far") / BIN).alias("bin")).agg(F.count_if(good).alias("good"), F.count_if(bad).alias("bad"))
+    up, whole = Window.partitionBy("_of").orderBy("bin"), Window.partitionBy("_of")
     kept = lambda column: F.sum(column).over(up) / F.sum(column).over(whole)
     tried = bins.select(
-        "_lang", kept("good").alias("kept"), (kept("good") - F.try_divide(F.sum("bad").over(up), F.sum("bad").over(whole))).alias("gain"),
+        "_of", kept("good").alias("kept"), (kept("good") - F.try_divide(F.sum("bad").over(up), F.sum("bad").over(whole))).alias("gain"),
         ((F.col("bin") + 1 + F.coalesce(F.lead("bin").over(up), F.col("bin") + 1)) / 2 * BIN).alias("limit"),
     )
-    best = tried.where(F.col("kept") >= LEAST_KEPT).groupBy("_lang").agg(F.max(F.struct("gain", "limit")).alias("best"))
-    joined = fence.join(best, "_lang", "left")
+    best = tried.where(F.col("kept") >= LEAST_KEPT).groupBy("_of").agg(F.max(F.struct("gain", "limit")).alias("best"))
     # Without a bad document to reject, or if it is best to reject none, nothing bounds the limit from above.
-    limit = F.when(F.col("best.gain") > 0, F.col("best.limit")).otherwise(F.col("fence"))
-    return joined.select("_lang", limit.alias("limit"), "middle")
+    reach = F.when(F.col("best.gain") > 0, F.col("best.limit")).otherwise(F.col("fence"))
+    found = fence.join(best, "_of", "left").select("_of", "n_good", "n_bad", reach.alias("reach"))
+    together = found.where(F.col("_of") == _ALL).select(F.lit(1).alias("_one"), F.col("reach").alias("of_all"))
+    middles = surprises.groupBy(F.col("_lang").alias("_of")).agg(F.max("middle").alias("middle"))
+    own = found.join(middles, "_of").withColumn("_one", F.lit(1)).join(together, "_one")
+    enough = (F.col("n_good") >= LEAST_GOOD) & (F.col("n_bad") >= LEAST_BAD)
+    return own.select(F.col("_of").alias("_lang"), (F.col("middle") + F.when(enough, F.col("reach")).otherwise(F.col("of_all"))).alias("limit"), "middle")
 
 
 def _surprise() -> Column:
