@@ -18,7 +18,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written to the shared folder and read again: the lineage ends there."""
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

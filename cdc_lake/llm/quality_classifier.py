@@ -40,8 +40,9 @@ BIN = 0.005
 #: A text is judged as if so many characters of middling trusted text came with it: the
 #: perplexity of a few words says little.
 PRIOR_CHARS = 50
-#: Entries of one broadcast shard (24 bytes each in a worker).
-SHARD_ENTRIES = 1_500_000
+#: Entries of one broadcast shard, and the share of a lookup table that they fill (18 bytes
+#: each in a worker).
+SHARD_ENTRIES, _FILLED = 3_000_000, 0.65
 #: Spreads neighbouring code points over the shards.
 _NEAR = 1_000_003
 _PAD = "\x02"
@@ -126,11 +127,11 @@ def train(trusted: DataFrame, text: str = "text") -> DataFrame:
         own = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.sum("n").over(context)
         rows = rows.withColumn("p", own + weight * F.col("lower")).withColumn("weight", weight)
         first = F.row_number().over(context.orderBy("gram")) == 1
-        rows = stored(rows.select("lang", "gram", "context", "p", F.when(first, F.col("weight")).alias("weight")), f"order{n}")
+        rows = stored(rows.select("lang", "gram", "p", F.when(first, F.col("weight")).alias("weight")), f"order{n}")
         steps.append(rows)
         shorter = rows.select("lang", F.col("gram").alias("_short"), F.col("p").alias("lower"))
         model = model.unionByName(rows.select(*entry(F.col("gram"), F.log("p"), F.lit(None))))
-        model = model.unionByName(rows.where("weight IS NOT NULL").select(*entry(F.col("context"), F.lit(None), F.log("weight"))))
+        model = model.unionByName(rows.where("weight IS NOT NULL").select(*entry(F.substring("gram", 1, n - 1), F.lit(None), F.log("weight"))))
     whole = stored(model, "model")
     dropped(*orders, *steps, floor)
     return whole
@@ -160,9 +161,8 @@ class Table:
     """Numbers by 64-bit key: open addressing in arrays, looked up many at a time."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(2 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.float32)
+        self.size = max(16, int(len(keys) / _FILLED))
+        self.keys, self.values = np.zeros(self.size, np.uint64), np.zeros(self.size, np.float32)
         keys, first = np.unique(np.maximum(keys, np.uint64(1)), return_index=True)
         values, slots = values[first].astype(np.float32), self._slots(keys)
         while len(keys):
@@ -176,11 +176,11 @@ class Table:
             pending = np.ones(len(keys), bool)
             while pending.any():  # the next free slot of each key
                 taken = self.keys[slots] != 0
-                slots[taken] = (slots[taken] + 1) & self.mask
+                slots[taken] = (slots[taken] + 1) % self.size
                 pending = taken
 
     def _slots(self, keys):
-        return ((keys * _MIX) >> self.shift).astype(np.int64)
+        return (((keys * _MIX) >> np.uint64(32)) * np.uint64(self.size) >> np.uint64(32)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values, which were found)."""
@@ -190,7 +190,7 @@ class Table:
         values, found = self.values[slots], held == keys
         open_ = np.flatnonzero(~found & (held != 0))
         while len(open_):
-            slots[open_] = (slots[open_] + 1) & self.mask
+            slots[open_] = (slots[open_] + 1) % self.size
             held = self.keys[slots[open_]]
             hit = held == keys[open_]
             values[open_[hit]], found[open_[hit]] = self.values[slots[open_[hit]]], True
@@ -333,8 +333,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[DataFra
     scored = perplexities(texts.where(_held_out()), model, text, ["doc_id", "lang"]).join(judged.where(_held_out()), "doc_id")
     scored = stored(scored.withColumn("_lang", _language(F.col("lang"))).where("_bits IS NOT NULL"), "held")
     middle = scored.where("q = 1").groupBy("_lang").agg(F.percentile_approx(F.col("_bits") / F.col("_size"), 0.5, 10_000).alias("middle"))
-    surprises = lookup_join(scored, middle, "_lang", "inner").withColumn("_surprise", _surprise())
-    return model, stored(limits(surprises), "limits")
+    surprises = lookup_join(scored, stored(middle, "middle"), "_lang", "inner").withColumn("_surprise", _surprise())
+    return model, stored(limits(stored(surprises.select("_lang", "middle", "q", "_surprise"), "surprises")), "limits")
 
 
 def limits(surprises: DataFrame) -> DataFrame:
@@ -362,9 +362,10 @@ def limits(surprises: DataFrame) -> DataFrame:
     # Without a bad document to reject, or if it is best to reject none, nothing bounds the limit from above.
     reach = F.when(F.col("best.gain") > 0, F.col("best.limit")).otherwise(F.col("fence"))
     found = fence.join(best, "_of", "left").select("_of", "n_good", "n_bad", reach.alias("reach"))
-    together = found.where(F.col("_of") == _ALL).select(F.lit(1).alias("_one"), F.col("reach").alias("of_all"))
+    found = stored(found, "reaches")
+    together = found.where(F.col("_of") == _ALL).first()
     middles = surprises.groupBy(F.col("_lang").alias("_of")).agg(F.max("middle").alias("middle"))
-    own = found.join(middles, "_of").withColumn("_one", F.lit(1)).join(together, "_one")
+    own = found.join(middles, "_of").withColumn("of_all", F.lit(together["reach"] if together else None).cast("double"))
     enough = (F.col("n_good") >= LEAST_GOOD) & (F.col("n_bad") >= LEAST_BAD)
     return own.select(F.col("_of").alias("_lang"), (F.col("middle") + F.when(enough, F.col("reach")).otherwise(F.col("of_all"))).alias("limit"), "middle")
 
