@@ -46,6 +46,7 @@ def arguments() -> argparse.ArgumentParser:
     with_reference(bronze)
     bronze.add_argument("--no-preview", action="store_true")
     bronze.add_argument("--drop-tombstones", action="store_true")
+    bronze.add_argument("--republished-within", help="land a topic position once within this time, such as '10 minutes'")
 
     silver = job("medallion", "Silver and Gold from what Bronze gained")
     silver.add_argument("--mode", choices=["single", "watch"], default="single")
@@ -86,6 +87,7 @@ def main(argv: list[str] | None = None) -> int:
         exempt_deletes=getattr(given, "exempt_deletes", False),
         dedup_first=getattr(given, "dedup_first", False),
         drop_tombstones=getattr(given, "drop_tombstones", False),
+        republished_within=getattr(given, "republished_within", None),
         key_type=given.key_type,
     )
     lake = Lake(spark, given.root, given.run, getattr(given, "buckets", None), options, getattr(given, "partitions", None))
@@ -97,7 +99,7 @@ def main(argv: list[str] | None = None) -> int:
         return kafka_messages(spark, given.servers, given.topic, given.starting, **{k: v for k, v in limits.items() if v})
 
     if given.job == "medallion" and given.employees and given.sports:
-        load_reference(spark, given.employees, given.sports, lake.reference, refresh=True, key_type=given.key_type)
+        load_reference(spark, given.employees, given.sports, lake.reference, refresh=True, key_type=given.key_type, quarantine=lake.reference_quarantine)
     if given.job == "bronze":
         run_bronze(lake, messages(), given.employees, given.sports, not given.no_preview)
     elif given.job == "medallion" and given.mode == "watch":

@@ -108,6 +108,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with payloads cut short, a field that the schema lacks, and a number sent as text."""
+    fields = ", ".join(CHANGE_COLUMNS)
+    as_text = ", ".join(f"CAST({c} AS string) AS {c}" if c == "distance" else c for c in CHANGE_COLUMNS)
+    value = f"""CASE
+        WHEN kafka_offset div 2 % 11 = 3 THEN concat('{{"id":', kafka_offset, ',"elapsed')
+        WHEN kafka_offset div 2 % 11 = 4 THEN '[1, 2]'
+        WHEN kafka_offset div 2 % 13 = 1 THEN to_json(struct({fields}, kafka_offset AS shoe_size))
+        WHEN kafka_offset div 2 % 17 = 2 THEN to_json(struct({as_text}))
+        ELSE to_json(struct({fields})) END"""
+    return feed(spark, sf_dir).selectExpr(f"CAST({value} AS binary) AS value", "kafka_partition AS partition", "kafka_offset AS offset", "wave")
+
+
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(table(spark, sf_dir, "customer"), _EMPLOYEE)
 

@@ -19,7 +19,8 @@ class Options:
     ``dedup_first`` keeps the newest version of a key before validation instead of after, so
     a broken newest version removes the key from the batch rather than falling back to an
     older one; superseded versions are then neither valid nor rejected, and rows without an
-    id, which supersede nothing, are all rejected. ``key_type`` widens the ids of the feed
+    id, which supersede nothing, are all rejected. ``republished_within`` ("10 minutes") lands a
+    topic position once, however often it is delivered within that time. ``key_type`` widens the ids of the feed
     and of the reference files.
     """
 
@@ -27,6 +28,7 @@ class Options:
     exempt_deletes: bool = False
     dedup_first: bool = False
     drop_tombstones: bool = False
+    republished_within: str | None = None
     key_type: str = "int"
 
 
@@ -76,6 +78,15 @@ class Lake:
     def reference(self) -> SnapshotTable:
         return SnapshotTable(self.spark, self.path("reference"))
 
+    @property
+    def reference_quarantine(self) -> SnapshotTable:
+        """Lines of the reference files with cells that could not be read."""
+        return SnapshotTable(self.spark, self.path("quarantine/reference"))
+
+    @property
+    def malformed_path(self) -> str:
+        return self.path("quarantine/malformed")
+
     @property
     def activities(self) -> CurrentTable | CurrentPartitions:
         if self.partitions:

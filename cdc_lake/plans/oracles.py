@@ -256,7 +256,31 @@ UNION ALL
 SELECT id, employee_id, kafka_offset, 'employee_id_not_in_reference' FROM tagged
 WHERE rejection_reason = '' AND employee_id NOT IN (SELECT employee_id FROM staff)"""
 
+_FAULT = "kafka_offset // 2 % 11 IN (3, 4)"
+_KINDS = {
+    "id": "BIGINT", "employee_id": "BIGINT", "start_timestamp": "BIGINT", "sport_type": "STRING", "elapsed_time": "BIGINT",
+    "details": "STRING", "__deleted": "STRING",
+}
+_SENT_AS_TEXT = "kafka_offset // 2 % 17 = 2 AND kafka_offset // 2 % 13 <> 1"
+FIELDS_FOUND = " UNION ALL ".join([
+    *(f"SELECT wave, '{c}' AS field, '{kind}' AS kind, true AS known FROM sound WHERE {c} IS NOT NULL" for c, kind in _KINDS.items()),
+    f"SELECT wave, 'distance', CASE WHEN {_SENT_AS_TEXT} THEN 'STRING' ELSE 'BIGINT' END, true FROM sound WHERE distance IS NOT NULL",
+    "SELECT wave, 'shoe_size', 'BIGINT', false FROM sound WHERE kafka_offset // 2 % 13 = 1",
+])
+
 ORACLES: dict[str, str] = {
+    "payload_malformed": f"""WITH {FEED}
+SELECT kafka_partition AS partition, kafka_offset AS "offset", 'payload_malformed' AS rejection_reason,
+       CASE WHEN kafka_offset // 2 % 11 = 3 THEN '{{"id":' || kafka_offset || ',"elapsed' ELSE '[1, 2]' END AS payload
+FROM feed WHERE {_FAULT}""",
+    "payload_fields": f"""WITH {FEED}, sound AS (SELECT * FROM feed WHERE NOT {_FAULT}), found AS ({FIELDS_FOUND})
+SELECT CAST(wave AS INTEGER) AS wave, field, kind, known, count(*) AS records FROM found GROUP BY ALL""",
+    "bronze_republished": f"WITH {LANDED} SELECT * FROM landed",
+    "table_counts": """SELECT 'events' AS name, count(*) AS records FROM events UNION ALL SELECT 'customer', count(*) FROM customer
+UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'nowhere', -1""",
+    "reference_broken": """SELECT CASE WHEN c_custkey % 19 = 3 THEN 'no. ' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS id_text,
+  concat_ws(', ', CASE WHEN c_custkey % 19 = 3 THEN 'ID salarié' END, CASE WHEN c_custkey % 7 = 3 THEN 'Salaire brut' END) AS columns
+FROM customer WHERE c_custkey % 19 = 3 OR c_custkey % 7 = 3""",
     "quarantine_dedup_first": f"WITH {DEDUP_REJECTS}",
     "silver_replayed_batches": f"WITH {SILVER} SELECT * FROM silver",
     "silver_merge_buckets": f"WITH {SILVER} SELECT * FROM silver",

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rules import activity_rules, is_commute
 from ..functions.timestamps import epoch_text
-from ..operators import cdc, cohorts, eligibility, notify, quality, reference
+from ..operators import cdc, cohorts, eligibility, notify, payloads, quality, reference
 from ..operators.bitmaps import id_bitmaps, with_id_in, with_id_not_in
 from ..operators.cdc import ARRIVAL
-from ..schemas import CHANGE_COLUMNS
+from ..schemas import CHANGE_COLUMNS, employees_ddl
 from ..session import scratch_dir
-from ..sources.reference_csv import CSV_OPTIONS, load_employee_data, load_reference
+from ..sources.reference_csv import CSV_OPTIONS, broken_lines, load_employee_data, load_reference
 from ..sources.tables import BatchLog, SnapshotTable, export_parquet, has_rows, row_count
 from ..streaming.bronze import start_landing
 from ..streaming.notifications import start_notifications
@@ -550,3 +550,50 @@ def gold_incremental(spark, sf_dir):
         start_silver(lake).awaitTermination()
         build_gold(lake)
     return lake.gold.read().drop("computed_at")
+
+
+# -- payloads, deliveries sent twice, footers, broken cells ------------------
+
+
+@query
+def payload_malformed(spark, sf_dir):
+    """Payloads that are no JSON object, with their text."""
+    return payloads.malformed_payloads(tables.faulty_messages(spark, sf_dir))
+
+
+@query
+def payload_fields(spark, sf_dir):
+    """The fields of each delivery, the types they come in, and whether the schema knows them."""
+    return payloads.payload_fields(tables.faulty_messages(spark, sf_dir), CHANGE_COLUMNS, per=["wave"])
+
+
+@query
+def bronze_republished(spark, sf_dir):
+    """Two deliveries of the whole feed, landed once."""
+    options = Options(key_type="bigint", republished_within="1 hour")
+    lake = Lake(spark, scratch_dir(spark, "republished"), options=options)
+    for _ in range(2):
+        tables.messages(spark, sf_dir).drop("wave").write.mode("append").parquet(lake.path("feed"))
+        start_landing(lake, file_messages(spark, lake.path("feed")), availableNow=True).awaitTermination()
+    return lake.bronze().select(*CHANGE_COLUMNS, "start_datetime", "kafka_partition", "kafka_offset")
+
+
+@query
+def table_counts(spark, sf_dir):
+    """Rows of the tables, from their footers; -1 for one that is missing."""
+    names = ("events", "customer", "orders", "lineitem", "nowhere")
+    found = [(name, row_count(spark, f"{sf_dir}/{name}.parquet")) for name in names]
+    return spark.createDataFrame(found, "name string, records bigint")
+
+
+@query
+def reference_broken(spark, sf_dir):
+    """Lines of the employees file with a cell that is no number, and which cells."""
+    path = scratch_dir(spark, "broken")
+    text = {f.name: F.col(f"`{f.name}`").cast("string") for f in tables.raw_employees(spark, sf_dir).schema.fields}
+    ident, salary = F.col("`ID salarié`"), "Salaire brut"
+    text["ID salarié"] = F.when(ident % 19 == 3, F.concat(F.lit("no. "), ident)).otherwise(text["ID salarié"])
+    text[salary] = F.when(ident % 7 == 3, F.lit("n/a")).otherwise(text[salary])
+    tables.raw_employees(spark, sf_dir).select(*[c.alias(name) for name, c in text.items()]).write.options(**CSV_OPTIONS).csv(path)
+    broken = broken_lines(spark, path, employees_ddl("bigint"))
+    return broken.select(F.split("line", ",")[0].alias("id_text"), F.array_join("columns", ", ").alias("columns"))

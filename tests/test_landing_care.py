@@ -1,0 +1,119 @@
+"""Malformed payloads, drift, deliveries sent twice, counts from footers, broken cells."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from cdc_lake.operators.payloads import malformed_payloads, payload_fields
+from cdc_lake.plans.lake import Lake, Options
+from cdc_lake.schemas import CHANGE_COLUMNS, MESSAGE_DDL, employees_ddl, sports_ddl
+from cdc_lake.sources.messages import file_messages
+from cdc_lake.sources.reference_csv import broken_lines, load_reference, read_employees
+from cdc_lake.sources.tables import counted, footer_reads, row_count
+from cdc_lake.streaming.bronze import start_landing, start_malformed
+
+from .conftest import rows
+from .test_streaming import Topic, change
+
+
+def messages(spark, *values):
+    sent = [(None, None if v is None else v.encode(), "t", 0, n, None) for n, v in enumerate(values)]
+    return spark.createDataFrame(sent, MESSAGE_DDL)
+
+
+def test_malformed_payloads_keep_their_text(spark):
+    values = ['{"id": 1}', "{", "", "[1]", '"text"', "7", "null", None, "{}", '{"id": {"deep": 1}}']
+    found = rows(malformed_payloads(messages(spark, *values)), "offset", "payload", "rejection_reason")
+    assert [(o, p) for o, p, _ in found] == [(o, values[o]) for o in (1, 2, 3, 4, 5, 6)]
+    assert {r for _, _, r in found} == {"payload_malformed"}
+    assert malformed_payloads(messages(spark)).isEmpty()
+
+
+def test_fields_and_drift(spark):
+    values = ['{"id": 1, "new": "x"}', '{"id": "1", "new": null}', '{"id": 2, "deep": {"a": 1}}', "{", None, "{}"]
+    found = rows(payload_fields(messages(spark, *values), CHANGE_COLUMNS), "field", "kind", "known", "records")
+    assert found == [
+        ("deep", "OBJECT<a: BIGINT>", False, 1), ("id", "BIGINT", True, 2), ("id", "STRING", True, 1), ("new", "STRING", False, 1), ("new", "VOID", False, 1),
+    ]
+
+
+def test_malformed_payloads_are_kept_beside_the_landing(spark, lake_root):
+    lake = Lake(spark, lake_root)
+    topic = Topic(lake)
+    topic.land(change(1))
+    messages(spark, "{broken").withColumn("offset", F.lit(9).cast("bigint")).write.mode("append").parquet(lake.path("feed"))
+    start_landing(lake, topic.messages(), availableNow=True).awaitTermination()
+    for _ in range(2):
+        start_malformed(lake, topic.messages(), availableNow=True).awaitTermination()
+    assert lake.bronze().count() == 2
+    kept = spark.read.parquet(lake.malformed_path)
+    assert rows(kept, "offset", "payload") == [(9, "{broken")] and kept.where("rejected_at IS NULL").isEmpty()
+
+
+def test_a_delivery_sent_twice_lands_once(spark, lake_root):
+    lake = Lake(spark, lake_root, options=Options(republished_within="1 hour"))
+    topic = Topic(lake)
+    sent = [change(1), change(1, details="y"), None]
+    topic.land(*sent)
+    topic.next = 0
+    topic.land(*sent, change(2))
+    assert rows(lake.bronze(), "id", "kafka_offset") == [(1, 0), (1, 1), (2, 3), (None, 2)]
+
+
+def test_remembered_positions_are_bounded_by_time(spark, lake_root):
+    lake = Lake(spark, lake_root, options=Options(republished_within="0 seconds"))
+    topic = Topic(lake)
+    kept = []
+    for n in range(4):
+        topic.send(*[change(10 * n + i) for i in range(5)])
+        query = start_landing(lake, topic.messages(), availableNow=True)
+        query.awaitTermination()
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert lake.bronze().count() == 20 and max(kept) <= 10
+
+
+def test_counts_come_from_footers(spark, lake_root):
+    spark.range(1000).repartition(3).write.parquet(lake_root)
+    with footer_reads(spark):
+        frame = counted(spark, lake_root)
+        assert "PushedAggregation: [COUNT(*)]" in frame._jdf.queryExecution().toString().replace("PushedAggregates", "PushedAggregation")
+        assert frame.first()[0] == 1000
+    assert row_count(spark, lake_root) == 1000 and row_count(spark, f"{lake_root}/none") == -1
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+@pytest.fixture
+def csv_files(tmp_path):
+    head = "ID salarié,Nom,Prénom,Date de naissance,BU,Date d'embauche,Salaire brut,Type de contrat,Nombre de jours de CP,Adresse du domicile,Moyen de déplacement"
+    lines = [
+        '1,A,B,x,y,z,30000,CDI,25,"1, rue",Marche/running',
+        "two,A,B,x,y,z,30000,CDI,25,a,b",
+        "3,A,B,x,y,z,30 000,CDI,many,a,b",
+        "4,A,B,x,y,z,,CDI,,a,b",
+        "5,A,B",
+    ]
+    (tmp_path / "e.csv").write_text("\n".join([head, *lines]) + "\n")
+    (tmp_path / "s.csv").write_text("ID salarié,Pratique d'un sport\n1,Tennis\n")
+    return tmp_path
+
+
+def test_broken_cells_are_named(spark, csv_files):
+    found = rows(broken_lines(spark, f"{csv_files}/e.csv", employees_ddl()), "line", "columns")
+    assert found == [
+        ("3,A,B,x,y,z,30 000,CDI,many,a,b", ["Salaire brut", "Nombre de jours de CP"]),
+        ("5,A,B", []),
+        ("two,A,B,x,y,z,30000,CDI,25,a,b", ["ID salarié"]),
+    ]
+    assert broken_lines(spark, f"{csv_files}/s.csv", sports_ddl()).isEmpty()
+    assert read_employees(spark, f"{csv_files}/e.csv").count() == 5
+
+
+def test_broken_lines_go_to_the_reference_quarantine(spark, csv_files, lake_root):
+    lake = Lake(spark, lake_root)
+    load_reference(spark, f"{csv_files}/e.csv", f"{csv_files}/s.csv", lake.reference, quarantine=lake.reference_quarantine)
+    assert rows(lake.reference_quarantine.read(), "file", "columns")[-1] == ("employees", [])
+    assert lake.reference_quarantine.read().count() == 3 and lake.reference.read().count() == 5
+    (csv_files / "e.csv").write_text((csv_files / "e.csv").read_text().splitlines()[0] + "\n")
+    load_reference(spark, f"{csv_files}/e.csv", f"{csv_files}/s.csv", lake.reference, refresh=True, quarantine=lake.reference_quarantine)
+    assert lake.reference_quarantine.read().isEmpty()
