@@ -75,6 +75,8 @@ def report(lake: Lake) -> None:
     print(f"Bronze rows: {row_count(lake.spark, lake.bronze_path)}")
     if rejected is not None:
         rejection_summary(rejected).show(truncate=False)
+    if lake.reports.read() is not None:
+        lake.reports.read().orderBy("reported_at").show(truncate=False)
     if gold is not None:
         gold_report(gold).show()
 

@@ -116,6 +116,11 @@ class Lake:
         """Topic positions of the orphans that were admitted."""
         return BatchLog(self.spark, self.path("quarantine/replayed"))
 
+    @property
+    def reports(self) -> BatchLog:
+        """A row per applied batch: rejects per rule, and the rows that Silver's write measured."""
+        return BatchLog(self.spark, self.path("reports"))
+
     @property
     def notifications(self) -> BatchLog:
         return BatchLog(self.spark, self.path("notifications"))

@@ -15,6 +15,7 @@ from ..operators.quality import (
     REASON,
     clean_rows,
     rejected_rows,
+    rule_metrics,
     tag_orphans,
     tag_violations,
     valid_rows,
@@ -96,10 +97,26 @@ def apply_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
     employees = lake.employees.read()
     if lake.partitions:
         lake.activities.recover()
-    lake.quarantine.write(rejected_rows(tag_all(batch, employees, lake.options), at), lake.run, batch_id)
+    rejects = rejected_rows(tag_all(batch, employees, lake.options), at)
+    found, written = lake.quarantine.measured_write(rejects, lake.run, batch_id, **rule_metrics()), None
     if not lake.activities.applied(lake.run, batch_id):
         changes = silver_changes(batch, employees, lake.options, keep=ARRIVAL)
-        merge_activities(lake, changes, lake.run, batch_id, at)
+        written = merge_activities(lake, changes, lake.run, batch_id, at)
+    report_batch(lake, batch_id, found, written, at)
+
+
+REPORT_DDL = "reported_at timestamp, rejected bigint, rejects_by_rule map<string,bigint>, silver_rows bigint"
+
+
+def report_batch(lake: Lake, batch_id: int, found: dict[str, int], written: int | None, at: datetime) -> None:
+    """One row about a batch, from what its writes measured; a repeated batch replaces its row.
+
+    ``silver_rows``: rows that the merge wrote, null if an earlier attempt had merged the batch.
+    Null ids and employees are the rules of that name.
+    """
+    by_rule = {rule: n for rule, n in found.items() if rule != "rows" and n}
+    row = lake.spark.createDataFrame([(at, found["rows"], by_rule, written)], REPORT_DDL)
+    lake.reports.write(row, lake.run, batch_id)
 
 
 def rebuild_silver(lake: Lake, at: datetime | None = None) -> dict[str, int]:

@@ -276,6 +276,14 @@ FROM feed WHERE {_FAULT}""",
     "payload_fields": f"""WITH {FEED}, sound AS (SELECT * FROM feed WHERE NOT {_FAULT}), found AS ({FIELDS_FOUND})
 SELECT CAST(wave AS INTEGER) AS wave, field, kind, known, count(*) AS records FROM found GROUP BY ALL""",
     "bronze_republished": f"WITH {LANDED} SELECT * FROM landed",
+    "batch_reports": f"""WITH {LANDED}, {STAFF}, {_tagged('landed')}, reasons AS (
+  SELECT CAST(kafka_offset // 2 % 3 AS INTEGER) AS batch_id,
+    CASE WHEN rejection_reason = '' AND employee_id NOT IN (SELECT employee_id FROM staff) THEN 'employee_id_not_in_reference'
+         ELSE rejection_reason END AS reason
+  FROM tagged
+)
+SELECT batch_id, rule, count(*) AS records
+FROM (SELECT batch_id, unnest(string_split(reason, ', ')) AS rule FROM reasons WHERE reason <> '') GROUP BY batch_id, rule""",
     "table_counts": """SELECT 'events' AS name, count(*) AS records FROM events UNION ALL SELECT 'customer', count(*) FROM customer
 UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'nowhere', -1""",
     "reference_broken": """SELECT CASE WHEN c_custkey % 19 = 3 THEN 'no. ' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS id_text,

@@ -597,3 +597,14 @@ def reference_broken(spark, sf_dir):
     tables.raw_employees(spark, sf_dir).select(*[c.alias(name) for name, c in text.items()]).write.options(**CSV_OPTIONS).csv(path)
     broken = broken_lines(spark, path, employees_ddl("bigint"))
     return broken.select(F.split("line", ",")[0].alias("id_text"), F.array_join("columns", ", ").alias("columns"))
+
+
+@query
+def batch_reports(spark, sf_dir):
+    """Rejects per rule that the job reported for each delivery, measured while writing."""
+    lake = Lake(spark, scratch_dir(spark, "reports"), options=Options(key_type="bigint"))
+    lake.employees.write(tables.employees(spark, sf_dir))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+        start_silver(lake).awaitTermination()
+    return lake.reports.read().select("batch_id", F.explode("rejects_by_rule").alias("rule", "records"))

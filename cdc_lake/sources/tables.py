@@ -159,14 +159,17 @@ class BatchLog:
 
     def write(self, df: DataFrame, run: str, batch_id: int) -> int:
         """Returns the rows written; a batch without rows leaves no folder."""
+        return self.measured_write(df, run, batch_id)["rows"]
+
+    def measured_write(self, df: DataFrame, run: str, batch_id: int, **metrics: Column) -> dict[str, int]:
+        """The same; returns ``rows`` and the given metrics, measured by the write itself."""
         folder = f"{self.path}/run={run}/batch_id={batch_id}"
         counted = Observation()
-        rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows = df.observe(counted, F.count(F.lit(1)).alias("rows"), *(m.alias(name) for name, m in metrics.items()))
         rows.write.mode("overwrite").parquet(folder)
-        written = counted.get["rows"]
-        if written == 0:
+        if counted.get["rows"] == 0:
             files.remove(self.spark, folder)
-        return written
+        return counted.get
 
     def read(self) -> DataFrame | None:
         """Everything written so far; columns that appeared later are null in earlier batches."""

@@ -289,6 +289,18 @@ def test_notifications_one_per_batch(lake):
     assert [(r["activity_id"], r["total_in_batch"], r["is_deleted"]) for r in sent.collect()] == [(2, 2, False), (3, 1, True)]
 
 
+def test_every_batch_leaves_a_report(lake):
+    topic = Topic(lake)
+    topic.land(change(1), change(2, 99), change(3, elapsed=0, sport=None), change(None))
+    refresh(lake)
+    topic.land(change(4))
+    refresh(lake)
+    rules = {"employee_id_not_in_reference": 1, "elapsed_time_invalid": 1, "sport_type_null": 1, "id_null": 1}
+    assert rows(lake.reports.read(), "batch_id", "rejected", "rejects_by_rule", "silver_rows") == [(0, 3, rules, 1), (1, 0, {}, 2)]
+    apply_batch(lake, lake.bronze().where("kafka_offset < 4"), 1)  # repeated: its row is replaced
+    assert lake.reports.read().count() == 2
+
+
 def test_bronze_rows_is_narrow(lake, spark):
     empty = spark.createDataFrame([], MESSAGE_DDL)
     assert bronze_rows(lake, empty).select(F.count("*")).first()[0] == 0
