@@ -10,6 +10,10 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
+from functools import lru_cache
+from hashlib import md5
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -30,37 +34,96 @@ CONTAINERS = frozenset("article body center div main section td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the key ends an open element of these.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Classes, ids and roles of what is not the article, as whole words of the name.
-_ASIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription"
-    r"|signup|login|paywall|comments?|commentlist|respond|disqus|sidebar|side|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|topbar|toolbar|share|sharing|social"
-    r"|related|recommend(?:ed|ations)?|widget|pagination|pager|skip|hidden|contentinfo|complementary|search)(?=$|[\s_-])",
-    re.I,
+#: Words in classes, ids and roles of what is not the article, alone or in any compound name.
+_ALWAYS = frozenset(
+    "ad ads advert adverts advertisement sponsor sponsored cookie cookies consent gdpr newsletter subscribe subscription signup login paywall comment comments commentlist"
+    " respond disqus sidebar navbar breadcrumb breadcrumbs masthead topbar toolbar popup modal pagination pager contentinfo complementary".split()
 )
+#: Words that mean the same alone or beside words of layout, but may also be what an article is about.
+_OFTEN = frozenset("nav navigation menu footer share sharing social related recommend recommended recommendations widget promo promotion".split())
+#: The same, and parts of an article are named by them too: its header, a notice in it.
+_SOMETIMES = frozenset("header notice notices alert banner overlay hidden skip search side".split())
+_LAYOUT = frozenset(
+    "site page main top bottom left right inner outer global primary secondary sticky fixed box bar block area column col panel row wrapper wrap container group list item items"
+    " link links icon icons label count button buttons btn toggle form input results result title logo text content body section module unit slot zone posts articles stories".split()
+)
+_OF_ARTICLES = frozenset("article post story entry".split())
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
 _NAME = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 #: Shorter blocks are no prose and don't count for a container.
 PROSE_CHARS = 25
+#: Longer paths go on from their digest, so that deep nesting costs no more per element.
+LONG_PATH = 400
 
 
 def _names(attributes: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAME.finditer(attributes)} if attributes else {}
 
 
+@lru_cache(maxsize=4096)
+def _standing(name: str) -> int:
+    """2 if a class, id or role is no article's, 1 if the text below it must tell, else 0."""
+    words = [w for w in re.split(r"[\W\d_]+", name.lower()) if w]
+    if not _ALWAYS.isdisjoint(words):
+        return 2
+    often, sometimes = not _OFTEN.isdisjoint(words), not _SOMETIMES.isdisjoint(words)
+    if not often and not sometimes:
+        return 0
+    others = [w for w in words if w not in _OFTEN and w not in _SOMETIMES and w not in _LAYOUT]
+    return 2 if not others or often and _OF_ARTICLES.issuperset(others) else 1
+
+
+class _Open(NamedTuple):
+    """An open element; numbers are those of the innermost container and doubted element."""
+
+    tag: str
+    path: str
+    dropped: bool
+    container: int
+    doubted: int
+    heading: bool
+    article: bool
+
+
+class _Block(NamedTuple):
+    text: str
+    links: int  # characters in links
+    container: int
+    doubted: int
+    heading: bool
+
+    @property
+    def prose(self) -> int:
+        return max(0, len(self.text) - 2 * self.links) if len(self.text) - 2 * self.links >= PROSE_CHARS else 0
+
+
+def _with_inner(sums: list[int], parents: list[int]) -> list[int]:
+    """Sums per node to sums per node and all below it; parents come before their children."""
+    for node in range(len(sums) - 1, 0, -1):
+        sums[parents[node]] += sums[node]
+    return sums
+
+
 class Page:
-    """Text blocks of a page outside of dropped elements, each with the containers around it."""
+    """Text blocks of a page outside of dropped elements, and the tree of containers around them.
+
+    Container 0 is the body, open from the start. Elements whose names leave doubt (a header
+    inside an article, a section on side effects) are dropped after reading if less than
+    half of their text is prose. Time and memory are linear in the page, nested or not.
+    """
 
     def __init__(self, html: str | None):
-        self.blocks: list[tuple[str, int, tuple[int, ...]]] = []  # text, characters in links, containers
-        self._headings: set[int] = set()  # blocks in headings
-        self.paths: list[str] = []
-        self._tags: list[str] = []  # of the containers
-        self._open: list[tuple[str, str, bool, int]] = []  # tag, path, dropped, container number or -1
+        self.blocks: list[_Block] = []
+        self.paths, self.parents, self._tags = [">body"], [0], ["body"]  # of the containers
+        self._doubts = [0]  # per doubted element the one around it; 0 is none
+        self._open: list[_Open] = [_Open("", "", False, 0, 0, False, False)]
+        self._counts: Counter[str] = Counter()  # of open elements, by tag
         self._text: list[str] = []
-        self._links = self._in_link = 0
+        self._links = 0
         if html:
             self._read(html)
             self._flush()
+            self._decide()
 
     def _read(self, html: str) -> None:
         at, n = 0, len(html)
@@ -88,119 +151,148 @@ class Page:
                 self._start(tag, attributes)
 
     def _say(self, text: str) -> None:
-        if self._open and self._open[-1][2]:
-            return
-        self._text.append(text)
-        if self._in_link:
-            self._links += len(text)
+        if not self._open[-1].dropped:
+            self._text.append(text)
+            if self._counts["a"]:
+                self._links += len(text)
 
     def _start(self, tag: str, attributes: str) -> None:
         names = _names(attributes)
-        if tag in INLINE and not names:
-            above = self._open[-1] if self._open else ("", "", False, -1)
-            self._open.append((tag, above[1], above[2], -1))
-            self._in_link += tag == "a"
-            return
-        if tag not in INLINE:
+        inline = tag in INLINE
+        if not inline:
             self._flush()
-            for place in range(len(self._open) - 1, -1, -1):
-                name = self._open[place][0]
+            for place in range(len(self._open) - 1, 0, -1):
+                name = self._open[place].tag
                 if name in ENDS.get(tag, ()) or name == "p":
                     self._close(place)
                     break
                 if name not in INLINE:
                     break
-        _, path, dropped, _ = self._open[-1] if self._open else ("", "", False, -1)
-        dropped = (
-            dropped or tag in DROPPED or "hidden" in names or names.get("aria-hidden", "").lower() == "true"
-            or tag not in ("html", "body", "main", "article") and self._aside(tag, names)
-        )
-        number = -1
-        if tag not in INLINE and tag not in ("html", "body"):
+        _, path, dropped, container, doubted, heading, article = self._open[-1]
+        if names and not dropped:
+            standing = 0 if tag in ("html", "body", "main", "article") else self._doubt(tag, names, article)
+            dropped = standing == 2 or "hidden" in names or names.get("aria-hidden", "").lower() == "true"
+            if standing == 1 and not inline and not dropped:
+                self._doubts.append(doubted)
+                doubted = len(self._doubts) - 1
+        dropped = dropped or tag in DROPPED
+        if not inline and tag not in ("html", "body"):
             classes = sorted({re.sub(r"\d+", "0", c.lower()) for c in names.get("class", "").split()})
+            if len(path) > LONG_PATH:
+                path = md5(path.encode("utf-8", "replace")).hexdigest()
             path = f"{path}>{tag}" + "".join("." + c for c in classes)
-        if tag in CONTAINERS and not dropped:
-            number = len(self.paths)
-            self.paths.append(path or ">body")
-            self._tags.append(tag)
-        self._open.append((tag, path, dropped, number))
-        self._in_link += tag == "a"
-
-    def _aside(self, tag: str, names: dict[str, str]) -> bool:
-        """Whether names tell an element from the article; of its headings and paragraphs, whole names only."""
-        whole = tag in HEADINGS or tag in ("p", "figcaption") and any(e[0] in ("article", "main") for e in self._open)
-        values = [v for k in ("class", "id", "role") for v in (names.get(k, "").split() if whole else [names.get(k, "")])]
-        return any(_ASIDE.fullmatch(v) if whole else _ASIDE.search(v) for v in values)
+            if tag in CONTAINERS and not dropped:
+                self.parents.append(container)
+                container = len(self.paths)
+                self.paths.append(path)
+                self._tags.append(tag)
+        self._open.append(_Open(tag, path, dropped, container, doubted, heading or tag in HEADINGS, article or tag in ("article", "main")))
+        self._counts[tag] += 1
+
+    def _doubt(self, tag: str, names: dict[str, str], article: bool) -> int:
+        """The standing of an element; of headings, and of an article's paragraphs, by whole names only."""
+        values = [v for k in ("class", "id", "role") for v in names.get(k, "").split()]
+        if tag in HEADINGS or article and tag in ("p", "figcaption"):
+            return 2 if any(v.lower() in words for v in values for words in (_ALWAYS, _OFTEN, _SOMETIMES)) else 0
+        return max(map(_standing, values), default=0)
 
     def _end(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
-        for place in range(len(self._open) - 1, -1, -1):
-            if self._open[place][0] == tag:
+        if not self._counts[tag]:
+            return
+        for place in range(len(self._open) - 1, 0, -1):
+            if self._open[place].tag == tag:
                 self._close(place)
                 return
-            if tag in INLINE and self._open[place][0] not in INLINE:
+            if tag in INLINE and self._open[place].tag not in INLINE:
                 return
 
     def _close(self, place: int) -> None:
-        self._in_link -= sum(e[0] == "a" for e in self._open[place:])
+        self._counts.subtract(e.tag for e in self._open[place:])
         del self._open[place:]
 
     def _flush(self) -> None:
         text = " ".join(entities.unescape("".join(self._text)).split()) if self._text else ""
         if text:
-            if any(e[0] in HEADINGS for e in self._open):
-                self._headings.add(len(self.blocks))
-            self.blocks.append((text, self._links, tuple(e[3] for e in self._open if e[3] >= 0)))
+            _, _, _, container, doubted, heading, _ = self._open[-1]
+            self.blocks.append(_Block(text, self._links, container, doubted, heading))
         self._text, self._links = [], 0
 
+    def _decide(self) -> None:
+        """Drop the blocks of doubted elements that are no prose."""
+        if len(self._doubts) == 1:
+            return
+        size, prose = [0] * len(self._doubts), [0] * len(self._doubts)
+        for block in self.blocks:
+            if not block.heading:
+                size[block.doubted] += len(block.text)
+                prose[block.doubted] += block.prose
+        size, prose = _with_inner(size, self._doubts), _with_inner(prose, self._doubts)
+        dropped = [False] * len(self._doubts)
+        for node in range(1, len(self._doubts)):
+            dropped[node] = dropped[self._doubts[node]] or not prose[node] or 2 * prose[node] < size[node]
+        self.blocks = [block for block in self.blocks if not dropped[block.doubted]]
+
     def best(self) -> str | None:
         """The path of the container that holds most prose, links aside, close around it."""
         scores: dict[str, float] = {}
-        for text, links, around in self.blocks:
-            prose = len(text) - 2 * links
-            if prose >= PROSE_CHARS:
-                for weight, number in zip((1.0, 0.5, 0.25), reversed(around)):
+        for block in self.blocks:
+            prose, number = block.prose, block.container
+            if prose:
+                for weight in (1.0, 0.5, 0.25):
                     path = self.paths[number]
                     scores[path] = scores.get(path, 0) + weight * prose
+                    if not number:
+                        break
+                    number = self.parents[number]
         return max(scores, key=lambda path: (scores[path], path)) if scores else None
 
     def _widened(self, inside: set[int]) -> set[int]:
         """``inside`` and the outermost containers around them whose further text is prose too.
 
         Further text is prose if blocks that are prose hold half of its characters at least;
-        headings count neither way. The body is the page, and never the article.
+        headings count neither way. The body must add no more prose than it is added to, and
+        three quarters of what it adds must be prose.
         """
-        around_of, size, prose = {}, {}, {}
-        for place, (text, links, around) in enumerate(self.blocks):
-            long = len(text) - 2 * links >= PROSE_CHARS
-            for i, number in enumerate(around):
-                if number in inside and number not in around_of:
-                    around_of[number] = around[:i]
-                if place not in self._headings:
-                    size[number] = size.get(number, 0) + len(text)
-                    prose[number] = prose.get(number, 0) + (len(text) if long else 0)
+        size, prose, plain = ([0] * len(self.paths) for _ in range(3))
+        for block in self.blocks:
+            prose[block.container] += block.prose
+            if not block.heading:
+                size[block.container] += len(block.text)
+                plain[block.container] += len(block.text) if block.prose else 0
+        size, prose, plain = (_with_inner(sums, self.parents) for sums in (size, prose, plain))
+        held = sum(prose[number] for number in inside if not self._within(number, inside))
         chosen = set()
-        for number in inside & around_of.keys():
-            best = number
-            for outer in reversed(around_of[number]):
-                if self._tags[outer] == "body":
-                    break
-                more, added = (of.get(outer, 0) - of.get(number, 0) for of in (size, prose))
-                if 2 * added >= more:
+        for number in inside:
+            best = outer = number
+            while outer:
+                outer = self.parents[outer]
+                more, added = size[outer] - size[number], plain[outer] - plain[number]
+                if 2 * added >= more and (outer or 4 * added >= 3 * more and prose[0] <= 2 * held):
                     best = outer
             chosen.add(best)
         return inside | chosen
 
+    def _within(self, number: int, inside: set[int]) -> bool:
+        while number:
+            number = self.parents[number]
+            if number in inside:
+                return True
+        return False
+
     def text(self, path: str | None = None) -> str:
         """The text at ``path``, or else at the page's own best, or else of the whole page."""
         for wanted in (path, self.best()):
             if wanted is not None:
-                inside = self._widened({i for i, p in enumerate(self.paths) if p == wanted})
-                found = [text for text, _, around in self.blocks if not inside.isdisjoint(around)]
+                chosen = self._widened({i for i, p in enumerate(self.paths) if p == wanted})
+                inside = [number in chosen for number in range(len(self.paths))]
+                for number in range(1, len(inside)):
+                    inside[number] = inside[number] or inside[self.parents[number]]
+                found = [block.text for block in self.blocks if inside[block.container]]
                 if found:
                     return " ".join(found)
-        return " ".join(text for text, _, _ in self.blocks)
+        return " ".join(block.text for block in self.blocks)
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
