@@ -14,6 +14,8 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import renamed, restored
+
 #: One edit is allowed for so many characters.
 CHARS_PER_EDIT = 20
 #: Characters of benchmark text in one block, about: what a broadcast and an automaton hold.
@@ -57,6 +59,17 @@ def myers(item: str, window: str) -> tuple[int, int]:
     return best, end
 
 
+def merged(windows: list[list[int]]) -> list[tuple[int, int]]:
+    """The union of ``windows`` as windows that lie apart."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(map(tuple, windows)):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 class Finder:
     """Items of a block, searched together."""
 
@@ -75,25 +88,35 @@ class Finder:
         self.automaton.make_automaton()
 
     def find(self, text: str) -> dict[int, int]:
-        """Number of the item -> least distance, for the items that ``text`` holds."""
+        """Number of the item -> least distance, for the items that ``text`` holds.
+
+        The places where hits put an item are merged into windows that do not overlap, and
+        each is searched once: a text that repeats a piece costs no more than its length.
+        """
         found: dict[int, int] = {}
-        seen: dict[int, int] = {}
+        windows: dict[int, list[list[int]]] = {}
         for end, where in self.automaton.iter(text):
             for number, offset in where:
-                if found.get(number) == 0:
-                    continue
-                start, budget = end - offset, self.budgets[number]
-                if budget and abs(start - seen.get(number, -9 * CHARS_PER_EDIT)) == 0:
-                    continue
-                seen[number] = start
-                item = self.items[number][1]
-                if start >= 0 and text.startswith(item, start):
-                    if budget or self._apart(text, start, len(item)):
+                item, budget = self.items[number][1], self.budgets[number]
+                start = end - offset
+                if not budget:
+                    if number not in found and self._apart(text, start, len(item)):
                         found[number] = 0
-                elif budget:
-                    distance, _ = myers(item, text[max(0, start - budget) : start + len(item) + budget])
-                    if distance <= budget and distance < found.get(number, budget + 1):
-                        found[number] = distance
+                    continue
+                low, high = max(0, start - budget), start + len(item) + budget
+                held = windows.setdefault(number, [])
+                if held and low <= held[-1][1] and high >= held[-1][0]:
+                    held[-1] = [min(low, held[-1][0]), max(high, held[-1][1])]
+                else:
+                    held.append([low, high])
+        for number, held in windows.items():
+            item, budget = self.items[number][1], self.budgets[number]
+            best = 0 if item in text else budget + 1
+            if best:
+                for low, high in merged(held):
+                    best = min(best, myers(item, text[low:high])[0])
+            if best <= budget:
+                found[number] = best
         return found
 
     @staticmethod
@@ -145,8 +168,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all columns kept, no shuffle."""
-    columns = docs.columns
+    """``docs`` without the documents that hold a benchmark item; all columns kept, whatever their names; no shuffle."""
+    rows, names = renamed(docs)
+    columns = rows.columns
 
     def clean(items):
         def run(batches):
@@ -157,6 +181,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
         return run
 
+    schema = rows.schema
     for items in _blocks(benchmark, item_text):
-        docs = docs.select("*", normal(docs[text]).alias("_normal_text")).mapInArrow(clean(items), docs.schema)
-    return docs
+        rows = rows.select("*", normal(F.col(names[text])).alias("_normal_text")).mapInArrow(clean(items), schema)
+    return rows.select(restored(names, []))

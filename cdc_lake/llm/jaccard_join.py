@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import lookup_join
-from .common import stored
+from .common import renamed, restored, stored
 from .components import components
 
 WIDTH = 5
@@ -242,8 +242,10 @@ def jaccard_join(docs: DataFrame, text: str = "text", recall: float = RECALL, ro
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row of ``docs`` per class: the one with the least doc_id. Rows without doc_id stay.
 
-    Of rows with equal doc_id one stays. All columns are kept.
+    Of rows with equal doc_id and text one stays. All columns are kept, whatever their names.
     """
-    stay = jaccard_join(docs, text).where("class_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    rows, names = renamed(docs)
+    key = names["doc_id"]
+    stay = jaccard_join(docs, text).where("class_id = doc_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = rows.join(stay, key, "left_semi").withColumn("_text_hash", F.md5(names[text])).dropDuplicates([key, "_text_hash"])
+    return kept.select(restored(names, [])).unionByName(docs.where("doc_id IS NULL"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import stored
+from .common import renamed, restored, stored
 
 #: Tokens of a batch, padding included.
 BUDGET = 16_384
@@ -69,11 +69,14 @@ def pack(sized: DataFrame, budget: int = BUDGET, buckets: int = BUCKETS, key: st
     A batch is a number inside its bucket: (``bucket_len``, ``batch_id``) names it, ``slot``
     counts from 0. A document longer than ``budget`` is a batch of its own, padded by nothing;
     null lengths count as 0, and empty documents are padded like others. Rows of equal key
-    get different places. An empty table gives an empty result.
+    get different places. An empty table gives an empty result. Other columns may have any
+    names; one named like a result gives way to it.
 
     The driver holds the histogram: one row per length up to ``budget``.
     """
-    size = F.coalesce(F.col(length), F.lit(0)).cast("long")
+    made = ["bucket_len", "batch_id", "slot", "padding"]
+    sized, names = renamed(sized)
+    key, size = names[key], F.coalesce(F.col(names[length]), F.lit(0)).cast("long")
     histogram = sized.where(size <= budget).groupBy(size.alias("_size")).agg(F.count("*").alias("_rows")).orderBy("_size").toPandas()
     bounds = boundaries(histogram["_size"].to_numpy(), histogram["_rows"].to_numpy(), buckets)
     total = int(histogram["_rows"].sum()) + sized.where(size > budget).count()
@@ -91,6 +94,6 @@ def pack(sized: DataFrame, budget: int = BUDGET, buckets: int = BUCKETS, key: st
     placed = placed.join(before, ["_bucket", "_lane"]).withColumn("_place", F.col("_nth") + F.col("_before"))
     capacity = F.greatest(F.floor(F.lit(budget) / F.greatest("_bucket", F.lit(1))), F.lit(1)).cast("long")
     return placed.select(
-        *sized.columns, F.col("_bucket").alias("bucket_len"), F.floor(F.col("_place") / capacity).alias("batch_id"),
+        *restored(names, made), F.col("_bucket").alias("bucket_len"), F.floor(F.col("_place") / capacity).alias("batch_id"),
         F.pmod("_place", capacity).cast("long").alias("slot"), (F.col("_bucket") - F.col("_size")).alias("padding"),
     )

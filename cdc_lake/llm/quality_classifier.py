@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.bitmaps import id_bitmaps, with_id_in
 from ..operators.joins import lookup_join
-from .common import dropped, stored
+from .common import dropped, renamed, restored, stored
 
 ORDER = 5
 #: Of trusted documents, one in so many sets thresholds and is not trained on.
@@ -269,6 +269,10 @@ def _scores(langs: list[str], texts: list[str | None], shards: int, shard: int,
     return out
 
 
+#: The columns that a judgement adds.
+JUDGEMENT = ["_perplexity", "_threshold", "_kept"]
+
+
 def perplexities(docs: DataFrame, model: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all of ``docs`` if not given), ``_bits``, ``_size``: log-loss and characters.
 
@@ -380,14 +384,25 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", keep: list[
 
     Kept are texts at or below their language's threshold, and those of languages without
     trusted documents, which cannot be judged. A null or empty text is not kept. A null
-    language is one of its own. Without labels everything but empty texts is kept.
+    language is one of its own. Without labels everything but empty texts is kept. Kept
+    columns named like one of the three results give way to it.
     """
     model, limits = fit(docs, labels, text)
-    keep = keep or docs.columns
-    sized = docs.select("*", (F.length(F.coalesce(docs[text], F.lit(""))) > 0).alias("_filled"))
-    scored = perplexities(sized, model, text, [*keep, *[c for c in ("lang", "_filled") if c not in keep]])
+    rows, names = renamed(docs)
+    value = names[text]
+    rows = rows.select("*", F.col(names["lang"]).alias("lang"), (F.length(F.coalesce(F.col(value), F.lit(""))) > 0).alias("_filled"))
+    kept = {name: names[name] for name in (keep or docs.columns)}
+    scored = perplexities(rows, model, value, [*kept.values(), "lang", "_filled"])
     judged = lookup_join(scored.withColumn("_lang", _language(F.col("lang"))), limits, "_lang", "left")
-    kept = F.col("_filled") & F.coalesce(_surprise() <= F.col("limit"), F.lit(True))
-    return judged.select(
-        *keep, F.exp(F.col("_bits") / F.col("_size")).alias("_perplexity"), F.exp("limit").alias("_threshold"), kept.alias("_kept")
-    )
+    stays = F.col("_filled") & F.coalesce(_surprise() <= F.col("limit"), F.lit(True))
+    perplexity, threshold = F.exp(F.col("_bits") / F.col("_size")), F.exp("limit")
+    return judged.select(*restored(kept, JUDGEMENT), *[c.alias(name) for c, name in zip((perplexity, threshold, stays), JUDGEMENT)])
+
+
+def kept_only(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``classify`` keeps, with all columns, whatever their names."""
+    _, names = renamed(docs)
+    needed = {text: "text", "doc_id": "doc_id", "lang": "lang"}
+    names |= needed  # these keep their names, all others get inner ones
+    judged = classify(docs.toDF(*[names[c] for c in docs.columns]), labels)
+    return judged.where("_kept").select(restored(names, []))

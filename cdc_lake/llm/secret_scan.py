@@ -17,7 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let, total
+from .common import below, let, renamed, restored, running, total
 
 #: Fixed patterns of the base kinds, in the order in which spans of one start are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -59,25 +59,25 @@ _NEXT = ((0.86, 0.05, 0.03, 0.06), (0.42, 0.46, 0.05, 0.07), (0.08, 0.05, 0.75,
 _CAPITALS = ((0.46, 0.42, 0.05, 0.07), (0.05, 0.86, 0.03, 0.06), (0.05, 0.08, 0.75, 0.12), (0.22, 0.42, 0.26, 0.10))
 _FIRST = (0.50, 0.25, 0.20, 0.05)
 _NUMBER = r"^[0-9]+$"
+#: Code points of a window of text.
+_WINDOW = 4096
 
 
 def _spans(text: Column, pattern: str, kind: int) -> Column:
-    """Matches as (start, kind, end) in code points, from the texts between them."""
+    """Matches as (start, kind, end, value) in code points, from the lengths of the texts between them."""
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     parts = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
+        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
+        F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length).alias("size"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(2 if kind == 0 else 0)).alias("value"),
     )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>").alias("spans"))
 
-    def step(state, part):
-        start = state["at"] + F.length(part["gap"])
-        end = start + F.length(part["found"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
+    def placed(found):
+        ends = running(F.transform(found, lambda part: part["gap"] + part["size"]), lambda a, b: a + b)
+        span = lambda part, end: F.struct((end - part["size"]).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part["value"].alias("value"))
+        return let(ends, lambda e: F.transform(found, lambda part, i: span(part, F.get(e, i))))
 
-    matched = F.filter(parts, lambda part: part["found"].isNotNull())
-    return F.when(text.rlike(pattern), F.aggregate(matched, empty, step)["spans"]).otherwise(empty["spans"])
+    return F.when(text.rlike(pattern), let(F.filter(parts, lambda part: part["size"].isNotNull()), placed)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -174,8 +174,21 @@ def _step(run: Column) -> Column:
     return F.when(steps == 0, 0).when(randomness(run) >= LEAST_RANDOM, steps).otherwise(0)
 
 
-def _apart(span: Column, base: Column) -> Column:
-    return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+def _apart(spans: Column, base: Column) -> Column:
+    """``spans`` that overlap none of ``base``.
+
+    Spans of one kind lie apart from each other, so the last that starts before the end of
+    another span is the only one of its kind that need be looked at.
+    """
+    of_kind = lambda kind, field: F.transform(F.filter(base, lambda b: b["kind"] == kind), lambda b: b[field])
+    bounds = F.struct(*[of_kind(kind, field).alias(f"{field}{kind}") for kind in range(3) for field in ("start", "end")])
+
+    def alone(span, held):
+        last = lambda kind: F.get(held[f"end{kind}"], below(held[f"start{kind}"], span["end"]) - 1)
+        touched = [F.coalesce(last(kind) > span["start"], F.lit(False)) for kind in range(3)]
+        return ~(touched[0] | touched[1] | touched[2])
+
+    return F.when(F.size(base) == 0, spans).otherwise(let(bounds, lambda held: F.filter(spans, lambda span: alone(span, held))))
 
 
 def least_step(docs: DataFrame, text: str = "text") -> int | None:
@@ -185,7 +198,7 @@ def least_step(docs: DataFrame, text: str = "text") -> int | None:
     """
     value = docs[text]
     spans = docs.where(value.rlike(CANDIDATE)).select(value.alias("_text")).select("_text", base_spans(F.col("_text")).alias("base"))
-    runs = spans.select(F.explode(F.filter(_spans(F.col("_text"), CANDIDATE, 3), lambda s: _apart(s, F.col("base")))["value"]).alias("run"))
+    runs = spans.select(F.explode(_apart(_spans(F.col("_text"), CANDIDATE, 3), F.col("base"))["value"]).alias("run"))
     counts = runs.where(~F.col("run").rlike(_NUMBER)).groupBy(_step(F.col("run")).alias("step")).agg(F.count("*").alias("n")).collect()
     of, found, least = sum(row["n"] for row in counts), 0, None
     for row in sorted(counts, key=lambda row: -row["step"]):
@@ -202,9 +215,9 @@ def _random_spans(text: Column, base: Column, least: int | None) -> Column:
 
     def secret(span):
         run = span["value"]
-        return ~run.rlike(_NUMBER) & _apart(span, base) & (_step(run) >= least)
+        return ~run.rlike(_NUMBER) & (_step(run) >= least)
 
-    return F.filter(_spans(text, CANDIDATE, 3), secret)
+    return F.filter(_apart(_spans(text, CANDIDATE, 3), base), secret)
 
 
 def find_secrets(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -212,13 +225,16 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
 
     Positions count code points, the end is exclusive, ``kind`` indexes ``KINDS``. ``found``
     holds base and added spans by start. A null text is searched as an empty one; documents
-    without secrets have empty arrays; repeated rows stay; an empty table gives none.
+    without secrets have empty arrays; repeated rows stay; an empty table gives none. A kept
+    column named like a result column gives way to it.
     """
     least = least_step(docs, text)
-    rows = docs.select(*[docs[name] for name in keep], F.coalesce(docs[text], F.lit("")).alias("_text"))
+    rows, names = renamed(docs)
+    rows = rows.select("*", F.coalesce(F.col(names[text]), F.lit("")).alias("_text"))
     rows = rows.select("*", base_spans(F.col("_text")).alias("base"))
     rows = rows.select("*", _random_spans(F.col("_text"), F.col("base"), least).alias("_added"))
-    return rows.select(*keep, "_text", "base", F.sort_array(F.concat("base", "_added")).alias("found"))
+    kept = restored({name: names[name] for name in keep}, ["_text", "base", "found"])
+    return rows.select(*kept, "_text", "base", F.sort_array(F.concat("base", "_added")).alias("found"))
 
 
 def listed(spans: Column) -> Column:
@@ -239,16 +255,42 @@ def secret_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every span, or group of overlapping ones, replaced by ``mark``."""
-
-    def step(state, span):
-        fresh = span["start"] >= state["at"]
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        return F.struct(
-            F.greatest(span["end"], state["at"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"),
+    """``text`` with every span, or group of overlapping ones, replaced by ``mark``.
+
+    The text is cut into windows once, since to find a place in a string means to count from
+    its start, and every piece that stays is put together from the windows it touches.
+    """
+    windows = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_WINDOW}}}"), F.lit(0))
+
+    def piece(cut, start, end):  # code points from start, end exclusive
+        first, last = F.floor(start / _WINDOW).cast("int"), F.floor((end - 1) / _WINDOW).cast("int")
+        part = lambda window, i: F.substring(
+            window, F.when(i == 0, start - first * _WINDOW).otherwise(0) + 1, F.when(i == last - first, end - last * _WINDOW).otherwise(_WINDOW) - F.when(i == 0, start - first * _WINDOW).otherwise(0)
         )
+        return F.when(end <= start, "").otherwise(F.array_join(F.transform(F.slice(cut, first + 1, last - first + 1), part), ""))
+
+    def put(held):
+        before = lambda i: F.coalesce(F.get(held["ends"], i - 1), F.lit(0))
+        kept = lambda span, i: F.when(
+            span["start"] < before(i), ""
+        ).otherwise(F.concat(piece(held["windows"], before(i), span["start"]), F.lit(mark)))
+        return F.concat(F.array_join(F.transform(held["spans"], kept), ""), piece(held["windows"], F.element_at(held["ends"], -1), held["size"]))
+
+    ends = running(F.transform(spans, lambda span: span["end"]), F.greatest)
+    held = F.struct(windows.alias("windows"), spans.alias("spans"), ends.alias("ends"), F.length(text).alias("size"))
+    return F.when(F.size(spans) == 0, text).otherwise(let(held, put))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+
+def redact(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataFrame:
+    """``docs`` with a mark in place of each secret; ``size``, if there is such a column, follows the text.
+
+    All rows and columns stay, whatever their names; a null text stays null.
+    """
+    rows, names = renamed(docs)
+    rows = find_secrets(rows, names[text], tuple(names.values()))
+    value = F.when(F.col(names[text]).isNotNull(), redacted(F.col("_text"), F.col("found")))
+    rows = rows.withColumn(names[text], value)
+    if size in names:
+        length = F.length(names[text]).cast(docs.schema[size].dataType)
+        rows = rows.withColumn(names[size], F.when(F.size("found") > 0, length).otherwise(F.col(names[size])))
+    return rows.select(restored(names, []))

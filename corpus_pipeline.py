@@ -8,7 +8,7 @@ again, so a lost executor costs one stage at most.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cdc_lake.llm import decontaminate, jaccard_join, packing, quality_classifier, secret_scan, token_counts
 from cdc_lake.llm.common import read, stored
@@ -18,8 +18,7 @@ TOKENIZER = "piece_bpe_32k.model"
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at or below the perplexity limit of their language."""
-    judged = quality_classifier.classify(docs, read(spark, sf_dir, "labels"))
-    return judged.where("_kept").select(docs.columns)
+    return quality_classifier.kept_only(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +33,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
-    found = secret_scan.find_secrets(docs, keep=tuple(docs.columns))
-    text = F.when(F.col("text").isNotNull(), secret_scan.redacted(F.col("_text"), F.col("found")))
-    clean = found.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return clean.select(docs.columns)
+    return secret_scan.redact(docs)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
