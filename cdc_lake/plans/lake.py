@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cdc import current_rows
 from ..operators.eligibility import stat_changes
+from ..sources.landed import CompactedDays
 from ..sources.partitions import PartitionedTable
 from ..sources.tables import BatchLog, SnapshotTable
 
@@ -128,5 +129,15 @@ class Lake:
     def checkpoint(self, name: str) -> str:
         return self.path(f"checkpoints/{self.run}/{name}")
 
+    @property
+    def changes(self) -> BatchLog:
+        """Changes that superseded earlier ones, as the keyed state let them through."""
+        return BatchLog(self.spark, self.path("silver/changes"))
+
+    @property
+    def landed(self) -> CompactedDays:
+        return CompactedDays(self.spark, self.bronze_path, self.path("bronze/compacted"))
+
     def bronze(self) -> DataFrame:
-        return self.spark.read.parquet(self.bronze_path)
+        """All landed rows; compacted days from their compacted files."""
+        return self.landed.read()

@@ -22,6 +22,7 @@ from ..operators.quality import (
     with_known_key,
 )
 from ..operators.reference import silver_employees
+from ..sources.landed import near
 from ..sources.tables import export_parquet
 from .lake import Lake, Options
 
@@ -152,7 +153,7 @@ def replay_orphans(lake: Lake, at: datetime | None = None) -> int:
     admitted = with_known_key(orphans, employees)
     if admitted.isEmpty():
         return -1
-    affected = with_known_key(lake.bronze(), admitted.select("id"), "id")
+    affected = with_known_key(near(lake.bronze(), admitted, "id"), admitted.select("id"), "id")
     changes = silver_changes(affected, employees, lake.options, keep=ARRIVAL)
     rows = merge_activities(lake, changes, f"{lake.run}-replay", None, at or datetime.now(timezone.utc))
     lake.replayed.write(admitted.select("id", *position).distinct(), lake.run, lake.activities.versions()[-1].number)

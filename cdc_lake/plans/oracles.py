@@ -293,6 +293,11 @@ FROM customer WHERE c_custkey % 19 = 3 OR c_custkey % 7 = 3""",
     "silver_replayed_batches": f"WITH {SILVER} SELECT * FROM silver",
     "silver_merge_buckets": f"WITH {SILVER} SELECT * FROM silver",
     "silver_merge_partitions": f"WITH {SILVER} SELECT * FROM silver",
+    "silver_newest": f"WITH {SILVER} SELECT * FROM silver",
+    "bronze_compacted": f"WITH {LANDED} SELECT * FROM landed",
+    "quarantine_compacted": f"""WITH {KNOWN}
+SELECT id, employee_id, kafka_offset, rejection_reason, CAST(kafka_offset // 2 % 3 AS INTEGER) AS batch_id
+FROM (SELECT * FROM quarantine UNION ALL BY NAME SELECT * FROM orphans)""",
     "gold_incremental": f"WITH {GOLD} SELECT * FROM gold",
     "medallion_refresh": f"""WITH {GOLD}
 SELECT * REPLACE (CASE WHEN bu <> 'HOUSEHOLD' THEN external_sport END AS external_sport) FROM gold""",

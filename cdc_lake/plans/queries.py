@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,6 +18,7 @@ from ..session import scratch_dir
 from ..sources.reference_csv import CSV_OPTIONS, broken_lines, load_employee_data, load_reference
 from ..sources.tables import BatchLog, SnapshotTable, export_parquet, has_rows, row_count
 from ..streaming.bronze import start_landing
+from ..streaming.latest import start_newest
 from ..streaming.notifications import start_notifications
 from ..streaming.silver import refresh, start_silver
 from ..sources.messages import file_messages
@@ -608,3 +609,41 @@ def batch_reports(spark, sf_dir):
         _deliver(spark, sf_dir, lake, wave)
         start_silver(lake).awaitTermination()
     return lake.reports.read().select("batch_id", F.explode("rejects_by_rule").alias("rule", "records"))
+
+
+# -- upkeep and keyed state ------------------------------------------------
+
+
+@query
+def bronze_compacted(spark, sf_dir):
+    """Landed in three deliveries and compacted: read from the compacted day, equals what was landed."""
+    lake = Lake(spark, scratch_dir(spark, "compacted"), options=Options(key_type="bigint"))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+    lake.landed.compact(date.today() + timedelta(days=2))  # nothing more is landed here
+    return lake.bronze().select(*CHANGE_COLUMNS, "start_datetime", "kafka_partition", "kafka_offset")
+
+
+@query
+def quarantine_compacted(spark, sf_dir):
+    """The history of rejects with its finished batches merged into a segment, the last one written again."""
+    log = BatchLog(spark, scratch_dir(spark, "segments"))
+    tagged = tag_all(tables.bronze(spark, sf_dir, "wave"), tables.employees(spark, sf_dir))
+    for wave in [0, 1, 2, 2]:
+        log.write(quality.rejected_rows(tagged.where(f"wave = {wave}")).drop("wave"), "main", wave)
+        if wave:
+            log.compact()
+    return log.read().select("id", "employee_id", "kafka_offset", "rejection_reason", "batch_id")
+
+
+@query
+def silver_newest(spark, sf_dir):
+    """Silver from the changes that the keyed state lets through, delivered late, out of order and twice."""
+    lake = Lake(spark, scratch_dir(spark, "newest"), options=Options(key_type="bigint"))
+    lake.employees.write(tables.employees(spark, sf_dir))
+    feed = tables.bronze(spark, sf_dir, "wave").withColumn("ingested_at", F.timestamp_micros(F.col("kafka_offset")))
+    for wave in (2, 0, 1, 0):
+        feed.where(f"wave = {wave}").drop("wave").withColumn("ingest_date", F.current_date()).write.mode("append").parquet(lake.bronze_path)
+        start_newest(lake).awaitTermination()
+    newest = cdc.latest_version(lake.changes.read())
+    return cdc.active_rows(newest).select(*cdc.SILVER_COLUMNS)

@@ -6,6 +6,7 @@ import hashlib
 import re
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -173,10 +174,60 @@ class BatchLog:
 
     def read(self) -> DataFrame | None:
         """Everything written so far; columns that appeared later are null in earlier batches."""
-        runs = [name for name in files.child_names(self.spark, self.path) if name.startswith("run=")]
-        if not any(files.child_names(self.spark, f"{self.path}/{run}") for run in runs):
+        segments = self._segments()
+        live = [f"{self.path}/run={run}/batch_id={n}" for run in self._runs() for n in self._batches(run) if n > self._compacted_to(segments, run)]
+        if not segments and not live:
             return None
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        source = self.spark.read.option("mergeSchema", "true")
+        parts = [source.option("basePath", self.path).parquet(*live)] if live else []
+        if segments:
+            parts.append(self.spark.read.option("mergeSchema", "true").parquet(*[f"{self._store}/run={run}/to={n}" for run, n in segments]))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def compact(self, file_bytes: int = 256 * 1024 * 1024) -> int:
+        """Merge the folders of batches into one segment per run, all but the last one of the run; returns how many.
+
+        A stream may repeat its last batch, and only that: its folder must stay replaceable. A
+        segment counts once it is complete and then stands for its batches, whose folders are
+        removed; segments are not written again. Call it once a day: then a read lists the
+        segments of days and the batches of one.
+        """
+        merged, segments = 0, self._segments()
+        for run in self._runs():
+            start, batches = self._compacted_to(segments, run), self._batches(run)
+            folders = {n: f"{self.path}/run={run}/batch_id={n}" for n in batches[:-1]}
+            fresh = {n: folder for n, folder in folders.items() if n > start}
+            if fresh:
+                width = max(1, -(-sum(files.size(self.spark, folder) for folder in fresh.values()) // file_bytes))
+                rows = self.spark.read.option("mergeSchema", "true").option("basePath", self.path).parquet(*fresh.values())
+                rows.coalesce(width).write.mode("overwrite").parquet(f"{self._store}/run={run}/to={max(fresh)}")
+            for folder in folders.values():
+                files.remove(self.spark, folder)
+            merged += len(fresh)
+        return merged
+
+    @property
+    def _store(self) -> str:
+        return f"{self.path}/_compacted"
+
+    def _runs(self) -> list[str]:
+        return [name[4:] for name in files.child_names(self.spark, self.path) if name.startswith("run=")]
+
+    def _batches(self, run: str) -> list[int]:
+        names = files.child_names(self.spark, f"{self.path}/run={run}")
+        return sorted(int(name[9:]) for name in names if name.startswith("batch_id="))
+
+    def _segments(self) -> list[tuple[str, int]]:
+        """Complete segments: the run, and the last batch that a segment holds."""
+        found = []
+        for run in files.child_names(self.spark, self._store):
+            ends = [int(name[3:]) for name in files.child_names(self.spark, f"{self._store}/{run}")]
+            found += [(run[4:], n) for n in sorted(ends) if files.exists(self.spark, f"{self._store}/{run}/to={n}/_SUCCESS")]
+        return found
+
+    @staticmethod
+    def _compacted_to(segments: list[tuple[str, int]], run: str) -> int:
+        return max((n for of, n in segments if of == run), default=-1)
 
 
 _FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
