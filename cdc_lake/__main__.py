@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import date
 
 from .operators.eligibility import gold_report
 from .operators.quality import rejection_summary
 from .plans.cohorting import run_cohorting
 from .plans.lake import Lake, Options
+from .plans.upkeep import upkeep
 from .session import build_session
 from .sources.messages import file_messages, kafka_messages
 from .sources.reference_csv import load_reference
 from .sources.tables import export_parquet, row_count
 from .streaming.bronze import run_bronze
+from .streaming.latest import start_newest
 from .streaming.notifications import NOTIFY_INTERVAL, start_notifications
 from .streaming.silver import refresh, start_watch
 
@@ -41,6 +44,10 @@ def arguments() -> argparse.ArgumentParser:
         added.add_argument("--employees", required=True)
         added.add_argument("--sports", required=True)
 
+    def with_layout(added: argparse.ArgumentParser) -> None:
+        added.add_argument("--buckets", type=int, help="store Silver in so many buckets")
+        added.add_argument("--partitions", type=int, help="keep Silver in so many hash partitions, Gold's totals from changes")
+
     bronze = job("bronze", "land change messages")
     with_source(bronze)
     with_reference(bronze)
@@ -52,10 +59,11 @@ def arguments() -> argparse.ArgumentParser:
     silver.add_argument("--mode", choices=["single", "watch"], default="single")
     silver.add_argument("--interval", type=int, default=60, help="seconds between passes in watch mode")
     silver.add_argument("--export-to")
-    silver.add_argument("--replay-orphans", action="store_true", help="admit orphans whose employee is known now")
+    orphans = silver.add_mutually_exclusive_group()
+    orphans.add_argument("--replay-orphans", action="store_true", default=None, help="look for orphans to admit in every pass, not only after new employees")
+    orphans.add_argument("--keep-orphans", dest="replay_orphans", action="store_false", help="never admit orphans")
     silver.add_argument("--files-per-batch", type=int, help="Bronze files of one batch at most")
-    silver.add_argument("--buckets", type=int, help="store Silver in so many buckets")
-    silver.add_argument("--partitions", type=int, help="keep Silver in so many hash partitions, Gold's totals from changes")
+    with_layout(silver)
     silver.add_argument("--employees", help="load the reference files again first, with --sports")
     silver.add_argument("--sports")
     for flag in ("plain-compare", "exempt-deletes", "dedup-first"):
@@ -65,6 +73,16 @@ def arguments() -> argparse.ArgumentParser:
     with_source(notify)
     notify.add_argument("--interval", default=NOTIFY_INTERVAL)
 
+    newest = job("newest", "changes that supersede earlier ones, by keyed state")
+    newest.add_argument("--merge", action="store_true", help="keep Silver up to date from them; instead of the medallion job")
+    newest.add_argument("--interval", type=int, help="seconds between batches; without it one pass")
+    newest.add_argument("--forget-deletes", type=int, metavar="HOURS", help="forget deleted keys after so long; needs --interval")
+    newest.add_argument("--files-per-batch", type=int, help="Bronze files of one batch at most")
+    with_layout(newest)
+
+    tidy = job("upkeep", "rewrite closed days of Bronze, merge finished batch folders")
+    tidy.add_argument("--before", type=date.fromisoformat, help="days before this one; by default all before yesterday")
+
     job("report", "rows of Bronze, rejects per rule, Gold figures")
     with_reference(job("cohorts", "employee cohorts, written to <root>/cohorts"))
     return parser
@@ -111,6 +129,12 @@ def main(argv: list[str] | None = None) -> int:
         print(refresh(lake, given.export_to, given.replay_orphans, given.files_per_batch) or "nothing new")
     elif given.job == "notify":
         start_notifications(lake, messages(), processingTime=given.interval).awaitTermination()
+    elif given.job == "newest":
+        trigger = {"processingTime": f"{given.interval} seconds"} if given.interval else {}
+        forget = given.forget_deletes and given.forget_deletes * 3_600_000
+        start_newest(lake, forget, given.files_per_batch, given.merge, **trigger).awaitTermination()
+    elif given.job == "upkeep":
+        print(upkeep(lake, given.before))
     elif given.job == "report":
         report(lake)
     else:

@@ -117,6 +117,11 @@ class Lake:
         """Topic positions of the orphans that were admitted."""
         return BatchLog(self.spark, self.path("quarantine/replayed"))
 
+    @property
+    def admissions(self) -> SnapshotTable:
+        """The last replay of orphans: when it was, and which employees it knew."""
+        return SnapshotTable(self.spark, self.path("quarantine/admissions"))
+
     @property
     def reports(self) -> BatchLog:
         """A row per applied batch: rejects per rule, and the rows that Silver's write measured."""
@@ -134,6 +139,11 @@ class Lake:
         """Changes that superseded earlier ones, as the keyed state let them through."""
         return BatchLog(self.spark, self.path("silver/changes"))
 
+    @property
+    def logs(self) -> dict[str, BatchLog]:
+        """All histories that are written batch by batch."""
+        return {name: getattr(self, name) for name in ("quarantine", "replayed", "reports", "notifications", "changes")}
+
     @property
     def landed(self) -> CompactedDays:
         return CompactedDays(self.spark, self.bronze_path, self.path("bronze/compacted"))

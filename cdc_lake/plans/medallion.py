@@ -22,6 +22,8 @@ from ..operators.quality import (
     with_known_key,
 )
 from ..operators.reference import silver_employees
+from ..session import sized_shuffles
+from ..sources import files
 from ..sources.landed import near
 from ..sources.tables import export_parquet
 from .lake import Lake, Options
@@ -77,14 +79,15 @@ def merge_activities(lake: Lake, changes: DataFrame, run: str, batch_id: int | N
 
     A change wins over older rows only, so the same batch twice, or batches out of order,
     leave the same Silver. The rows counted include delete markers. In hash partitions only
-    those of the changed keys are read and written, and counted.
+    those of the changed keys are read and written, and counted. Shuffles are as wide as Silver needs.
     """
     table = lake.activities
-    if lake.partitions:
-        step = partial(apply_in_order, null_safe=lake.options.null_safe, at=at, before=True)
-        return table.merge(changes, step, run, batch_id)["rows"]
-    merged = apply_in_order(table.history(), table.align(changes), null_safe=lake.options.null_safe, at=at)
-    return table.write(merged, run, batch_id)["rows"]
+    with sized_shuffles(lake.spark, table.stored_bytes()):
+        if lake.partitions:
+            step = partial(apply_in_order, null_safe=lake.options.null_safe, at=at, before=True)
+            return table.merge(changes, step, run, batch_id)["rows"]
+        merged = apply_in_order(table.history(), table.align(changes), null_safe=lake.options.null_safe, at=at)
+        return table.write(merged, run, batch_id)["rows"]
 
 
 def apply_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
@@ -124,12 +127,13 @@ def rebuild_silver(lake: Lake, at: datetime | None = None) -> dict[str, int]:
     """Silver and quarantine anew from all of Bronze, whatever Silver holds now."""
     at = at or datetime.now(timezone.utc)
     bronze, employees = lake.bronze(), lake.employees.read()
-    rejected = lake.quarantine.write(
-        rejected_rows(tag_all(bronze, employees, lake.options), at), f"{lake.run}-rebuild", 0
-    )
-    changes = silver_changes(bronze, employees, lake.options, keep=ARRIVAL)
-    changes = changes if lake.partitions else lake.activities.align(changes)
-    rows = lake.activities.write(apply_in_order(None, changes, at=at), f"{lake.run}-rebuild")["rows"]
+    with sized_shuffles(lake.spark, files.size(lake.spark, lake.bronze_path)):
+        rejected = lake.quarantine.write(
+            rejected_rows(tag_all(bronze, employees, lake.options), at), f"{lake.run}-rebuild", 0
+        )
+        changes = silver_changes(bronze, employees, lake.options, keep=ARRIVAL)
+        changes = changes if lake.partitions else lake.activities.align(changes)
+        rows = lake.activities.write(apply_in_order(None, changes, at=at), f"{lake.run}-rebuild")["rows"]
     return {"rows": rows, "rejected": rejected}
 
 
@@ -160,6 +164,23 @@ def replay_orphans(lake: Lake, at: datetime | None = None) -> int:
     return rows
 
 
+def ensure_admitted(lake: Lake, at: datetime | None = None) -> int:
+    """Replay the orphans if the employees are not those of the last replay. Returns what ``replay_orphans`` does.
+
+    Rows are checked against the employees known when they come, so an orphan can only be
+    admitted after those have changed. The employees are noted once the replay is done: one
+    that was lost half way is made up for by the next call.
+    """
+    known = lake.employees.state()
+    if lake.admissions.source() == known:
+        return -1
+    at = at or datetime.now(timezone.utc)
+    rows = replay_orphans(lake, at)
+    note = lake.spark.createDataFrame([(at, rows)], "replayed_at timestamp, silver_rows bigint")
+    lake.admissions.write(note, lake.run, built_from=known)
+    return rows
+
+
 def ensure_totals(lake: Lake) -> str:
     """Totals per employee up to Silver's present state. Returns how: ``kept``, ``changes`` or ``rebuilt``.
 
@@ -195,18 +216,19 @@ def build_gold(lake: Lake, export_to: str | None = None, at: datetime | None = N
     if activities is None or employees is None:
         raise ValueError("Gold needs Silver activities and Silver employees")
     source = gold_source(lake)
-    if lake.partitions:
-        ensure_totals(lake)
-        gold = gold_from_stats(employees, lake.totals.read(), at)
-    else:
-        gold = gold_eligibility(employees, activities, at)
-    report = lake.gold.write(
-        gold,
-        lake.run,
-        built_from=source,
-        eligible_prime=F.count_if(FLAGS[0]),
-        eligible_wellness=F.count_if(FLAGS[1]),
-    )
+    with sized_shuffles(lake.spark, lake.activities.stored_bytes()):
+        if lake.partitions:
+            ensure_totals(lake)
+            gold = gold_from_stats(employees, lake.totals.read(), at)
+        else:
+            gold = gold_eligibility(employees, activities, at)
+        report = lake.gold.write(
+            gold,
+            lake.run,
+            built_from=source,
+            eligible_prime=F.count_if(FLAGS[0]),
+            eligible_wellness=F.count_if(FLAGS[1]),
+        )
     if export_to:
         export_parquet(lake.gold.read(), f"{export_to}/employee_eligibility.parquet")
         export_parquet(activities, f"{export_to}/activities.parquet")

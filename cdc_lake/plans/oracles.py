@@ -294,6 +294,8 @@ FROM customer WHERE c_custkey % 19 = 3 OR c_custkey % 7 = 3""",
     "silver_merge_buckets": f"WITH {SILVER} SELECT * FROM silver",
     "silver_merge_partitions": f"WITH {SILVER} SELECT * FROM silver",
     "silver_newest": f"WITH {SILVER} SELECT * FROM silver",
+    "silver_newest_merged": f"WITH {SILVER} SELECT * FROM silver",
+    "silver_late_staff": f"WITH {SILVER} SELECT * FROM silver",
     "bronze_compacted": f"WITH {LANDED} SELECT * FROM landed",
     "quarantine_compacted": f"""WITH {KNOWN}
 SELECT id, employee_id, kafka_offset, rejection_reason, CAST(kafka_offset // 2 % 3 AS INTEGER) AS batch_id

@@ -26,6 +26,7 @@ from . import driver_tables as tables
 from .lake import Lake, Options
 from .cohorting import run_cohorting, summary_frame
 from .medallion import build_gold, ensure_employees, merge_activities, silver_changes, tag_all
+from .upkeep import upkeep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -647,3 +648,32 @@ def silver_newest(spark, sf_dir):
         start_newest(lake).awaitTermination()
     newest = cdc.latest_version(lake.changes.read())
     return cdc.active_rows(newest).select(*cdc.SILVER_COLUMNS)
+
+
+@query
+def silver_newest_merged(spark, sf_dir):
+    """Silver in hash partitions, kept by the stream with keyed state over late and repeated deliveries."""
+    lake = Lake(spark, scratch_dir(spark, "newest_merged"), options=Options(key_type="bigint"), partitions=8)
+    lake.employees.write(tables.employees(spark, sf_dir))
+    feed = tables.bronze(spark, sf_dir, "wave").withColumn("ingested_at", F.timestamp_micros(F.col("kafka_offset")))
+    for wave in (2, 0, 1, 0):
+        feed.where(f"wave = {wave}").drop("wave").withColumn("ingest_date", F.current_date()).write.mode("append").parquet(lake.bronze_path)
+        start_newest(lake, merge=True).awaitTermination()
+    return lake.activities.read().drop("updated_at")
+
+
+@query
+def silver_late_staff(spark, sf_dir):
+    """A third of the employees comes with the last delivery: their orphans are admitted unasked, after upkeep."""
+    lake = Lake(spark, scratch_dir(spark, "late_staff"), options=Options(key_type="bigint"))
+    root = _staff_files(spark, sf_dir)
+    everybody = SnapshotTable(spark, lake.path("everybody"))
+    load_reference(spark, f"{root}/employees.csv", f"{root}/sports.csv", everybody, key_type="bigint")
+    lake.reference.write(everybody.read().where("id_salarie % 3 <> 0"))
+    for wave in range(tables.WAVES):
+        _deliver(spark, sf_dir, lake, wave)
+        if wave == tables.WAVES - 1:
+            lake.reference.write(everybody.read())
+        refresh(lake)
+        upkeep(lake)
+    return lake.activities.read().drop("updated_at")

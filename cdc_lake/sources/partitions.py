@@ -71,6 +71,10 @@ class PartitionedTable:
 
     # -- reading ---------------------------------------------------------------
 
+    def stored_bytes(self) -> int:
+        """Bytes of the table with what is kept beside it; 0 if there is none."""
+        return files.size(self.spark, self.path)
+
     def part_of(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key.cast("string")), F.lit(self.partitions)).cast("int")
 

@@ -92,6 +92,10 @@ class SnapshotTable:
         versions = self.versions()
         return versions[-1].folder if versions else "none"
 
+    def stored_bytes(self) -> int:
+        """Bytes of the newest version; 0 if there is none."""
+        return files.size(self.spark, f"{self.path}/{self.state()}")
+
     def align(self, df: DataFrame) -> DataFrame:
         """Partition rows the way the buckets are, for a first load or the change side of a merge."""
         return df.repartition(*self.bucket_by) if self.bucket_by else df
@@ -162,6 +166,11 @@ class BatchLog:
         """Returns the rows written; a batch without rows leaves no folder."""
         return self.measured_write(df, run, batch_id)["rows"]
 
+    def batch(self, run: str, batch_id: int) -> DataFrame | None:
+        """What one batch has written, if it is not merged into a segment yet; nothing if it wrote no rows."""
+        folder = f"{self.path}/run={run}/batch_id={batch_id}"
+        return self.spark.read.parquet(folder) if files.exists(self.spark, folder) else None
+
     def measured_write(self, df: DataFrame, run: str, batch_id: int, **metrics: Column) -> dict[str, int]:
         """The same; returns ``rows`` and the given metrics, measured by the write itself."""
         folder = f"{self.path}/run={run}/batch_id={batch_id}"

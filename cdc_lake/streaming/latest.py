@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -12,6 +13,7 @@ from ..functions.rules import is_active
 from ..operators.cdc import ARRIVAL, to_silver
 from ..operators.quality import valid_rows, with_known_key
 from ..plans.lake import Lake
+from ..plans.medallion import merge_activities
 from ..schemas import bronze_ddl
 from ..sources import files
 
@@ -78,10 +80,15 @@ def newest_changes(changes: DataFrame, key: str = "id", flag: str = "__deleted",
     return keyed.groupBy(key).transformWithState(step, changes.schema, "Update", time_mode)
 
 
-def start_newest(lake: Lake, forget_deletes_ms: int | None = None, limit: int | None = None, **trigger) -> StreamingQuery:
+def start_newest(
+    lake: Lake, forget_deletes_ms: int | None = None, limit: int | None = None, merge: bool = False, **trigger
+) -> StreamingQuery:
     """Valid changes of Bronze that supersede earlier ones, kept batch by batch in ``lake.changes``.
 
     A lost batch is repeated and replaces its folder. The employees are those known at the start.
+    ``merge`` keeps Silver up to date from the changes: from their folder, since running the batch
+    twice would run its state twice, and once per batch, since Silver knows what it has applied.
+    Rejects are not kept in this mode, so its orphans are not admitted later.
     With ``forget_deletes_ms`` the stream needs an interval (``processingTime="1 minute"``): it runs
     batches without news to clear its state, so one that drains its source would never end.
     """
@@ -96,6 +103,10 @@ def start_newest(lake: Lake, forget_deletes_ms: int | None = None, limit: int |
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         lake.changes.write(batch, lake.run, batch_id)
+        run = f"{lake.run}-newest"
+        written = lake.changes.batch(lake.run, batch_id) if merge else None
+        if written is not None and not lake.activities.applied(run, batch_id):
+            merge_activities(lake, written, run, batch_id, datetime.now(timezone.utc))
 
     with rocksdb_state(lake.spark):
         return (

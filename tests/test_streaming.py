@@ -189,6 +189,56 @@ def test_a_second_replay_writes_nothing(spark, lake):
     assert (lake.activities.versions(), lake.gold.versions()) == before
 
 
+def test_orphans_are_admitted_unasked_once_staff_has_changed(spark, lake, monkeypatch):
+    from cdc_lake.streaming import silver as jobs
+
+    topic = Topic(lake)
+    topic.land(change(1, 50), change(2, 1))
+    refresh(lake)
+    refresh(lake)
+    assert silver(lake) == [(2, 1, "x")]
+    assert [v.number for v in lake.admissions.versions()] == [0]
+    lake.reference.write(staff(spark, 1, 2, 50))
+    refresh(lake, replay=False)
+    assert silver(lake) == [(2, 1, "x")]
+    with monkeypatch.context() as patch:  # a replay that is lost is made up for
+        patch.setattr(jobs, "ensure_admitted", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh(lake)
+    assert refresh(lake)["rows"] == 3 and silver(lake) == [(1, 50, "x"), (2, 1, "x")]
+    before = lake.activities.versions(), lake.admissions.versions()
+    assert refresh(lake) is None and (lake.activities.versions(), lake.admissions.versions()) == before
+
+
+def test_the_jobs_size_their_shuffles(spark, lake, monkeypatch):
+    """A merge is as wide as Silver needs, Gold too; the session's setting is left as it was."""
+    from cdc_lake import session
+    from cdc_lake.plans import medallion
+
+    widths = {}
+
+    def noting(name, function):
+        def noted(*given, **named):
+            widths[name] = int(spark.conf.get(session._WIDTH, "0"))
+            return function(*given, **named)
+
+        return noted
+
+    for name in ("apply_in_order", "gold_eligibility", "silver_changes"):
+        monkeypatch.setattr(medallion, name, noting(name, getattr(medallion, name)))
+    monkeypatch.setattr(session, "_PARTITION_BYTES", 100)
+    topic = Topic(lake)
+    topic.land(*(change(i) for i in range(40)))
+    refresh(lake)
+    bytes_held = lake.activities.stored_bytes()
+    assert widths["silver_changes"] > 8  # by the files of the batch: Silver holds nothing yet
+    assert widths["gold_eligibility"] == session.shuffle_width(bytes_held) > 8
+    topic.land(change(41))
+    refresh(lake)
+    assert widths["apply_in_order"] >= session.shuffle_width(bytes_held)
+    assert spark.conf.get(session._WIDTH, None) is None
+
+
 def test_a_lost_gold_job_is_made_up_for(lake, monkeypatch):
     from cdc_lake.plans import medallion
 

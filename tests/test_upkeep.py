@@ -9,7 +9,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from cdc_lake.__main__ import main
 from cdc_lake.plans.lake import Lake
+from cdc_lake.plans.upkeep import upkeep
 from cdc_lake.schemas import bronze_ddl
 from cdc_lake.sources import files
 from cdc_lake.sources.landed import CompactedDays, near
@@ -136,3 +138,53 @@ def test_delete_markers_may_be_forgotten(spark, lake_root):
     finally:
         stream.stop()
     assert rows(lake.changes.read(), "id", "details") == [(1, "kept"), (2, "gone"), (2, "taken for new")]
+
+
+@pytest.mark.parametrize("partitions", [None, 4])
+def test_silver_from_the_keyed_state(spark, lake_root, partitions):
+    lake = Lake(spark, lake_root, partitions=partitions)
+    started = ["newest", "--root", lake_root, "--merge", *(["--partitions", "4"] if partitions else [])]
+
+    def step(*changes):
+        bronze(spark, lake, *changes)
+        assert main(started) == 0
+        return rows(lake.activities.read(), "id", "details")
+
+    assert step((1, 1, "a", None), (1, 3, "c", None), (2, 1, "x", None)) == [(1, "c"), (2, "x")]
+    before = lake.activities.versions()
+    assert step((1, 2, "late", None), (2, 1, "again", None)) == [(1, "c"), (2, "x")]
+    assert lake.activities.versions() == before  # a batch without news writes nothing
+    assert step((1, 5, "gone", "true"), (3, 2, "y", None)) == [(2, "x"), (3, "y")]
+    assert step((1, 4, "older than its delete", None), (2, 9, "z", None)) == [(2, "z"), (3, "y")]
+
+
+def test_a_merge_that_was_lost_is_made_up_for(spark, lake_root, monkeypatch):
+    from cdc_lake.streaming import latest
+
+    lake = Lake(spark, lake_root)
+    bronze(spark, lake, (1, 1, "a", None))
+    with monkeypatch.context() as patch:
+        patch.setattr(latest, "merge_activities", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            start_newest(lake, merge=True).awaitTermination()
+    assert lake.activities.read() is None and lake.changes.read().count() == 1
+    bronze(spark, lake, (1, 2, "b", None))
+    start_newest(lake, merge=True).awaitTermination()
+    assert rows(lake.activities.read(), "id", "details") == [(1, "b")]
+
+
+def test_the_upkeep_job(spark, lake_root, capsys):
+    lake = Lake(spark, lake_root)
+    assert upkeep(lake) == {"bronze": 0, "quarantine": 0, "replayed": 0, "reports": 0, "notifications": 0, "changes": 0}
+    old = spark.range(50).selectExpr("cast(id as int) id", "0 kafka_partition", "id kafka_offset").withColumn("ingest_date", F.lit(TODAY - timedelta(days=5)))
+    old.write.partitionBy("ingest_date").parquet(lake.bronze_path)
+    for n in range(3):
+        lake.quarantine.write(spark.range(n + 1), "main", n)
+        lake.notifications.write(spark.range(1), "main", n)
+    before = rows(lake.bronze()), rows(lake.quarantine.read()), rows(lake.notifications.read())
+    assert main(["upkeep", "--root", lake_root, "--before", (TODAY - timedelta(days=5)).isoformat()]) == 0
+    assert main(["upkeep", "--root", lake_root]) == 0
+    first, second = [eval(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert (first["bronze"], first["quarantine"], first["notifications"]) == (0, 2, 2)
+    assert (second["bronze"], second["quarantine"]) == (1, 0)
+    assert (rows(lake.bronze()), rows(lake.quarantine.read()), rows(lake.notifications.read())) == before
