@@ -1,6 +1,7 @@
 """Join of documents whose sets of word 5-grams overlap by 0.8 or more (Jaccard).
 
-1. Copies: rows whose words are equal are one text; its least doc_id stands for it.
+1. Copies: rows whose words are equal are one text, whatever their ids; the row of the least
+   doc_id stands for it.
 2. MinHash banding: bands and rows per band follow from the recall wanted; texts that share
    the hash of a band get linked to the least one there, and components of those links are
    the groups to verify.
@@ -18,7 +19,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.joins import lookup_join
 from .common import renamed, restored, stored
@@ -29,8 +30,9 @@ SIMILARITY = 0.8
 #: Chance that a pair at the limit shares a band.
 RECALL = 0.999
 ROWS = 6
-#: Texts of a group in one chunk; a block has two chunks.
-CHUNK = 128
+#: Texts of a group in one chunk, and shingles of them, about; a block has two chunks.
+CHUNK = 256
+CHUNK_GRAMS = 1 << 20
 #: Texts of small groups that share a task.
 PACK = 256
 _WORD = re.compile(r"\w+")
@@ -81,12 +83,12 @@ def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signed(texts: list[str | None], bands: int, rows: int):
-    """(digest, band hashes) per text; (None, None) for a text without words."""
+    """(digest, band hashes, number of shingles) per text; nulls for a text without words."""
     times, plus = _multipliers(bands * rows)
     for text in texts:
         grams = shingles(text)
         if not len(grams):
-            yield None, None
+            yield None, None, None
             continue
         with np.errstate(over="ignore"):
             least = np.full(len(times), np.iinfo(np.uint64).max, np.uint64)
@@ -97,7 +99,7 @@ def _signed(texts: list[str | None], bands: int, rows: int):
                 keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
                 keys ^= keys >> np.uint64(31)
         words = " ".join(_WORD.findall(text.lower()))
-        yield hashlib.md5(words.encode()).digest(), keys.view(np.int64).tolist()
+        yield hashlib.md5(words.encode()).digest(), keys.view(np.int64).tolist(), len(grams)
 
 
 def _signatures(docs: DataFrame, text: str, bands: int, rows: int) -> DataFrame:
@@ -105,11 +107,15 @@ def _signatures(docs: DataFrame, text: str, bands: int, rows: int) -> DataFrame:
         for batch in batches:
             signed = list(_signed(batch.column(1).to_pylist(), bands, rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s[0] for s in signed], pa.binary()), pa.array([s[1] for s in signed], pa.list_(pa.int64()))],
-                ["doc_id", "digest", "bands"],
+                [*batch.columns[:1], *(pa.array([s[i] for s in signed], kind) for i, kind in enumerate(kinds))],
+                ["first", "digest", "bands", "n_grams"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), docs[text]).mapInArrow(sign, "doc_id long, digest binary, bands array<long>")
+    kinds = [pa.binary(), pa.list_(pa.int64()), pa.int64()]
+    first = F.struct(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(docs[text]).alias("text_hash"))
+    return docs.select(first.alias("first"), docs[text]).mapInArrow(
+        sign, "first struct<doc_id: long, text_hash: string>, digest binary, bands array<long>, n_grams long"
+    )
 
 
 def block_links(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray, similarity: float = SIMILARITY):
@@ -173,11 +179,15 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64()), "links": pa.array(counts, pa.int64())})
 
 
+def _text_hash(text) -> Column:
+    return F.coalesce(F.md5(text), F.lit(""))
+
+
 def _members(docs: DataFrame, text: str, groups: DataFrame) -> DataFrame:
-    """Whole shingle sets of the texts in ``groups``, one row per text."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), docs[text].alias("_text"))
-    names = groups.columns
-    chosen = texts.join(groups, "node").dropDuplicates(["node"]).select("_text", *names)
+    """Whole shingle sets of the texts in ``groups``, one row per text, read from the row that ``first`` names."""
+    texts = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(docs[text]).alias("text_hash")).alias("first"), docs[text].alias("_text"))
+    names = [name for name in groups.columns if name != "first"]
+    chosen = texts.join(groups, "first").dropDuplicates(["node"]).select("_text", *names)
 
     def build(batches):
         for batch in batches:
@@ -189,8 +199,8 @@ def _members(docs: DataFrame, text: str, groups: DataFrame) -> DataFrame:
 
 def _chunked(groups: DataFrame) -> DataFrame:
     """``groups`` with the number of chunks of the group, and the chunk of the text."""
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    sized = lookup_join(groups, sizes, "root", "inner")
+    chunks = F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("n_grams") / CHUNK_GRAMS)).cast("int")
+    sized = lookup_join(groups, groups.groupBy("root").agg(chunks.alias("chunks")), "root", "inner")
     return sized.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
 
 
@@ -202,50 +212,67 @@ def _blocks(members: DataFrame, packs: int) -> DataFrame:
     return dealt.select("node", "root", "grams", "chunk", "i", "j", pack.alias("pack"))
 
 
-def jaccard_join(docs: DataFrame, text: str = "text", recall: float = RECALL, rows: int = ROWS) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, class_id, rep_id, n_copies, n_links``.
+def _packs(groups: DataFrame) -> int:
+    """Packs for the groups of one chunk: of few texts, and of few shingles."""
+    texts, grams = groups.where("chunks = 1").agg(F.count("*"), F.sum("n_grams")).first()
+    return max(1, texts // PACK, (grams or 0) // CHUNK_GRAMS)
 
-    ``rep_id`` is the least doc_id with the same words, ``n_copies`` the number of rows with
-    them, ``n_links`` the number of other texts that it is linked to directly, ``class_id`` the
-    least doc_id that links lead to. A text without words (or null) and a row without doc_id
-    stand alone: their own doc_id, one copy, no link. Rows of equal doc_id should hold the same
-    text; repeated rows stay and count as copies. An empty table gives an empty result.
-    """
-    bands = bands_for(recall, rows)
-    signed = stored(_signatures(docs, text, bands, rows), "signatures")
-    usable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    texts = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n_copies")), "texts")
 
-    keys = usable.select("doc_id", "digest", F.explode("bands").alias("band"))
-    keys = keys.join(texts.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi").select("band", F.col("doc_id").alias("node"))
+def _classified(docs: DataFrame, text: str, recall: float, rows: int) -> DataFrame:
+    """``first`` (doc_id, text_hash) of each row, of its text's first row (``rep``) and its class's (``head``), and the counts."""
+    signed = stored(_signatures(docs, text, bands_for(recall, rows), rows), "signatures")
+    usable = signed.where("digest IS NOT NULL AND first.doc_id IS NOT NULL")
+    texts = usable.groupBy("digest").agg(F.min("first").alias("first"), F.count("*").alias("n_copies"), F.first("n_grams").alias("n_grams"))
+    texts = stored(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
+
+    keys = usable.join(texts.select("first", "node"), "first").select("node", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.min("node").alias("other"), F.max("node").alias("_last")).where("other < _last").drop("_last")
     linked = lookup_join(keys, shared, "band", "inner").select("node", "other").distinct()
-    groups = stored(_chunked(components(linked)), "groups")
+    groups = stored(_chunked(components(linked).join(texts.select("node", "first", "n_grams"), "node")), "groups")
 
-    blocks = _blocks(_members(docs, text, groups), max(1, groups.count() // PACK))
+    blocks = _blocks(_members(docs, text, groups.drop("n_grams")), _packs(groups))
     verified = blocks.groupBy("pack").applyInArrow(_verify, "node long, root long, links long")
     verified = stored(verified, "verified")
-    classes = components(verified.select("node", F.col("root").alias("other")))
+    classes = stored(components(verified.select("node", F.col("root").alias("other"))), "classes")
     links = verified.groupBy("node").agg(F.sum("links").alias("n_links"))
+    heads = classes.join(texts.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("head"))
+    joined = links.join(classes, "node").join(heads, "root").select("node", "n_links", "head")
 
-    info = texts.join(links, "node", "left").join(classes, "node", "left").select(
-        "digest", F.col("node").alias("rep_id"), F.coalesce("root", "node").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links")
+    info = texts.join(joined, "node", "left").select(
+        "digest", F.col("first").alias("rep"), F.coalesce("head", "first").alias("head"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
-    joined = lookup_join(usable.select("doc_id", "digest"), info, "digest", "inner").select("doc_id", "class_id", "rep_id", "n_copies", "n_links")
-    own = F.col("doc_id")
-    alone = signed.where("digest IS NULL OR doc_id IS NULL").select(
-        own, own.alias("class_id"), own.alias("rep_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links")
+    counted = lookup_join(usable.select("first", "digest"), info, "digest", "inner").select("first", "head", "rep", "n_copies", "n_links")
+    own = F.col("first")
+    alone = signed.where("digest IS NULL OR first.doc_id IS NULL").select(
+        own, own.alias("head"), own.alias("rep"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links")
     )
-    return joined.unionByName(alone)
+    return counted.unionByName(alone)
+
+
+def jaccard_join(docs: DataFrame, text: str = "text", recall: float = RECALL, rows: int = ROWS) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, class_id, rep_id, n_copies, n_links``.
+
+    ``rep_id`` is the least doc_id with the same words, ``n_copies`` the number of rows with
+    them, ``n_links`` the number of other texts that it is linked to directly, ``class_id`` the
+    least doc_id that links lead to. A text without words (or null) and a row without doc_id
+    stand alone: their own doc_id, one copy, no link. Rows of equal doc_id and different texts
+    are judged apart; repeated rows stay and count as copies. An empty table gives an empty
+    result. Other columns are not read.
+    """
+    number = lambda name: F.col(name)["doc_id"]
+    found = _classified(docs, text, recall, rows)
+    return found.select(number("first").alias("doc_id"), number("head").alias("class_id"), number("rep").alias("rep_id"), "n_copies", "n_links")
 
 
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row of ``docs`` per class: the one with the least doc_id. Rows without doc_id stay.
 
-    Of rows with equal doc_id and text one stays. All columns are kept, whatever their names.
+    Of rows with equal doc_id and text one stays; of rows with equal doc_id and different texts
+    one per class. All columns are kept, whatever their names.
     """
     rows, names = renamed(docs)
-    key = names["doc_id"]
-    stay = jaccard_join(docs, text).where("class_id = doc_id").select(F.col("doc_id").alias(key)).distinct()
-    kept = rows.join(stay, key, "left_semi").withColumn("_text_hash", F.md5(names[text])).dropDuplicates([key, "_text_hash"])
+    found = _classified(docs, text, RECALL, ROWS)
+    stay = found.where("first = head AND first.doc_id IS NOT NULL").select(F.col("first").alias("_first")).distinct()
+    first = F.struct(F.col(names["doc_id"]).cast("long").alias("doc_id"), _text_hash(F.col(names[text])).alias("text_hash"))
+    kept = rows.withColumn("_first", first).join(stay, "_first", "left_semi").dropDuplicates(["_first"])
     return kept.select(restored(names, [])).unionByName(docs.where("doc_id IS NULL"))

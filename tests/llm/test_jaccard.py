@@ -1,7 +1,9 @@
 """Copies, near copies and their classes against all pairs of a small fixture."""
 
+import os
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -102,6 +104,43 @@ def test_one_of_each_keeps_the_least(docs, corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i, e in expected(corpus).items() if e[0] == i}
 
 
+def test_rows_of_one_id_and_different_texts_are_judged_apart(docs, prose):
+    first, second, third = (prose(i, 60) for i in (901, 902, 903))
+    rows = [(1, first, "en"), (1, second, "en"), (1, second, "de"), (0, second + " tail", "en"), (2, third, "en"), (2, third + " end", "en")]
+    found = sorted(map(tuple, jaccard_join.jaccard_join(docs(rows)).collect()))
+    assert found == [(0, 0, 0, 1, 1), (1, 0, 1, 2, 1), (1, 0, 1, 2, 1), (1, 1, 1, 1, 0), (2, 2, 2, 1, 1), (2, 2, 2, 1, 1)]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.one_of_each(docs(rows)).collect()]
+    assert len(kept) == 3 and {(0, second + " tail"), (1, first)} < {*kept}
+
+
+def test_long_texts_split_a_group_by_shingles(docs, prose, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK_GRAMS", 500)
+    words = prose(7, 220).split()
+    texts = {i: " ".join(words[:i * 3] + [f"x{i}"] + words[i * 3:]) for i in range(20)} | {50 + i: prose(60 + i, 30) for i in range(5)}
+    assert got(jaccard_join.jaccard_join(docs([(i, t, "en") for i, t in texts.items()]))) == expected(texts)
+
+
+def test_recall_on_the_documents(spark):
+    """Links of all texts whose id RECALL_EVERY divides (1: all), against all texts; RECALL_SF measures another size."""
+    folder = f"{os.environ.get('TESTDATA_DIR', '/root/testdata')}/{os.environ.get('RECALL_SF', 'sf0.01')}"
+    every = int(os.environ.get("RECALL_EVERY", "1"))
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: r for r in jaccard_join.jaccard_join(rows).collect()}
+    sets = {r.doc_id: jaccard_join.shingles(r.text) for r in rows.collect() if found[r.doc_id].rep_id == r.doc_id}
+    holders, true, linked = {}, 0, 0
+    asked = [i for i in sets if i % every == 0]
+    for i, grams in sets.items():
+        for gram in grams.tolist():
+            holders.setdefault(gram, []).append(i)
+    for i in asked:
+        shared = Counter(other for gram in sets[i].tolist() for other in holders[gram])
+        near = sum(n >= 0.8 * (len(sets[i]) + len(sets[o]) - n) - 1e-6 for o, n in shared.items() if o != i)
+        assert found[i].n_links <= near
+        true, linked = true + near, linked + found[i].n_links
+    print(f"recall: {linked} of {true} links of {len(asked)} texts")
+    assert true > 0 and linked >= 0.9 * true
+
+
 def test_components_of_a_random_graph(table):
     pick = random.Random(9)
     links = [(pick.randrange(400), pick.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 560)] + [(600, i) for i in range(601, 700)] + [(3, None)]
