@@ -112,9 +112,9 @@ def _signatures(docs: DataFrame, text: str, bands: int, rows: int) -> DataFrame:
             )
 
     kinds = [pa.binary(), pa.list_(pa.int64()), pa.int64()]
-    first = F.struct(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(docs[text]).alias("text_hash"))
+    first = F.struct(*_row_key(docs["doc_id"], docs[text]))
     return docs.select(first.alias("first"), docs[text]).mapInArrow(
-        sign, "first struct<doc_id: long, text_hash: string>, digest binary, bands array<long>, n_grams long"
+        sign, "first struct<doc_id: long, text_hash: long>, digest binary, bands array<long>, n_grams long"
     )
 
 
@@ -179,15 +179,16 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64()), "links": pa.array(counts, pa.int64())})
 
 
-def _text_hash(text) -> Column:
-    return F.coalesce(F.md5(text), F.lit(""))
+def _row_key(doc_id: Column, text: Column) -> list[Column]:
+    """What names a row: its doc_id, and a hash of its text, should an id have several."""
+    return [doc_id.cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash")]
 
 
 def _members(docs: DataFrame, text: str, groups: DataFrame) -> DataFrame:
     """Whole shingle sets of the texts in ``groups``, one row per text, read from the row that ``first`` names."""
-    texts = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(docs[text]).alias("text_hash")).alias("first"), docs[text].alias("_text"))
+    texts = docs.select(*_row_key(docs["doc_id"], docs[text]), docs[text].alias("_text"))
     names = [name for name in groups.columns if name != "first"]
-    chosen = texts.join(groups, "first").dropDuplicates(["node"]).select("_text", *names)
+    chosen = texts.join(groups.select("first.*", *names), ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("_text", *names)
 
     def build(batches):
         for batch in batches:
@@ -268,11 +269,15 @@ def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row of ``docs`` per class: the one with the least doc_id. Rows without doc_id stay.
 
     Of rows with equal doc_id and text one stays; of rows with equal doc_id and different texts
-    one per class. All columns are kept, whatever their names.
+    one per class. All columns are kept, whatever their names. What joins the documents are the
+    keys of the rows that leave and of repeated rows: where those are few, no text is shuffled.
     """
     rows, names = renamed(docs)
-    found = _classified(docs, text, RECALL, ROWS)
-    stay = found.where("first = head AND first.doc_id IS NOT NULL").select(F.col("first").alias("_first")).distinct()
-    first = F.struct(F.col(names["doc_id"]).cast("long").alias("doc_id"), _text_hash(F.col(names[text])).alias("text_hash"))
-    kept = rows.withColumn("_first", first).join(stay, "_first", "left_semi").dropDuplicates(["_first"])
-    return kept.select(restored(names, [])).unionByName(docs.where("doc_id IS NULL"))
+    found = stored(_classified(docs, text, RECALL, ROWS).where("first.doc_id IS NOT NULL").select("first", "head"), "classified")
+    key = ["_id", "_hash"]
+    leave = found.where("first <> head").select("first.*").toDF(*key).distinct()
+    again = found.groupBy("first").count().where("count > 1").select("first.*").toDF(*key)
+    keyed = rows.withColumns(dict(zip(key, _row_key(F.col(names["doc_id"]), F.col(names[text])))))
+    kept = keyed.join(leave, key, "left_anti")
+    once, more = kept.join(again, key, "left_anti"), kept.join(again, key, "left_semi").dropDuplicates(key)
+    return once.unionByName(more).select(restored(names, []))
