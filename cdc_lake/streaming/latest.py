@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.rules import is_active
@@ -29,7 +29,7 @@ class _Newest(StatefulProcessor):
 
     _ORDER = "at bigint, place int, position bigint"
 
-    def __init__(self, columns: list[str], forget_ms: int | None):
+    def __init__(self, columns: list[str], forget_ms: int):
         self._columns, self._forget_ms = columns, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -68,16 +68,34 @@ def rocksdb_state(spark: SparkSession):
 def newest_changes(changes: DataFrame, key: str = "id", flag: str = "__deleted", forget_deletes_ms: int | None = None) -> DataFrame:
     """Of a stream of changes with their arrival, those that supersede what came before; one per key and batch.
 
-    Late and repeated changes are not newer than the state and vanish. ``forget_deletes_ms``
-    bounds the state of deleted keys: a change that is delivered later than that after the
-    delete of its key passes for a new one. Without it delete markers are kept for good.
+    Late and repeated changes are not newer than the state and vanish. The state is a streaming
+    aggregate: the newest change of each key, delete markers among them, for good.
+    ``forget_deletes_ms`` bounds the state of deleted keys: a change that is delivered later than
+    that after the delete of its key passes for a new one. State that expires for some keys only
+    takes a processor, which is Python per key.
     """
     at, place, position = ARRIVAL
     arrived = [F.unix_micros(at).alias("_at"), F.col(place).cast("int").alias("_place"), F.col(position).cast("long").alias("_position")]
+    if forget_deletes_ms is None:
+        return _newest_of_aggregate(changes, key, arrived)
     keyed = changes.select("*", *arrived, is_active(flag).alias("_active"))
-    time_mode = "None" if forget_deletes_ms is None else "ProcessingTime"
     step = _Newest(changes.columns, forget_deletes_ms)
-    return keyed.groupBy(key).transformWithState(step, changes.schema, "Update", time_mode)
+    return keyed.groupBy(key).transformWithState(step, changes.schema, "Update", "ProcessingTime")
+
+
+def _newest_of_aggregate(changes: DataFrame, key: str, arrived: list[Column]) -> DataFrame:
+    """The newest change per key where this batch brought it.
+
+    An aggregate gives out a key whenever a change of it comes. The time of the batch, which a
+    repeated batch keeps, tells whether the newest one is of this batch; of equal arrivals the
+    first batch's stands, so repeated changes don't count as news.
+    """
+    batch = F.unix_micros(F.current_timestamp())
+    timed = changes.select("*", *arrived, batch.alias("_batch"), F.col(key).alias("_key"))
+    row = F.struct(*changes.columns, "_batch")
+    order = F.struct("_at", "_place", "_position", -F.col("_batch"))
+    newest = timed.groupBy("_key").agg(F.max_by(row, order).alias("_newest"))
+    return newest.where(F.col("_newest._batch") == batch).select("_newest.*").drop("_batch")
 
 
 def start_newest(
