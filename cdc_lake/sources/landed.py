@@ -8,9 +8,11 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import files
+from .tables import row_count
 
-#: Bytes of a compacted file, about.
-FILE_BYTES = 256 * 1024 * 1024
+#: Bytes and rows of a compacted file, about. One task sorts a file's rows, which take some nine times its bytes in memory.
+FILE_BYTES = 64 * 1024 * 1024
+FILE_ROWS = 4_000_000
 #: Keys up to this number are looked up one by one, which Bloom filters answer; more by their range.
 LOOKUP_KEYS = 10
 
@@ -36,7 +38,7 @@ class CompactedDays:
         folders = files.child_names(self.spark, self.path)
         return [f.split("=", 1)[1] for f in folders if f.startswith("day=") and files.exists(self.spark, f"{self.path}/{f}/_SUCCESS")]
 
-    def compact(self, before: date | None = None, file_bytes: int = FILE_BYTES) -> list[str]:
+    def compact(self, before: date | None = None, file_bytes: int = FILE_BYTES, file_rows: int = FILE_ROWS) -> list[str]:
         """Rewrite the days before ``before`` that are not yet; returns them.
 
         The default leaves today and yesterday alone: a batch that began before midnight may end
@@ -49,7 +51,8 @@ class CompactedDays:
         chosen = [day for day in landed if day < before.isoformat() and day not in done]
         for day in chosen:
             rows = self.spark.read.parquet(self.landing).where(F.col(self.day) == F.lit(day).cast("date")).drop(self.day)
-            width = max(1, -(-files.size(self.spark, f"{self.landing}/{prefix}{day}") // file_bytes))
+            folder = f"{self.landing}/{prefix}{day}"
+            width = max(1, -(-files.size(self.spark, folder) // file_bytes), -(-row_count(self.spark, folder) // file_rows))
             ordered = rows.repartitionByRange(width, self.key, *self.tie).sortWithinPartitions(self.key, *self.tie)
             ordered.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{self.key}", "true").parquet(f"{self.path}/day={day}")
         return chosen

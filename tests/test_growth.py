@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from cdc_lake.plans.lake import Lake
+from cdc_lake.sources.landed import FILE_ROWS
 from cdc_lake.streaming.latest import start_newest
 
 from .conftest import rows
-from .test_upkeep import bronze
+from .test_upkeep import bronze, landing
 
 
 def test_the_newest_changes_take_no_python_per_key(spark, lake_root):
@@ -24,3 +25,16 @@ def test_the_newest_changes_take_no_python_per_key(spark, lake_root):
     assert (first, lake.changes.read().count()) == (3, 3)
     step((1, 3, "c", None), (1, 4, "d", "true"), (2, 1, "x", None))
     assert rows(lake.changes.read().where("batch_id = 2"), "id", "details", "__deleted") == [(1, "d", "true")]
+
+
+def test_a_compacted_file_holds_no_more_rows_than_a_task_sorts_in_memory(spark, lake_root):
+    def compacted(days):
+        return [f for f in days.read().inputFiles() if "/compacted/" in f]
+
+    days = landing(spark, lake_root, (5,), n=FILE_ROWS + 500_000)
+    days.compact()
+    assert len(compacted(days)) == 2
+    few = landing(spark, f"{lake_root}/few", (5,))
+    before = rows(few.read())
+    few.compact(file_rows=1000)
+    assert len(compacted(few)) == 4 and rows(few.read()) == before
