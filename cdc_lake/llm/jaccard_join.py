@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.bitmaps import id_bitmaps, with_id_in, with_id_not_in
 from ..operators.joins import lookup_join
 from .common import renamed, restored, stored
 from .components import components
@@ -35,6 +36,9 @@ CHUNK = 256
 CHUNK_GRAMS = 1 << 20
 #: Texts of small groups that share a task.
 PACK = 256
+#: Bits per key of the bitmap that rows are looked up in before a join, and bits of it at most (8 MB).
+KEY_BITS = 16
+MOST_BITS = 1 << 26
 _WORD = re.compile(r"\w+")
 _COLUMNS = 4096
 
@@ -184,11 +188,24 @@ def _row_key(doc_id: Column, text: Column) -> list[Column]:
     return [doc_id.cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash")]
 
 
+def _looked_up(rows: DataFrame, keys: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The ``rows`` that may have one of ``keys``, and those that surely have none: no row is shuffled to tell.
+
+    A bitmap of hashed keys is looked up, so some rows without a key are among the first: an exact
+    join on ``names`` has to follow. Its size is bounded; beyond four million keys there are more of them.
+    """
+    place = F.pmod(F.xxhash64(*names), F.lit(min(MOST_BITS, KEY_BITS * max(1, keys.count()))))
+    marks = stored(id_bitmaps(keys.select(place.alias("_place")), "_place"), "marks")
+    placed = rows.withColumn("_place", place)
+    return with_id_in(placed, marks, "_place").drop("_place"), with_id_not_in(placed, marks, "_place").drop("_place")
+
+
 def _members(docs: DataFrame, text: str, groups: DataFrame) -> DataFrame:
     """Whole shingle sets of the texts in ``groups``, one row per text, read from the row that ``first`` names."""
-    texts = docs.select(*_row_key(docs["doc_id"], docs[text]), docs[text].alias("_text"))
+    key = ["doc_id", "text_hash"]
+    texts, _ = _looked_up(docs.select(*_row_key(docs["doc_id"], docs[text]), docs[text].alias("_text")), groups.select("first.*"), key)
     names = [name for name in groups.columns if name != "first"]
-    chosen = texts.join(groups.select("first.*", *names), ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("_text", *names)
+    chosen = texts.join(groups.select("first.*", *names), key).dropDuplicates([*key, "node"]).select("_text", *names)
 
     def build(batches):
         for batch in batches:
@@ -270,7 +287,7 @@ def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Of rows with equal doc_id and text one stays; of rows with equal doc_id and different texts
     one per class. All columns are kept, whatever their names. What joins the documents are the
-    keys of the rows that leave and of repeated rows: where those are few, no text is shuffled.
+    keys of the rows that leave and of repeated rows; the text of other rows is not shuffled.
     """
     rows, names = renamed(docs)
     found = stored(_classified(docs, text, RECALL, ROWS).where("first.doc_id IS NOT NULL").select("first", "head"), "classified")
@@ -278,6 +295,7 @@ def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     leave = found.where("first <> head").select("first.*").toDF(*key).distinct()
     again = found.groupBy("first").count().where("count > 1").select("first.*").toDF(*key)
     keyed = rows.withColumns(dict(zip(key, _row_key(F.col(names["doc_id"]), F.col(names[text])))))
-    kept = keyed.join(leave, key, "left_anti")
+    asked, untouched = _looked_up(keyed, leave.unionByName(again), key)
+    kept = asked.join(leave, key, "left_anti")
     once, more = kept.join(again, key, "left_anti"), kept.join(again, key, "left_semi").dropDuplicates(key)
-    return once.unionByName(more).select(restored(names, []))
+    return untouched.unionByName(once).unionByName(more).select(restored(names, []))

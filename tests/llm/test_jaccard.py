@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cdc_lake.llm import jaccard_join
 from cdc_lake.llm.components import components
@@ -159,3 +160,14 @@ def test_components_of_a_random_graph(table):
     found = {r.node: r.root for r in components(table(links, "node long, other long")).collect()}
     assert found == {x: find(x) for x in root}
     assert components(table([], "node long, other long")).count() == 0
+
+
+def test_rows_are_looked_up_before_they_are_joined(docs, prose):
+    frame = docs([prose(seed, 8) for seed in range(3000)]).select(*jaccard_join._row_key(F.col("doc_id"), F.col("text")), "text")
+    keys = frame.where("doc_id % 50 = 0").select("doc_id", "text_hash")
+    some, others = jaccard_join._looked_up(frame, keys, keys.columns)
+    found = {r.doc_id for r in some.collect()}
+    assert set(range(0, 3000, 50)) <= found and len(found) < 600
+    assert {r.doc_id for r in others.collect()} == set(range(3000)) - found
+    none, every = jaccard_join._looked_up(frame, keys.where("false"), keys.columns)
+    assert (none.count(), every.count()) == (0, 3000)
