@@ -128,9 +128,10 @@ def rejection_summary(rejected: DataFrame) -> DataFrame:
 
 
 def rule_metrics() -> dict[str, Column]:
-    """Rejects per rule as metrics of a write of rejected rows: no scan of their own."""
+    """Rejects per rule as metrics of a write of rejected rows: no scan of their own, and no reason is split."""
     names = [*(rule.name for rule in activity_rules()), ORPHAN_REASON]
-    return {name: F.count_if(F.array_contains(F.split(REASON, REASON_SEPARATOR), name)) for name in names}
+    edge = F.lit(REASON_SEPARATOR)
+    return {name: F.count_if(F.contains(F.concat(edge, REASON, edge), F.concat(edge, F.lit(name), edge))) for name in names}
 
 
 def bronze_profile(df: DataFrame) -> DataFrame:

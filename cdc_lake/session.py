@@ -17,6 +17,7 @@ SCALE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _PARTITION_BYTES = 256 * 1024 * 1024
 
@@ -56,6 +57,17 @@ def sized_shuffles(spark: SparkSession, input_bytes: int):
             spark.conf.set(_WIDTH, before)
 
 
+@contextmanager
+def unsorted_folders(spark: SparkSession, open_files: int):
+    """Writes into folders (``partitionBy``) started inside keep so many files open, and sort rows by folder only beyond that."""
+    before = spark.conf.get(_WRITERS, None)
+    spark.conf.set(_WRITERS, str(open_files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_WRITERS) if before is None else spark.conf.set(_WRITERS, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder every executor can reach.
 

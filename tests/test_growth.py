@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from cdc_lake.operators.quality import REASON, rule_metrics
 from cdc_lake.plans.lake import Lake
+from cdc_lake.session import _WRITERS, unsorted_folders
 from cdc_lake.sources.landed import FILE_ROWS
+from cdc_lake.sources.messages import file_messages
+from cdc_lake.streaming import bronze as landing_stream
 from cdc_lake.streaming.latest import start_newest
 
 from .conftest import rows
@@ -38,3 +44,33 @@ def test_a_compacted_file_holds_no_more_rows_than_a_task_sorts_in_memory(spark,
     before = rows(few.read())
     few.compact(file_rows=1000)
     assert len(compacted(few)) == 4 and rows(few.read()) == before
+
+
+def test_landing_sorts_no_rows_by_day(spark, lake_root, monkeypatch):
+    lake, seen, made = Lake(spark, lake_root), [], landing_stream.bronze_rows
+
+    def spied(lake, messages):
+        seen.append(spark.conf.get(_WRITERS, None))
+        return made(lake, messages)
+
+    monkeypatch.setattr(landing_stream, "bronze_rows", spied)
+    sent = "CAST(NULL AS binary) key, CAST('{\"id\":1}' AS binary) value, 't' topic, 0 partition, id offset, current_timestamp() timestamp"
+    spark.range(3).selectExpr(*sent.split(", ")).write.parquet(lake.path("feed"))
+    landing_stream.start_landing(lake, file_messages(spark, lake.path("feed")), availableNow=True).awaitTermination()
+    assert seen == [str(landing_stream.LANDING_DAYS)] and spark.conf.get(_WRITERS, None) in (None, "0")
+    assert rows(lake.bronze(), "id", "kafka_offset") == [(1, 0), (1, 1), (1, 2)]
+
+
+def test_more_folders_than_open_files_keep_every_row(spark, lake_root):
+    frame = spark.range(1000).selectExpr("id", "id % 7 AS folder")
+    with unsorted_folders(spark, 2):
+        frame.write.partitionBy("folder").parquet(lake_root)
+    assert rows(spark.read.parquet(lake_root).select("id", F.col("folder").cast("long"))) == rows(frame)
+
+
+def test_reasons_are_counted_by_whole_names(spark):
+    reasons = ["employee_id_null", "id_null, employee_id_null", "id_null", "", None, "no_rule", "distance_outlier_vélo, id_null"]
+    frame = spark.createDataFrame([(r,) for r in reasons], f"{REASON} string")
+    counts = frame.agg(*[metric.alias(name) for name, metric in rule_metrics().items()]).first().asDict()
+    assert {name: n for name, n in counts.items() if n} == {"id_null": 3, "employee_id_null": 2, "distance_outlier_vélo": 1}
+    assert "split(" not in str(list(rule_metrics().values()))
