@@ -14,7 +14,7 @@ from ..operators import cdc, cohorts, eligibility, notify, payloads, quality, re
 from ..operators.bitmaps import id_bitmaps, with_id_in, with_id_not_in
 from ..operators.cdc import ARRIVAL
 from ..schemas import CHANGE_COLUMNS, employees_ddl
-from ..session import scratch_dir
+from ..session import OPEN_DAYS, scratch_dir, unsorted_folders
 from ..sources.reference_csv import CSV_OPTIONS, broken_lines, load_employee_data, load_reference
 from ..sources.tables import BatchLog, SnapshotTable, export_parquet, has_rows, row_count
 from ..streaming.bronze import start_landing
@@ -436,7 +436,8 @@ def notify_payload(spark, sf_dir):
 def _deliver(spark, sf_dir, lake, wave):
     sent = tables.messages(spark, sf_dir).where(f"wave = {wave}").drop("wave")
     sent.write.mode("append").parquet(lake.path("feed"))
-    start_landing(lake, file_messages(spark, lake.path("feed")), availableNow=True).awaitTermination()
+    with unsorted_folders(spark, OPEN_DAYS):
+        start_landing(lake, file_messages(spark, lake.path("feed")), availableNow=True).awaitTermination()
 
 
 @query

@@ -8,6 +8,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Folders of days that a task may write side by side without sorting its rows: a batch has one day, or two around midnight.
+OPEN_DAYS = 4
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,11 +19,16 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    _WRITERS: str(OPEN_DAYS),
 }
 
-_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _PARTITION_BYTES = 256 * 1024 * 1024
+#: AQE merges partitions as far as every core keeps one, and none of less than 8 MB is left.
+_SPREAD = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8m",
+}
 
 
 def build_session(app_name: str = "cdc_lake", **conf: str) -> SparkSession:
@@ -42,30 +51,35 @@ def sized_shuffles(spark: SparkSession, input_bytes: int):
 
     AQE merges small partitions but splits only skewed joins, so the width it starts from
     must fit the input: 200 partitions of 100 TB would be 500 GB each. The session's own
-    setting is raised where it is too small, never lowered, and comes back afterwards.
+    setting is raised where it is too small, never lowered, and comes back afterwards. What
+    AQE merges is spread over the cores: partitions of the advisory size would leave a job
+    of some hundred MB to one or two tasks.
     """
-    before = spark.conf.get(_WIDTH, None)
     width = shuffle_width(input_bytes)
-    if width > int(before or spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set(_WIDTH, str(width))
-    try:
+    chosen = dict(_SPREAD)
+    if width > int(spark.conf.get(_WIDTH, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        chosen[_WIDTH] = str(width)
+    with _settings(spark, chosen):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(_WIDTH)
-        else:
-            spark.conf.set(_WIDTH, before)
 
 
 @contextmanager
 def unsorted_folders(spark: SparkSession, open_files: int):
-    """Writes into folders (``partitionBy``) started inside keep so many files open, and sort rows by folder only beyond that."""
-    before = spark.conf.get(_WRITERS, None)
-    spark.conf.set(_WRITERS, str(open_files))
+    """Writes into folders (``partitionBy``) that run inside keep so many files open, and sort rows by folder only beyond that."""
+    with _settings(spark, {_WRITERS: str(open_files)}):
+        yield
+
+
+@contextmanager
+def _settings(spark: SparkSession, chosen: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in chosen}
+    for key, value in chosen.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_WRITERS) if before is None else spark.conf.set(_WRITERS, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

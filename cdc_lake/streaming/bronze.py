@@ -9,15 +9,12 @@ from ..operators.cdc import to_bronze
 from ..operators.payloads import malformed_payloads
 from ..plans.lake import Lake
 from ..schemas import change_ddl
-from ..session import unsorted_folders
 from ..sources.reference_csv import load_reference
 
 # -- fixed values: pace, preview size, query names --
 
 LANDING_INTERVAL = "30 seconds"
 PREVIEW_ROWS = 50
-#: Days that a landing task may write side by side without sorting its rows: a batch has one, or two around midnight.
-LANDING_DAYS = 4
 LANDING_NAME = "Bronze - Activities"
 PREVIEW_NAME = "Bronze Console Monitor"
 MALFORMED_NAME = "Bronze - Malformed payloads"
@@ -37,19 +34,22 @@ def bronze_rows(lake: Lake, messages: DataFrame) -> DataFrame:
 
 
 def start_landing(lake: Lake, messages: DataFrame, **trigger) -> StreamingQuery:
-    """Append to Bronze, one folder per day. ``availableNow=True`` drains the source and ends."""
-    with unsorted_folders(lake.spark, LANDING_DAYS):
-        return (
-            bronze_rows(lake, messages)
-            .writeStream.trigger(**(trigger or {"processingTime": LANDING_INTERVAL}))
-            .outputMode("append")
-            .format("parquet")
-            .option("checkpointLocation", lake.checkpoint("bronze"))
-            .option("path", lake.bronze_path)
-            .partitionBy("ingest_date")
-            .queryName(LANDING_NAME)
-            .start()
-        )
+    """Append to Bronze, one folder per day. ``availableNow=True`` drains the source and ends.
+
+    Its tasks sort by day unless the session lets them keep some files open (``SCALE_CONF``,
+    ``unsorted_folders``): the sink asks the session whenever a batch is written, not at the start.
+    """
+    return (
+        bronze_rows(lake, messages)
+        .writeStream.trigger(**(trigger or {"processingTime": LANDING_INTERVAL}))
+        .outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", lake.checkpoint("bronze"))
+        .option("path", lake.bronze_path)
+        .partitionBy("ingest_date")
+        .queryName(LANDING_NAME)
+        .start()
+    )
 
 
 def start_malformed(lake: Lake, messages: DataFrame, **trigger) -> StreamingQuery:
