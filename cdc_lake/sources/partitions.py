@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import unsorted_folders
 from . import files
 from .tables import _DONE, _VERSION, Version
 
@@ -14,6 +15,8 @@ from .tables import _DONE, _VERSION, Version
 PART = "hash_part"
 #: Columns that a merge stages for ``summary`` and that the table doesn't keep.
 BEFORE, MOVED = "_before", "_moved"
+#: Partitions that a task of a commit writes side by side without sorting its rows.
+OPEN_FILES = 8
 
 
 @dataclass(frozen=True)
@@ -152,10 +155,9 @@ class PartitionedTable:
         if self.summary is not None and summarise and MOVED in staged.columns:
             target = f"{self.path}/_changes/{version.number:010d}"
             self.summary(staged).write.mode("overwrite").parquet(target)
-        kept = staged.drop(BEFORE, MOVED)
-        kept.repartition(self.partitions, PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            PART
-        ).parquet(self.path)
+        # Staged partitions are files already: a task copies some of them, and nothing is shuffled again.
+        with unsorted_folders(self.spark, OPEN_FILES):
+            staged.drop(BEFORE, MOVED).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path)
         marker = staged.agg(F.count("*").alias("rows"), F.countDistinct(PART).alias("touched"))
         marker.write.mode("overwrite").parquet(f"{self.path}/_log/{version.folder}")
         for old in self._named("_log"):

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cdc_lake.operators.quality import REASON, rule_metrics
+from cdc_lake.plans import queries
 from cdc_lake.plans.lake import Lake
-from cdc_lake.session import _WRITERS, unsorted_folders
+from cdc_lake.session import _WRITERS, SCALE_CONF, sized_shuffles, unsorted_folders
 from cdc_lake.sources.landed import FILE_ROWS
-from cdc_lake.sources.messages import file_messages
-from cdc_lake.streaming import bronze as landing_stream
+from cdc_lake.sources.partitions import PartitionedTable
 from cdc_lake.streaming.latest import start_newest
 
 from .conftest import rows
@@ -46,19 +46,34 @@ def test_a_compacted_file_holds_no_more_rows_than_a_task_sorts_in_memory(spark,
     assert len(compacted(few)) == 4 and rows(few.read()) == before
 
 
-def test_landing_sorts_no_rows_by_day(spark, lake_root, monkeypatch):
-    lake, seen, made = Lake(spark, lake_root), [], landing_stream.bronze_rows
+def test_deliveries_land_without_a_sort_by_day(spark, lake_root, sf_dir, monkeypatch):
+    lake, seen, started = Lake(spark, lake_root), [], queries.start_landing
+    before = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, "0")  # a session that was not built here
 
-    def spied(lake, messages):
-        seen.append(spark.conf.get(_WRITERS, None))
-        return made(lake, messages)
+    class Spied:
+        def __init__(self, *args, **trigger):
+            self.stream = started(*args, **trigger)
 
-    monkeypatch.setattr(landing_stream, "bronze_rows", spied)
-    sent = "CAST(NULL AS binary) key, CAST('{\"id\":1}' AS binary) value, 't' topic, 0 partition, id offset, current_timestamp() timestamp"
-    spark.range(3).selectExpr(*sent.split(", ")).write.parquet(lake.path("feed"))
-    landing_stream.start_landing(lake, file_messages(spark, lake.path("feed")), availableNow=True).awaitTermination()
-    assert seen == [str(landing_stream.LANDING_DAYS)] and spark.conf.get(_WRITERS, None) in (None, "0")
-    assert rows(lake.bronze(), "id", "kafka_offset") == [(1, 0), (1, 1), (1, 2)]
+        def awaitTermination(self):
+            self.stream.awaitTermination()
+            seen.append(spark.conf.get(_WRITERS))  # the sink asks the session whenever it writes
+
+    monkeypatch.setattr(queries, "start_landing", Spied)
+    try:
+        queries._deliver(spark, sf_dir, lake, 0)
+        assert seen == [SCALE_CONF[_WRITERS]] and spark.conf.get(_WRITERS) == "0"
+    finally:
+        spark.conf.set(_WRITERS, before)
+
+
+def test_merges_spread_over_the_cores(spark):
+    first, least = "parallelismFirst", "minPartitionSize"
+    conf = lambda name: spark.conf.get(f"spark.sql.adaptive.coalescePartitions.{name}", None)
+    before = conf(first), conf(least)
+    with sized_shuffles(spark, 1):
+        assert (conf(first), conf(least)) == ("true", "8m")
+    assert (conf(first), conf(least)) == before
 
 
 def test_more_folders_than_open_files_keep_every_row(spark, lake_root):
@@ -74,3 +89,17 @@ def test_reasons_are_counted_by_whole_names(spark):
     counts = frame.agg(*[metric.alias(name) for name, metric in rule_metrics().items()]).first().asDict()
     assert {name: n for name, n in counts.items() if n} == {"id_null": 3, "employee_id_null": 2, "distance_outlier_vélo": 1}
     assert "split(" not in str(list(rule_metrics().values()))
+
+
+def test_a_commit_shuffles_its_rows_once(spark, lake_root, monkeypatch):
+    calls, made = [], type(spark.range(1)).repartition
+
+    def counted(frame, *args):
+        calls.append(args)
+        return made(frame, *args)
+
+    monkeypatch.setattr(type(spark.range(1)), "repartition", counted)
+    table = PartitionedTable(spark, lake_root, "id", 4)
+    table.write(spark.range(1000).toDF("id"))
+    assert len(calls) == 1 and len(table.read().inputFiles()) == 4
+    assert rows(table.read()) == rows(spark.range(1000))
