@@ -9,6 +9,9 @@ from ..sources import files
 
 #: White space of the word contracts: space and the control characters from tab to carriage return.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+#: Bytes of rows that a Python worker gets at once, about; a longer row comes alone.
+BATCH_BYTES = 4 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +32,19 @@ def dropped(*frames: DataFrame) -> None:
             files.remove(frame.sparkSession, folder)
 
 
+def map_texts(rows: DataFrame, function, schema) -> DataFrame:
+    """``rows.mapInArrow(function, schema)``, in batches of about ``BATCH_BYTES``.
+
+    Spark's batches are up to 64 MB, and an executor holds several copies of one per task: in the
+    JVM before and after, in the worker as Arrow and as Python strings. The setting stays in the
+    session, as the frame runs later; one that the session has been given is left as it is.
+    """
+    conf = rows.sparkSession.conf
+    if _BATCHES not in conf.getAll:
+        conf.set(_BATCHES, str(BATCH_BYTES))
+    return rows.mapInArrow(function, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body`` of ``value``, which is evaluated once however often ``body`` names it."""
     return F.transform(F.array(value), body)[0]

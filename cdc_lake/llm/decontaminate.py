@@ -14,7 +14,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import renamed, restored
+from .common import map_texts, renamed, restored
 
 #: One edit is allowed for so many characters.
 CHARS_PER_EDIT = 20
@@ -162,7 +162,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
         return run
 
     for items in _blocks(benchmark, item_text):
-        part = rows.mapInArrow(search(items), schema)
+        part = map_texts(rows, search(items), schema)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
@@ -183,5 +183,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
     schema = rows.schema
     for items in _blocks(benchmark, item_text):
-        rows = rows.select("*", normal(F.col(names[text])).alias("_normal_text")).mapInArrow(clean(items), schema)
+        rows = map_texts(rows.select("*", normal(F.col(names[text])).alias("_normal_text")), clean(items), schema)
     return rows.select(restored(names, []))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.bitmaps import id_bitmaps, with_id_in, with_id_not_in
 from ..operators.joins import lookup_join
-from .common import renamed, restored, stored
+from .common import map_texts, renamed, restored, stored
 from .components import components
 
 WIDTH = 5
@@ -39,6 +39,8 @@ PACK = 256
 #: Bits per key of the bitmap that rows are looked up in before a join, and bits of it at most (8 MB).
 KEY_BITS = 16
 MOST_BITS = 1 << 26
+#: Words whose hashes a worker keeps, from one task to the next, before it starts anew.
+KEPT_WORDS = 1 << 15
 _WORD = re.compile(r"\w+")
 _COLUMNS = 4096
 
@@ -70,12 +72,12 @@ _HASHES: dict[str, int] = {}
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
-    if len(_HASHES) > 500_000:
-        _HASHES.clear()
     get, out = _HASHES.get, []
     for word in words:
         value = get(word)
         if value is None:
+            if len(_HASHES) >= KEPT_WORDS:
+                _HASHES.clear()
             value = _HASHES[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
         out.append(value)
     return np.array(out, np.uint64)
@@ -117,8 +119,8 @@ def _signatures(docs: DataFrame, text: str, bands: int, rows: int) -> DataFrame:
 
     kinds = [pa.binary(), pa.list_(pa.int64()), pa.int64()]
     first = F.struct(*_row_key(docs["doc_id"], docs[text]))
-    return docs.select(first.alias("first"), docs[text]).mapInArrow(
-        sign, "first struct<doc_id: long, text_hash: long>, digest binary, bands array<long>, n_grams long"
+    return map_texts(
+        docs.select(first.alias("first"), docs[text]), sign, "first struct<doc_id: long, text_hash: long>, digest binary, bands array<long>, n_grams long"
     )
 
 
@@ -212,7 +214,7 @@ def _members(docs: DataFrame, text: str, groups: DataFrame) -> DataFrame:
             grams = pa.array([shingles(value).tobytes() for value in batch.column(0).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], grams], [*names, "grams"])
 
-    return chosen.mapInArrow(build, chosen.drop("_text").schema.add("grams", "binary"))
+    return map_texts(chosen, build, chosen.drop("_text").schema.add("grams", "binary"))
 
 
 def _chunked(groups: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.bitmaps import id_bitmaps, with_id_in
 from ..operators.joins import lookup_join
-from .common import dropped, renamed, restored, stored
+from .common import dropped, map_texts, renamed, restored, stored
 
 ORDER = 5
 #: Of trusted documents, one in so many sets thresholds and is not trained on.
@@ -50,8 +51,9 @@ _PAD = "\x02"
 _ALL = "\x00all"
 #: The model's row for unseen characters: longer than any n-gram of a text.
 _UNSEEN = "?" * (ORDER + 1)
-#: Entries of a task's counts before they are handed on; characters handled at once.
-_FLUSH, _SLICE = 1_000_000, 1_000_000
+#: Entries of a task's counts, of all languages, before they are handed on, and those of a batch;
+#: characters handled at once.
+_FLUSH, _EMIT, _SLICE = 250_000, 50_000, 250_000
 
 
 def _language(column: Column) -> Column:
@@ -60,29 +62,36 @@ def _language(column: Column) -> Column:
 
 def ngram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``lang, gram, n`` over whole texts, every character predicted once."""
+    rows = docs.select(_language(docs["lang"]).alias("lang"), docs[text])
+    return map_texts(rows, _counted, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
-    def count(batches):
-        counts: dict[str, Counter] = {}
-        for batch in batches:
-            for lang, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not value:
-                    continue
-                padded = _PAD * (ORDER - 1) + value
+
+def _counted(batches):
+    """``lang, gram, n``: counts of ``lang, text``, handed on before a task holds more than ``_FLUSH`` and a slice's."""
+    counts: dict[str, Counter] = {}
+    held = 0
+    for batch in batches:
+        for lang, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            padded = _PAD * (ORDER - 1) + (value or "")
+            for start in range(0, len(value or ""), _SLICE):
                 own = counts.setdefault(lang, Counter())
-                for start in range(0, len(value), _SLICE):
-                    own.update([padded[i : i + ORDER] for i in range(start, min(start + _SLICE, len(value)))])
-                if len(own) > _FLUSH:
-                    yield from emit({lang: counts.pop(lang)})
-        yield from emit(counts)
-
-    def emit(counts):
-        for lang, own in counts.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(own)), pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())], ["lang", "gram", "n"]
-            )
+                held -= len(own)
+                own.update(padded[i : i + ORDER] for i in range(start, min(start + _SLICE, len(value))))
+                held += len(own)
+                if held > _FLUSH:
+                    yield from _emitted(counts)
+                    held = 0
+    yield from _emitted(counts)
 
-    rows = docs.select(_language(docs["lang"]).alias("lang"), docs[text])
-    return rows.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+def _emitted(counts: dict[str, Counter]):
+    """Batches of ``counts``, which is emptied."""
+    while counts:
+        lang, own = counts.popitem()
+        entries = iter(own.items())
+        while some := list(islice(entries, _EMIT)):
+            grams, times = zip(*some)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), pa.array(grams, pa.string()), pa.array(times, pa.int64())], ["lang", "gram", "n"])
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -287,7 +296,7 @@ def perplexities(docs: DataFrame, model: DataFrame, text: str = "text", keep: li
     before = None
     for shard in range(shards):
         tables = spark.sparkContext.broadcast(_shard(model, shards, shard))
-        rows = rows.mapInArrow(_scoring(tables, shards, shard, rows.columns.index(value)), rows.schema)
+        rows = map_texts(rows, _scoring(tables, shards, shard, rows.columns.index(value)), rows.schema)
         if shard < shards - 1:  # one shard in a worker's memory at a time
             rows = stored(rows, "scored")
             if before is not None:
@@ -302,7 +311,7 @@ def _scoring(tables, shards, shard, place):
         for batch in batches:
             langs, texts = batch.column(batch.num_columns - 2).to_pylist(), batch.column(place).to_pylist()
             nll, i = np.array(batch.column(batch.num_columns - 1)), 0
-            while i < len(texts):  # about a million characters at once
+            while i < len(texts):  # about a slice's characters at once
                 j, chars = i, 0
                 while j < len(texts) and (j == i or chars < _SLICE):
                     chars += len(texts[j] or "")

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import partition_count
+from .common import map_texts, partition_count
 
 #: Entries of the broadcast table: a fixed size, whatever the corpus.
 TABLE_SIZE = 32_768
@@ -198,7 +198,7 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", size: int = TABLE_S
     schema = "part long, words array<string>, counts array<long>"
     texts = docs.select(text)
     parts = partition_count(texts)
-    summaries = texts.mapInArrow(summarise, schema)
+    summaries = map_texts(texts, summarise, schema)
     while parts > 1:
         parts = -(-parts // FAN_IN)
         summaries = summaries.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part").applyInArrow(merge, schema)
@@ -227,4 +227,4 @@ def token_counts(docs: DataFrame, model_path: str, text: str = "text", keep: tup
     value = docs[text]
     read = docs.select(*[docs[name] for name in names], value, F.coalesce(F.octet_length(value), F.lit(0)).cast("long").alias("n_bytes"))
     schema = read.drop(text).schema.add("n_tokens", "long")
-    return read.mapInArrow(count, schema)
+    return map_texts(read, count, schema)

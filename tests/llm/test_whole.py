@@ -4,12 +4,14 @@ import hashlib
 import itertools
 import random
 import time
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cdc_lake.llm import decontaminate, jaccard_join, packing, quality_classifier, secret_scan
-from cdc_lake.llm.common import below, running
+from cdc_lake.llm import decontaminate, jaccard_join, packing, quality_classifier, secret_scan, token_counts
+from cdc_lake.llm.common import BATCH_BYTES, below, map_texts, running
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 99, 1000])
@@ -123,3 +125,76 @@ def test_one_id_with_two_texts_keeps_both(docs, prose):
     rows = [(1, prose(1, 60), "en"), (1, prose(2, 60), "en"), (1, prose(2, 60), "en"), (2, prose(3, 60), "en")]
     kept = jaccard_join.one_of_each(docs(rows)).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == sorted({(i, t) for i, t, _ in rows})
+
+
+# -- memory of an executor ----------------------------------------------------------
+
+
+@pytest.fixture
+def default_batches(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    yield setting
+    spark.conf.unset(setting)
+
+
+def test_workers_get_texts_in_small_batches(spark, default_batches):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    got = map_texts(rows, sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < 1.1 * BATCH_BYTES
+    spark.conf.set(default_batches, "1m")  # the session's own choice stands
+    assert max(r.size for r in map_texts(rows, sizes, "n long, size long").collect()) < 1.1 * (1 << 20)
+
+
+@pytest.mark.parametrize("stage", ["quality", "join", "leaks", "lengths"])
+def test_stages_hand_texts_over_in_small_batches(spark, docs, table, prose, default_batches, stage):
+    frame = docs([prose(i, 30) for i in range(4)])
+    if stage == "quality":
+        quality_classifier.kept_only(frame, table([(i, 1, 0) for i in range(4)], "doc_id long, quality int, toxic int"))
+    elif stage == "join":
+        jaccard_join.one_of_each(frame)
+    elif stage == "leaks":
+        decontaminate.without_leaks(frame, table([(1, prose(9, 20))], "item_id long, text string"))
+    else:
+        import public_tokenizers
+
+        token_counts.token_counts(frame, public_tokenizers.path("piece_bpe_32k.model"))
+    assert spark.conf.get(default_batches) == str(BATCH_BYTES)
+
+
+def test_kept_hashes_are_few():
+    words = [f"w{i}" for i in range(3 * jaccard_join.KEPT_WORDS)]
+    jaccard_join._HASHES.clear()
+    hashes = jaccard_join._word_hashes(words)
+    assert len(jaccard_join._HASHES) <= jaccard_join.KEPT_WORDS and len(set(hashes.tolist())) == len(words)
+    assert (jaccard_join._word_hashes(words[:100]) == hashes[:100]).all()
+
+
+def test_counts_of_many_languages_are_handed_on(monkeypatch):
+    monkeypatch.setattr(quality_classifier, "_FLUSH", 50)
+    monkeypatch.setattr(quality_classifier, "_EMIT", 20)
+    monkeypatch.setattr(quality_classifier, "_SLICE", 30)
+    random_ = random.Random(2)
+    rows = [(f"l{i % 9}", "".join(random_.choice("abcdé") for _ in range(random_.randrange(70)))) for i in range(60)] + [("l0", None), ("l1", "")]
+    read = []
+
+    def batches():
+        for lang, text in rows:
+            read.append(lang)
+            yield pa.RecordBatch.from_pydict({"lang": [lang], "text": pa.array([text], pa.string())})
+
+    found, waiting, most = Counter(), 0, 0
+    for batch in quality_classifier._counted(batches()):
+        assert 0 < batch.num_rows <= 20
+        for row in batch.to_pylist():
+            found[row["lang"], row["gram"]] += row["n"]
+        most, waiting = max(most, len(read) - waiting), len(read)
+    plain = Counter()
+    for lang, text in rows:
+        padded = "\x02" * 4 + (text or "")
+        plain.update((lang, padded[i : i + 5]) for i in range(len(text or "")))
+    assert found == plain and most < 20  # rows read between two batches
